@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger.functions.columns import parse_day
 from skyledger.schemas import READING
 
+CLEAN_FIELDS = ("StationId", "Date", "Variable", "Value", "Q_Flag")
 
-def parse_messages(messages: DataFrame) -> DataFrame:
-    """JSON text or bytes in ``value`` to the eight fields of a reading."""
-    return (
-        messages.selectExpr("CAST(value AS STRING) AS value")
-        .select(F.from_json("value", READING).alias("json"))
-        .select("json.*")
-    )
+
+def parse_messages(messages: DataFrame, schema: T.StructType = READING) -> DataFrame:
+    """JSON text or bytes in ``value`` to one column per field of ``schema``.
+
+    The fields come out of a generator, because filters on them would otherwise
+    move below the projection and parse the text once more per condition.
+    """
+    text = F.col("value").cast("string")
+    return messages.select(F.inline(F.array(F.from_json(text, schema))))
 
 
 def clean(raw: DataFrame) -> DataFrame:
@@ -35,4 +39,5 @@ def clean(raw: DataFrame) -> DataFrame:
 
 
 def clean_messages(messages: DataFrame) -> DataFrame:
-    return clean(parse_messages(messages))
+    """Parse just the fields that cleaning needs, and clean."""
+    return clean(parse_messages(messages, T.StructType([READING[f] for f in CLEAN_FIELDS])))

@@ -8,6 +8,7 @@ confirm it, and this repeats until few distinct values are left inside.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -23,44 +24,50 @@ class Ranked:
     below: int  # how many values are smaller
 
 
-def value_at_rank(df: DataFrame, column: str, rank: int, keep: int = KEEP) -> Ranked:
-    """The value with ``rank`` smaller-or-equal predecessors in sorted order.
+def values_at_ranks(
+    df: DataFrame, column: str, ranks: Sequence[int], keep: int = KEEP
+) -> list[Ranked]:
+    """The values at neighbouring ``ranks``, counted from 0 in sorted order.
 
-    ``column`` must be numeric and its NULLs are ignored; ``rank`` counts from 0.
+    ``column`` must be numeric; its NULLs are ignored. The answer is shorter than
+    ``ranks`` where the column has fewer values.
     """
     value = F.col(column)
-    rows = df.select(value).filter(value.isNotNull())
-    inside, below = rows, 0
+    inside, below = df.select(value).filter(value.isNotNull()), 0
+    first, last = min(ranks), max(ranks)
     while True:
         stats = inside.agg(
             F.count(value).alias("n"),
             F.approx_count_distinct(value).alias("distinct"),
             F.percentile_approx(value, [i / GRID for i in range(GRID + 1)], 10_000).alias("grid"),
         ).first()
-        if not 0 <= rank - below < stats["n"]:
-            raise ValueError(f"rank {rank} is outside the column")
-        if stats["distinct"] <= keep:
+        if stats["distinct"] <= keep or first - below >= stats["n"]:
             break
-        step = (rank - below) * GRID // stats["n"]
-        low, high = stats["grid"][max(step - 1, 0)], stats["grid"][min(step + 2, GRID)]
+        low = stats["grid"][max((first - below) * GRID // stats["n"] - 1, 0)]
+        high = stats["grid"][min((last - below) * GRID // stats["n"] + 2, GRID)]
         counts = inside.agg(
             F.count(F.when(value < low, 1)).alias("under"),
             F.count(F.when(value <= high, 1)).alias("upto"),
         ).first()
-        # Where the sketch missed the rank, that side of the bracket stays open.
-        if rank - below < counts["upto"]:
+        # Where the sketch missed a rank, that side of the bracket stays open.
+        if last - below < counts["upto"]:
             inside = inside.filter(value <= high)
-        if rank - below >= counts["under"]:
+        if first - below >= counts["under"]:
             inside, below = inside.filter(value >= low), below + counts["under"]
     found = (
         inside.groupBy(value.alias("value"))
-        .count()
-        .withColumn("upto", F.sum("count").over(Window.orderBy("value")))
-        .filter(F.col("upto") > rank - below)
+        .agg(F.count("*").alias("n"))
+        .withColumn("upto", F.sum("n").over(Window.orderBy("value")) + below)
+        .filter((F.col("upto") > first) & (F.col("upto") - F.col("n") <= last))
         .orderBy("value")
-        .first()
+        .collect()
     )
-    return Ranked(found["value"], below + found["upto"] - found["count"])
+    return [
+        Ranked(row["value"], row["upto"] - row["n"])
+        for rank in ranks
+        for row in found
+        if row["upto"] - row["n"] <= rank < row["upto"]
+    ]
 
 
 def medians(df: DataFrame, columns: list[str], keep: int = KEEP) -> dict[str, float | None]:
@@ -72,38 +79,39 @@ def medians(df: DataFrame, columns: list[str], keep: int = KEEP) -> dict[str, fl
         if n == 0:
             result[c] = None
             continue
-        low = value_at_rank(df, c, (n - 1) // 2, keep).value
-        high = low if n % 2 else value_at_rank(df, c, n // 2, keep).value
-        result[c] = low + (high - low) * 0.5
+        low, high = values_at_ranks(df, c, [(n - 1) // 2, n // 2], keep)
+        result[c] = low.value + (high.value - low.value) * 0.5
     return result
 
 
-def first_rows(df: DataFrame, n: int, lead: str, *rest: str) -> DataFrame:
+def first_rows(df: DataFrame, n: int, lead: str, *rest: str, keep: int = KEEP) -> DataFrame:
     """``orderBy(lead, *rest).limit(n)`` of exactly these columns.
 
-    The cut is found on ``lead`` alone (a date or a number), rows before it need
-    no sorting, and of the rows at the cut equal ones are counted, not shipped.
+    The cut is found on ``lead`` alone (a date or a number; rows where it is NULL
+    are left out), rows before it need no sorting, and of the rows at the cut
+    equal ones are counted, not shipped.
     """
     columns = [lead, *rest]
     key = F.unix_date(lead) if dict(df.dtypes)[lead] == "date" else F.col(lead)
-    rows = df.select(*columns).filter(F.col(lead).isNotNull()).withColumn("_key", key)
-    total = rows.count()
-    if n >= total:
-        return rows.drop("_key")
+    rows = df.select(*columns, key.alias("_key")).filter(F.col(lead).isNotNull())
     if n <= 0:
-        return rows.drop("_key").limit(0)
-    cut = value_at_rank(rows, "_key", n - 1)
-    before = rows.filter(F.col("_key") < cut.value)
-    left = n - cut.below
+        return rows.select(*columns).limit(0)
+    cut = values_at_ranks(rows, "_key", [n - 1], keep)
+    if not cut:
+        return rows.select(*columns)
+    before = rows.filter(F.col("_key") < cut[0].value)
+    left = F.lit(n - cut[0].below)
+    # The key is the same in all of these rows; it only gives the sort a column.
+    order = ["_key", *rest]
+    upto = F.sum("_n").over(Window.orderBy(*order))
     at_cut = (
-        rows.filter(F.col("_key") == cut.value)
+        rows.filter(F.col("_key") == cut[0].value)
         .groupBy("_key", *columns)
-        .count()
-        .orderBy(*rest)
-        .limit(left)
-        .withColumn("upto", F.sum("count").over(Window.orderBy(*rest)))
-        .withColumn("copies", F.least("count", F.lit(left) - (F.col("upto") - F.col("count"))))
-        .filter(F.col("copies") > 0)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        .agg(F.count("*").alias("_n"))
+        .orderBy(*order)
+        .limit(n - cut[0].below)
+        .withColumn("_copies", F.least("_n", left - (upto - F.col("_n"))))
+        .filter(F.col("_copies") > 0)
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     )
     return before.select(*columns).unionByName(at_cut.select(*columns))

@@ -182,7 +182,9 @@ _QUERIES = {
   SELECT station_id, latitude, longitude, coalesce(elevation, -999.9) AS elevation
   FROM stations WHERE station_id LIKE '03%'""",
     "geo_csv": "SELECT *, true AS header FROM geo UNION ALL SELECT *, false AS header FROM geo",
-    "geo_codes": "SELECT fips, continent FROM geo",
+    "geo_codes": """
+  SELECT fips, continent, country FROM geo
+  UNION ALL SELECT 'R' || substr(continent, 1, 1) AS fips, continent, country FROM geo""",
     "geo_unique_codes": """
   SELECT country, continent, count(*) AS n_stations
   FROM stations JOIN geo ON substr(station_id, 1, 2) = fips GROUP BY country, continent""",

@@ -26,7 +26,7 @@ from skyledger.operators.means import (
 )
 from skyledger.operators.ranks import first_rows
 from skyledger.plans import learning, products
-from skyledger.schemas import CORE_VARIABLES, GEOGRAPHY, INVENTORY_FIELDS, STATION_FIELDS
+from skyledger.schemas import CORE_VARIABLES, INVENTORY_FIELDS, STATION_FIELDS
 from skyledger.session import materialize, scratch_path
 from skyledger.sources import tables, text
 from skyledger.sources.files import write_partitioned, write_ranges, write_single_csv
@@ -192,14 +192,12 @@ def geo_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def geo_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cells that list all codes of a continent, taken apart again."""
-    cells = (
-        tables.geography(spark, sf_dir)
-        .groupBy("continent")
-        .agg(F.concat_ws(",", F.sort_array(F.collect_list("fips"))).alias("fips"))
-        .withColumn("country", F.lit(None).cast("string"))
+    """Cells that list a country's and its continent's code, taken apart."""
+    shared = F.concat(F.lit("R"), F.substring("continent", 1, 1))
+    cells = tables.geography(spark, sf_dir).withColumn(
+        "fips", F.concat("fips", F.lit(", "), shared, F.lit(","))
     )
-    return split_codes(cells.select(*GEOGRAPHY.names)).select("fips", "continent")
+    return split_codes(cells).select("fips", "continent", "country")
 
 
 @query
@@ -386,15 +384,19 @@ def stream_temp_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_static_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stream joined with the geography table, then kept per continent and year."""
+    """A stream joined with the geography table.
+
+    The state store reduces it to a row per country and year first, so the join
+    moves no readings, whatever the share of one country.
+    """
     rows = with_country_code(with_year(_stream(spark, sf_dir))).filter(F.col("variable") == "PRCP")
-    joined = join_geography(rows, tables.geography(spark, sf_dir))
-    states = joined.groupBy("continent", "year").agg(*wide_state_columns(["PRCP"]))
+    states = rows.groupBy("fips", "year").agg(*wide_state_columns(["PRCP"]))
+    joined = join_geography(states, tables.geography(spark, sf_dir))
     path = scratch_path(spark, "complete")
-    runs.run_complete(states, path, scratch_path(spark, "checkpoint"))
-    return wide_means(
-        runs.read_latest(spark, path), ["continent", "year"], {"PRCP": "avg_prcp"}
-    )
+    runs.run_complete(joined, path, scratch_path(spark, "checkpoint"))
+    keys = ["continent", "year"]
+    merged = merge_wide(runs.read_latest(spark, path), keys, ["PRCP"])
+    return wide_means(merged, keys, {"PRCP": "avg_prcp"})
 
 
 @query

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.functions.columns import country_code
 from skyledger.schemas import UNKNOWN_ELEVATION
 
 COUNTRIES = 25
@@ -43,9 +44,9 @@ def station_of(key: Column) -> Column:
 
 def raw_readings(lineitem: DataFrame) -> DataFrame:
     """Typed readings that still carry their quality flag."""
-    variable = F.lit(None).cast("string")
-    for line, name in reversed(VARIABLE_OF_LINE.items()):
-        variable = F.when(F.col("l_linenumber") == line, name).otherwise(variable)
+    variable = F
+    for line, name in VARIABLE_OF_LINE.items():
+        variable = variable.when(F.col("l_linenumber") == line, name)
     return lineitem.select(
         station_of(F.col("l_suppkey")).alias("station_id"),
         F.col("l_shipdate").cast("date").alias("obs_date"),
@@ -73,21 +74,29 @@ def messages_of(lineitem: DataFrame) -> DataFrame:
     Lines without tax come twice, once whole and once cut off, so that every
     tenth message or so is not JSON.
     """
+    day = F.year("obs_date") * 10000 + F.month("obs_date") * 100 + F.day("obs_date")
     text = F.to_json(
         F.struct(
             F.col("station_id").alias("StationId"),
-            F.date_format("obs_date", "yyyyMMdd").cast("int").alias("Date"),
+            day.alias("Date"),
             F.col("variable").alias("Variable"),
             F.col("value").alias("Value"),
             F.col("q_flag").alias("Q_Flag"),
         )
     )
-    broken = F.when(F.col("value").isNull(), F.substring(text, 1, 20))
-    messages = raw_readings(lineitem).select(
-        F.substring("station_id", 1, 2).alias("topic"),
-        F.explode(F.array_compact(F.array(text, broken))).alias("value"),
+    texts = F.when(F.col("broken"), F.array("text", F.substring("text", 1, 20))).otherwise(
+        F.array("text")
+    )
+    return (
+        raw_readings(lineitem)
+        .select(
+            country_code(F.col("station_id")).alias("topic"),
+            F.col("value").isNull().alias("broken"),
+            text.alias("text"),
+        )
+        .select("topic", F.explode(texts).alias("value"))
+        .withColumn("value", F.col("value").cast("binary"))
     )
-    return messages.withColumn("value", F.col("value").cast("binary"))
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:

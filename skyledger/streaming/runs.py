@@ -13,7 +13,9 @@ cuts the input into other batches and needs a new, empty output path.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import threading
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,17 +38,30 @@ class Cadence:
             return writer.trigger(availableNow=True).start()
         return writer.trigger(processingTime=self.every).start()
 
-    def run(self, writer: DataStreamWriter) -> None:
-        """Start, wait, and stop: nothing writes after this returns."""
-        query = self.start(writer)
-        try:
-            query.awaitTermination(self.seconds) if self.seconds else query.awaitTermination()
-        finally:
-            query.stop()
+    def wait(self, query: StreamingQuery) -> None:
+        if self.seconds is None:
+            query.awaitTermination()
+        else:
+            query.awaitTermination(self.seconds)
 
 
 AVAILABLE_NOW = Cadence()
 
+# Enough for the years, countries and continents that run_complete is meant for.
+STATE_PARTITIONS = 16
+
+
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, partitions: int | None) -> Iterator[None]:
+    """For the start of a query, which copies the settings of its session."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, partitions or before)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
 
 def run_batches(
     stream: DataFrame,
@@ -54,10 +69,31 @@ def run_batches(
     checkpoint: str,
     cadence: Cadence = AVAILABLE_NOW,
     output_mode: str = "append",
+    partitions: int | None = None,
 ) -> None:
-    """Call ``write(batch, epoch)`` per micro-batch. It may see an epoch twice."""
-    writer = stream.writeStream.outputMode(output_mode).foreachBatch(write)
-    cadence.run(writer.option("checkpointLocation", checkpoint))
+    """Call ``write(batch, epoch)`` per micro-batch. It may see an epoch twice.
+
+    When the time is up the batch being written is finished first, and no batch
+    is written after this returns.
+    """
+    gate = threading.Lock()
+    closed = False
+
+    def guarded(batch: DataFrame, epoch: int) -> None:
+        with gate:
+            if closed:
+                raise RuntimeError("the stream is stopping; the batch is left for the next start")
+            write(batch, epoch)
+
+    writer = stream.writeStream.outputMode(output_mode).foreachBatch(guarded)
+    with _shuffle_partitions(stream.sparkSession, partitions):
+        query = cadence.start(writer.option("checkpointLocation", checkpoint))
+    try:
+        cadence.wait(query)
+    finally:
+        with gate:
+            closed = True
+        query.stop()
 
 
 def run_append(
@@ -65,7 +101,11 @@ def run_append(
 ) -> None:
     """Append rows to Parquet files, each exactly once."""
     writer = stream.writeStream.outputMode("append").format("parquet").option("path", path)
-    cadence.run(writer.option("checkpointLocation", checkpoint))
+    query = cadence.start(writer.option("checkpointLocation", checkpoint))
+    try:
+        cadence.wait(query)
+    finally:
+        query.stop()
 
 
 def run_partials(
@@ -90,14 +130,22 @@ def read_partials(spark: SparkSession, path: str) -> DataFrame:
 
 
 def run_complete(
-    states: DataFrame, path: str, checkpoint: str, cadence: Cadence = AVAILABLE_NOW
+    states: DataFrame,
+    path: str,
+    checkpoint: str,
+    cadence: Cadence = AVAILABLE_NOW,
+    partitions: int = STATE_PARTITIONS,
 ) -> None:
-    """Write the whole of a small aggregated stream after every micro-batch."""
+    """Write the whole of a small aggregated stream after every micro-batch.
+
+    Every state partition costs a task and files per batch, and a few keys need
+    few. The number is fixed when a checkpoint is made.
+    """
 
     def write(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
 
-    run_batches(states, write, checkpoint, cadence, "complete")
+    run_batches(states, write, checkpoint, cadence, "complete", partitions)
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
