@@ -1,0 +1,91 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+from skyledger.plans import learning
+
+SCHEMA = "id long, snow_avg double, tmax_avg double, tmin_avg double, prcp_avg double"
+
+
+def sample(n=400):
+    draw = random.Random(5)
+    rows = []
+    for i in range(n):
+        a, b, c = draw.gauss(5, 2), draw.gauss(20, 4), draw.gauss(1, 3)
+        rows.append((i, a, b, c, 3 + 0.5 * a - 2 * b + 1.5 * c + draw.gauss(0, 0.1)))
+    return rows
+
+
+def test_regression_is_least_squares(spark):
+    rows = sample()
+    df = spark.createDataFrame(rows, SCHEMA)
+    train, test = learning.split(df, "id")
+    report = learning.regression_report(train, test).first()
+    known = {r[0] for r in train.select("id").collect()}
+    x = np.array([r[1:4] for r in rows if r[0] in known])
+    y = np.array([r[4] for r in rows if r[0] in known])
+    solution, *_ = np.linalg.lstsq(np.c_[np.ones(len(x)), x], y, rcond=None)
+    got = [report[c] for c in ("intercept", "coef_snow_avg", "coef_tmax_avg", "coef_tmin_avg")]
+    assert got == pytest.approx(list(solution), rel=1e-6)
+    held = [r for r in rows if r[0] not in known]
+    errors = [solution[0] + np.dot(solution[1:], r[1:4]) - r[4] for r in held]
+    assert report["rmse"] == pytest.approx(float(np.sqrt(np.mean(np.square(errors)))), rel=1e-6)
+
+
+def test_splits_cover_every_row_once(spark):
+    df = spark.range(5000)
+    train, test = learning.split(df, "id")
+    again, _ = learning.split(df.repartition(7), "id")
+    assert train.count() + test.count() == 5000
+    assert 0.77 < train.count() / 5000 < 0.83
+    assert sorted(train.collect()) == sorted(again.collect())
+    first, second = learning.random_split(df, seed=4)
+    assert first.count() + second.count() == 5000 and first.intersect(second).count() == 0
+
+
+def test_missing_values(spark):
+    rows = [(1, 1.0, None, 3.0, 4.0), (2, 2.0, 8.0, None, 5.0), (3, 6.0, 2.0, 9.0, None), (4, None, 4.0, 5.0, 6.0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert learning.complete_cases(df).count() == 0
+    filled = sorted(map(tuple, learning.impute_medians(df).collect()))
+    assert filled == [(1, 1.0, 4.0, 3.0, 4.0), (2, 2.0, 8.0, 5.0, 5.0), (4, 2.0, 4.0, 5.0, 6.0)]
+
+
+def test_standardise(spark):
+    rows = sample(60)
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = learning.standardised_columns(df, ["snow_avg"]).orderBy("id").collect()
+    values = np.array([r[1] for r in rows])
+    want = values / values.std(ddof=1)
+    assert [r["z_snow_avg"] for r in got] == pytest.approx(list(want))
+
+
+def test_clusters_are_the_nearest_centers(spark):
+    draw = random.Random(2)
+    rows = [
+        (f"S{i}", draw.gauss(40 * (i % 4), 1), draw.gauss(-30 * (i % 4), 1), draw.gauss(500 * (i % 4), 5))
+        for i in range(200)
+    ]
+    df = spark.createDataFrame(rows, "station_id string, latitude double, longitude double, elevation double")
+    model, clustered = learning.fit_clusters(df, k=4, seed=3)
+    assert len(model.clusterCenters()) == 4 and np.isfinite(model.summary.trainingCost)
+    assert sum(model.summary.clusterSizes) == 200
+    groups = {}
+    for r in clustered.collect():
+        groups.setdefault(r["cluster"], set()).add(int(r["station_id"][1:]) % 4)
+    assert sorted(map(tuple, groups.values())) == [(0,), (1,), (2,), (3,)]
+
+    scaled = learning.standardised_columns(df, learning.POSITION)
+    features = [f"z_{f}" for f in learning.POSITION]
+    cluster = learning.nearest_center(scaled, features, model.clusterCenters())
+    again = scaled.select("station_id", cluster.alias("cluster"))
+    assert sorted(again.collect()) == sorted(clustered.select("station_id", "cluster").collect())
+
+
+def test_nearest_center_takes_the_lowest_on_a_tie(spark):
+    df = spark.createDataFrame([(0.0,), (10.0,)], "x double")
+    cluster = learning.nearest_center(df, ["x"], [[-5], [5], [15]])
+    assert [r[0] for r in df.select(cluster).collect()] == [0, 1]
