@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
 import time
 from pathlib import Path
 
@@ -29,7 +28,6 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "4g"))
         .config("spark.log.level", "ERROR")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="skyledger-bench-"))
     )
     spark = configure(builder).getOrCreate()
     lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").count()

@@ -29,10 +29,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     All paths of one application share a parent folder, so they can be dropped
     together when the application is done. A machine-local folder is used only
-    in local mode and only when the setting is absent.
+    in local mode and only when no folder is set.
     """
     context = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")

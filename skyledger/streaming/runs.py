@@ -23,7 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from skyledger.operators.means import once_per_batch
 from skyledger.plans.products import Product
+from skyledger.sources import jdbc
 
 
 @dataclass(frozen=True)
@@ -129,6 +131,38 @@ def read_partials(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def run_partials_to_table(
+    product: Product,
+    readings: DataFrame,
+    table: str,
+    connection: dict[str, str],
+    checkpoint: str,
+    cadence: Cadence = AVAILABLE_NOW,
+) -> None:
+    """Partial states into a SQL table, each row with the batch it comes from.
+
+    An append cannot be taken back, so a replayed batch repeats its rows;
+    ``finish_table`` counts a (batch, key) once.
+    """
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        states = product.partial(batch).withColumn("batch_id", F.lit(epoch).cast("bigint"))
+        jdbc.append_table(states, table, connection)
+
+    run_batches(readings, write, checkpoint, cadence)
+
+
+def finish_table(
+    spark: SparkSession,
+    product: Product,
+    table: str,
+    connection: dict[str, str],
+    split: jdbc.Split | None = None,
+) -> DataFrame:
+    states = jdbc.read_table(spark, table, connection, split)
+    return product.finish(once_per_batch(states, product.grain, product.variables))
+
+
 def run_complete(
     states: DataFrame,
     path: str,

@@ -12,14 +12,13 @@ from skyledger.session import configure  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     builder = (
         SparkSession.builder.master("local[8]")
         .appName("skyledger-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     )
     session = configure(builder).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+from types import SimpleNamespace
+
 import pytest
 
 from __spark_entry__ import entry, queries
 from skyledger import registry
+from skyledger.session import scratch_path
 from skyledger.sources import tables
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -76,11 +80,21 @@ def test_entry(spark):
 
 
 def test_scratch_follows_the_setting(spark):
-    from skyledger.session import scratch_path
-
-    base = spark.conf.get("spark.checkpoint.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None) or ""
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first != second and first.startswith(base)
+    assert spark.sparkContext.applicationId in first
+
+
+def test_no_local_scratch_on_a_cluster():
+    context = SimpleNamespace(
+        master="spark://host:7077", applicationId="app", getCheckpointDir=lambda: None
+    )
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(session, "x")
+    context.master = "local[2]"
+    assert scratch_path(session, "x").startswith(tempfile.gettempdir())
 
 
 def test_registry_reads_whole_tables(spark):

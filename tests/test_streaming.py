@@ -149,3 +149,21 @@ def test_a_table_of_many_files_streams(spark):
 def test_stream_needs_paths(spark, source):
     with pytest.raises(ValueError):
         runs.run(products.temp_gap(), stream(spark, source))
+
+
+@pytest.mark.parametrize("name", ["temp_gap", "elevation_snow", "bonus"])
+def test_partials_in_a_table_survive_replays(spark, readings, source, monkeypatch, name):
+    """The SQL table is played by a folder of appended Parquet files."""
+    folder = scratch_path(spark, "table")
+
+    def append(df, table, connection):
+        df.write.mode("append").parquet(folder)
+
+    monkeypatch.setattr(runs.jdbc, "append_table", append)
+    monkeypatch.setattr(runs.jdbc, "read_table", lambda s, *rest: s.read.parquet(folder))
+    product = every_product(spark)[name]
+    for _ in range(2):  # a second checkpoint replays all batches
+        checkpoint = scratch_path(spark, "checkpoint")
+        runs.run_partials_to_table(product, stream(spark, source), "t", {}, checkpoint)
+    got = runs.finish_table(spark, product, "t", {})
+    assert sorted(got.collect(), key=str) == sorted(product.compute(readings).collect(), key=str)
