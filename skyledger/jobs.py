@@ -1,6 +1,6 @@
 """From messages to a published product, as one command per product.
 
-    spark-submit -m skyledger.jobs temp_gap --servers host:9092 --topics EZ \\
+    python -m skyledger.jobs temp_gap --servers host:9092 --topics EZ \\
         --every "120 seconds" --seconds 7200 --per-trigger 5000000 \\
         --work s3a://shared/temp_gap --jdbc-url jdbc:... --table temp_gap
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 BASE = """
 WITH raw AS (
-  SELECT lpad(CAST(l_suppkey % 25 AS VARCHAR), 2, '0') || lpad(to_hex(l_suppkey), 9, '0') AS station_id,
+  SELECT lpad(CAST(l_suppkey % 25 AS VARCHAR), 2, '0') || to_hex(l_suppkey + 4294967296) AS station_id,
          CAST(l_shipdate AS DATE) AS obs_date,
          CASE l_linenumber WHEN 1 THEN 'TMAX' WHEN 2 THEN 'TMIN' WHEN 3 THEN 'PRCP' WHEN 4 THEN 'SNOW'
                            WHEN 5 THEN 'SNWD' WHEN 6 THEN 'PRCP' WHEN 7 THEN 'WSF2' END AS variable,
@@ -20,7 +20,7 @@ geo AS (
   SELECT lpad(CAST(n_nationkey % 25 AS VARCHAR), 2, '0') AS fips, r_name AS continent, n_name AS country
   FROM nation JOIN region ON n_regionkey = r_regionkey),
 stations AS (
-  SELECT lpad(CAST(s_suppkey % 25 AS VARCHAR), 2, '0') || lpad(to_hex(s_suppkey), 9, '0') AS station_id,
+  SELECT lpad(CAST(s_suppkey % 25 AS VARCHAR), 2, '0') || to_hex(s_suppkey + 4294967296) AS station_id,
          round((s_suppkey * 7919 % 180000) / 1000 - 90, 3) AS latitude,
          round((s_suppkey * 104729 % 360000) / 1000 - 180, 3) AS longitude,
          CASE WHEN s_acctbal < 0 THEN NULL ELSE CAST(floor(s_acctbal / 200) * 40 AS DOUBLE) END AS elevation,
@@ -136,6 +136,17 @@ def _checksum(name: str, body: str, measure: str) -> str:
     )
 
 
+CHECKSUMS = " UNION ALL ".join(
+    [
+        _checksum("temp_gap", TEMP_GAP, "gap"),
+        _checksum("continent_prcp", CONTINENT_PRCP, "avg_prcp"),
+        _checksum("elevation_snow", ELEVATION_SNOW, "avg_snow"),
+        _checksum("station_var_mean", STATION_PRCP, "prcp"),
+        _checksum("ml_features", FEATURES, "prcp_avg"),
+        _checksum("bonus_station_month", BONUS, "snwd_avg"),
+    ]
+)
+
 _QUERIES = {
     "temp_gap": TEMP_GAP,
     "continent_prcp": CONTINENT_PRCP,
@@ -147,16 +158,8 @@ _QUERIES = {
   SELECT station_id, year, month, {', '.join(
       f"{_state(v)}, count(CASE WHEN variable = '{v}' THEN 1 END) AS {v}_rows" for v in CORE)}
   FROM readings WHERE variable IN {_CORE_LIST} GROUP BY station_id, year, month""",
-    "products_from_ledger": " UNION ALL ".join(
-        [
-            _checksum("temp_gap", TEMP_GAP, "gap"),
-            _checksum("continent_prcp", CONTINENT_PRCP, "avg_prcp"),
-            _checksum("elevation_snow", ELEVATION_SNOW, "avg_snow"),
-            _checksum("station_prcp_mean", STATION_PRCP, "prcp"),
-            _checksum("ml_features", FEATURES, "prcp_avg"),
-            _checksum("bonus_station_month", BONUS, "snwd_avg"),
-        ]
-    ),
+    "products_from_ledger": CHECKSUMS,
+    "stream_ledger": CHECKSUMS,
     "top_country": """
   SELECT country, avg(value) AS mean FROM readings JOIN geo USING (fips)
   WHERE variable = 'PRCP' GROUP BY country ORDER BY mean DESC, country LIMIT 1""",

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.columns import between_years, country_code
 from skyledger.operators.geography import join_elevation, join_geography
-from skyledger.operators.means import merge_wide, wide_means, wide_state
+from skyledger.operators.means import merge_wide, wide_means, wide_state, wide_state_columns
 from skyledger.schemas import CORE_VARIABLES
 
 LEDGER_KEYS = ("station_id", "year", "month")
@@ -95,31 +95,39 @@ class Product:
         return self.present(merge_wide(states, self.keys, self.variables))
 
 
-def monthly_ledger(readings: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class Ledger:
     """State of every core variable per station and month, in one scan.
 
-    All products below the day are roll-ups of it, so a set of them costs one
-    pass over the readings. ``{VAR}_rows`` counts readings with a NULL value too,
-    which decide whether a group exists.
+    All products are roll-ups of it, so a set of them costs one pass over the
+    readings, or one stream. ``{VAR}_rows`` counts readings with a NULL value
+    too, which decide whether a group exists. States of batches need not be
+    merged before products are made of them.
     """
-    rows = readings.filter(F.col("variable").isin(*CORE_VARIABLES)).select(
-        "station_id",
-        F.year("obs_date").alias("year"),
-        F.month("obs_date").alias("month"),
-        "variable",
-        "value",
-    )
-    return rows.groupBy(*LEDGER_KEYS).agg(
-        *[
-            column
-            for v in CORE_VARIABLES
-            for column in (
-                F.sum(F.when(F.col("variable") == v, F.col("value"))).alias(f"{v}_sum"),
-                F.count(F.when(F.col("variable") == v, F.col("value"))).alias(f"{v}_count"),
-                F.count(F.when(F.col("variable") == v, 1)).alias(f"{v}_rows"),
-            )
+
+    name: str = "monthly_ledger"
+    grain: tuple[str, ...] = LEDGER_KEYS
+
+    def partial(self, readings: DataFrame) -> DataFrame:
+        rows = readings.filter(F.col("variable").isin(*CORE_VARIABLES)).select(
+            "station_id",
+            F.year("obs_date").alias("year"),
+            F.month("obs_date").alias("month"),
+            "variable",
+            "value",
+        )
+        counts = [
+            F.count(F.when(F.col("variable") == v, 1)).alias(f"{v}_rows") for v in CORE_VARIABLES
         ]
-    )
+        return rows.groupBy(*self.grain).agg(*wide_state_columns(CORE_VARIABLES), *counts)
+
+    def finish(self, states: DataFrame) -> DataFrame:
+        parts = [f"{v}_{part}" for v in CORE_VARIABLES for part in ("sum", "count")]
+        parts += [f"{v}_rows" for v in CORE_VARIABLES]
+        return states.groupBy(*self.grain).agg(*[F.sum(c).alias(c) for c in parts])
+
+    def compute(self, readings: DataFrame) -> DataFrame:
+        return self.partial(readings)
 
 
 def temp_gap() -> Product:

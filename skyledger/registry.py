@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,69 +53,66 @@ def with_year(readings: DataFrame) -> DataFrame:
     return readings.withColumn("year", F.year("obs_date"))
 
 
-def all_products(spark: SparkSession, sf_dir: str) -> dict[str, products.Product]:
-    geography, stations = tables.geography(spark, sf_dir), tables.stations(spark, sf_dir)
-    found = [
-        products.temp_gap(),
-        products.continent_prcp(geography, CONTINENTS, AFTER, BEFORE),
-        products.elevation_snow(stations),
-        products.station_var_mean(stations, "PRCP"),
-        products.ml_features(AFTER),
-        products.bonus_station_month(),
-    ]
-    return {p.name: p for p in found}
-
-
 # ---- data products over tables ----
 
+PRODUCTS: dict[str, Callable[[SparkSession, str], products.Product]] = {
+    "temp_gap": lambda spark, sf_dir: products.temp_gap(),
+    "continent_prcp": lambda spark, sf_dir: products.continent_prcp(
+        tables.geography(spark, sf_dir), CONTINENTS, AFTER, BEFORE
+    ),
+    "elevation_snow": lambda spark, sf_dir: products.elevation_snow(
+        tables.stations(spark, sf_dir)
+    ),
+    "station_var_mean": lambda spark, sf_dir: products.station_var_mean(
+        tables.stations(spark, sf_dir), "PRCP"
+    ),
+    "ml_features": lambda spark, sf_dir: products.ml_features(AFTER),
+    "bonus_station_month": lambda spark, sf_dir: products.bonus_station_month(),
+}
+
 
 def _product(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return all_products(spark, sf_dir)[name].compute(tables.readings(spark, sf_dir))
+        return PRODUCTS[name](spark, sf_dir).compute(tables.readings(spark, sf_dir))
 
     return run
 
 
-for _key, _name in {
-    "temp_gap": "temp_gap",
-    "continent_prcp": "continent_prcp",
-    "elevation_snow": "elevation_snow",
-    "station_var_mean": "station_prcp_mean",
-    "ml_features": "ml_features",
-    "bonus_station_month": "bonus_station_month",
-}.items():
-    QUERIES[_key] = _product(_name)
+QUERIES.update({name: _product(name) for name in PRODUCTS})
 
 
 @query
 def monthly_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return products.monthly_ledger(tables.readings(spark, sf_dir))
+    return products.Ledger().compute(tables.readings(spark, sf_dir))
 
 
-@query
-def products_from_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All products from one scan, as rows and a checksum of each."""
-    ledger = materialize(monthly_ledger(spark, sf_dir), "ledger")
+def _roll_up(spark: SparkSession, sf_dir: str, ledger: DataFrame) -> DataFrame:
+    """All products of one ledger, as rows and a checksum of each."""
     measure = {
         "temp_gap": "gap",
         "continent_prcp": "avg_prcp",
         "elevation_snow": "avg_snow",
-        "station_prcp_mean": "prcp",
+        "station_var_mean": "prcp",
         "ml_features": "prcp_avg",
         "bonus_station_month": "snwd_avg",
     }
     parts = [
-        p.from_ledger(ledger).agg(
+        PRODUCTS[name](spark, sf_dir)
+        .from_ledger(ledger)
+        .agg(
             F.lit(name).alias("product"),
             F.count("*").alias("n_rows"),
-            F.round(F.sum(measure[name]), 4).alias("checksum"),
+            F.round(F.sum(column), 4).alias("checksum"),
         )
-        for name, p in all_products(spark, sf_dir).items()
+        for name, column in measure.items()
     ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def products_from_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All products from one scan."""
+    return _roll_up(spark, sf_dir, materialize(monthly_ledger(spark, sf_dir), "ledger"))
 
 
 @query
@@ -337,20 +335,27 @@ def _stream_product(name: str) -> Query:
     """A product from partial states of micro-batches."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        product = all_products(spark, sf_dir)[name]
+        product = PRODUCTS[name](spark, sf_dir)
         path, checkpoint = scratch_path(spark, "partials"), scratch_path(spark, "checkpoint")
         return runs.run(product, _stream(spark, sf_dir), path, checkpoint)
 
     return run
 
 
-for _key, _name in {
-    "stream_partials_merge": "ml_features",
-    "stream_continent_prcp": "continent_prcp",
-    "stream_elevation_snow": "elevation_snow",
-    "stream_bonus_station_month": "bonus_station_month",
-}.items():
-    QUERIES[_key] = _stream_product(_name)
+QUERIES.update(
+    stream_partials_merge=_stream_product("ml_features"),
+    stream_continent_prcp=_stream_product("continent_prcp"),
+    stream_elevation_snow=_stream_product("elevation_snow"),
+    stream_bonus_station_month=_stream_product("bonus_station_month"),
+)
+
+
+@query
+def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All products from one stream."""
+    path, checkpoint = scratch_path(spark, "partials"), scratch_path(spark, "checkpoint")
+    runs.run_partials(products.Ledger(), _stream(spark, sf_dir), path, checkpoint)
+    return _roll_up(spark, sf_dir, runs.read_partials(spark, path))
 
 
 @query

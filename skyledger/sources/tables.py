@@ -38,8 +38,8 @@ def country_of(key: Column) -> Column:
 
 
 def station_of(key: Column) -> Column:
-    """Eleven characters: country code and nine hex digits."""
-    return F.concat(country_of(key), F.lpad(F.hex(key), 9, "0"))
+    """Eleven characters: country code and nine hex digits, the first never 0."""
+    return F.concat(country_of(key), F.hex(key + (1 << 32)))
 
 
 def raw_readings(lineitem: DataFrame) -> DataFrame:

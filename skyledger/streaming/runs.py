@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from skyledger.operators.means import once_per_batch
-from skyledger.plans.products import Product
+from skyledger.plans.products import Ledger, Product
 from skyledger.sources import jdbc
 
 
@@ -111,7 +111,7 @@ def run_append(
 
 
 def run_partials(
-    product: Product,
+    product: Product | Ledger,
     readings: DataFrame,
     path: str,
     checkpoint: str,
@@ -123,7 +123,7 @@ def run_partials(
     run_batches(readings, write, checkpoint, cadence)
 
 
-def write_partial(product: Product, batch: DataFrame, path: str, epoch: int) -> None:
+def write_partial(product: Product | Ledger, batch: DataFrame, path: str, epoch: int) -> None:
     product.partial(batch).write.mode("overwrite").parquet(f"{path}/batch_id={epoch}")
 
 
@@ -189,7 +189,7 @@ def read_latest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def run(
-    product: Product,
+    product: Product | Ledger,
     readings: DataFrame,
     path: str | None = None,
     checkpoint: str | None = None,

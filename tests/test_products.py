@@ -202,8 +202,12 @@ def test_batches_and_ledger_agree_with_one_pass(readings, dims, i):
     for part in parts[1:]:
         states = states.unionByName(product.partial(part))
     assert sorted(product.finish(states).collect(), key=str) == whole
-    ledger = products.monthly_ledger(readings)
-    assert sorted(product.from_ledger(ledger).collect(), key=str) == whole
+    ledger = products.Ledger()
+    assert sorted(product.from_ledger(ledger.compute(readings)).collect(), key=str) == whole
+    pages = ledger.partial(parts[0])
+    for part in parts[1:]:
+        pages = pages.unionByName(ledger.partial(part))
+    assert sorted(product.from_ledger(pages).collect(), key=str) == whole
 
 
 def test_top_country(readings, dims):
@@ -227,3 +231,12 @@ def test_yearly_extremes(spark):
          ("a", datetime.date(1981, 1, 1), "TMAX", 5)], READING,
     )
     assert [tuple(r) for r in products.yearly_extremes(df).collect()] == [(1980, 9, -2, 8.0)]
+
+
+def test_ledger_pages_merge(readings):
+    ledger = products.Ledger()
+    first, second = readings.randomSplit([1.0, 1.0], seed=2)
+    pages = ledger.partial(first).unionByName(ledger.partial(second))
+    assert sorted(ledger.finish(pages).collect(), key=str) == sorted(
+        ledger.compute(readings).collect(), key=str
+    )
