@@ -1,11 +1,13 @@
-"""From messages to a published product, as one command per product.
+"""Every product, reference table and model as one command.
 
     python -m skyledger.jobs temp_gap --servers host:9092 --topics EZ \\
         --every "120 seconds" --seconds 7200 --per-trigger 5000000 \\
         --work s3a://shared/temp_gap --jdbc-url jdbc:... --table temp_gap
+    python -m skyledger.jobs stations --input s3a://raw/stations.txt --output s3a://shared/stations
+    python -m skyledger.jobs clusters --input s3a://shared/stations --prefix CA --output ...
 
-The dimension tables are Parquet folders; ``--output`` writes Parquet instead
-of a SQL table. User and password come from JDBC_USER and JDBC_PASSWORD.
+Tables are Parquet folders, or SQL tables with ``--jdbc-url`` and ``--input-table``
+or ``--table``; user and password come from JDBC_USER and JDBC_PASSWORD.
 """
 
 from __future__ import annotations
@@ -15,43 +17,63 @@ import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skyledger.operators.clean import clean_messages
-from skyledger.plans import products
-from skyledger.session import configure
-from skyledger.sources.jdbc import append_table
+from skyledger.plans import learning, products
+from skyledger.session import configure, materialize
+from skyledger.sources import text
+from skyledger.sources.jdbc import append_table, overwrite_table, read_table
 from skyledger.sources.messages import read_broker, read_topic_files
 from skyledger.streaming.runs import Cadence, run
 
-NAMES = (
+PRODUCTS = (
     "temp_gap",
     "continent_prcp",
     "elevation_snow",
     "station_var_mean",
     "ml_features",
     "bonus_station_month",
+    "ledger",
 )
+TABLES = ("stations", "inventory", "geography")
+MODELS = ("regression", "clusters")
 
 
-def product_named(spark: SparkSession, args: argparse.Namespace) -> products.Product:
-    def dimension(path: str | None, option: str) -> DataFrame:
-        if path is None:
-            raise SystemExit(f"{args.product} needs {option}")
-        return spark.read.parquet(path)
+def connection(args: argparse.Namespace) -> dict[str, str]:
+    if not args.jdbc_url:
+        raise SystemExit("a SQL table needs --jdbc-url")
+    options = {"url": args.jdbc_url}
+    for name in ("user", "password"):
+        if value := os.environ.get(f"JDBC_{name.upper()}"):
+            options[name] = value
+    return options
 
-    match args.product:
+
+def dimension(spark: SparkSession, path: str | None, option: str) -> DataFrame:
+    if path is None:
+        raise SystemExit(f"this job needs {option}")
+    return spark.read.parquet(path)
+
+
+def product_named(
+    spark: SparkSession, args: argparse.Namespace
+) -> products.Product | products.Ledger:
+    match args.job:
         case "temp_gap":
             return products.temp_gap()
         case "continent_prcp":
-            return products.continent_prcp(dimension(args.geography, "--geography"))
+            return products.continent_prcp(dimension(spark, args.geography, "--geography"))
         case "elevation_snow":
-            return products.elevation_snow(dimension(args.stations, "--stations"))
+            return products.elevation_snow(dimension(spark, args.stations, "--stations"))
         case "station_var_mean":
-            stations = dimension(args.stations, "--stations")
+            stations = dimension(spark, args.stations, "--stations")
             return products.station_var_mean(stations, args.variable)
         case "ml_features":
             return products.ml_features()
-    return products.bonus_station_month()
+        case "bonus_station_month":
+            return products.bonus_station_month()
+    return products.Ledger()
 
 
 def messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -61,57 +83,103 @@ def messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return read_topic_files(spark, args.messages, args.topics, stream, args.per_trigger)
 
 
+def product_result(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    return run(
+        product_named(spark, args),
+        clean_messages(messages(spark, args)),
+        args.work and f"{args.work}/states",
+        args.work and f"{args.work}/checkpoint",
+        Cadence(args.every, args.seconds),
+    )
+
+
+def reference_table(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    match args.job:
+        case "stations":
+            stations = text.read_stations(spark, args.input)
+            if args.prefix:
+                return stations.filter(F.col("station_id").startswith(args.prefix))
+            return stations
+        case "inventory":
+            return text.read_inventory(spark, args.input)
+    return text.read_geography(spark, args.input, not args.no_header)
+
+
+def model_result(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    if args.input_table:
+        rows = read_table(spark, args.input_table, connection(args))
+    else:
+        rows = dimension(spark, args.input, "--input")
+    if args.job == "regression":
+        cases = materialize(learning.complete_cases(rows), "cases")
+        return learning.regression_report(*learning.split(cases, *products.LEDGER_KEYS))
+    if args.prefix:
+        rows = rows.filter(F.col("station_id").startswith(args.prefix))
+    positions = learning.complete_cases(rows.select("station_id", *learning.POSITION))
+    _, clustered = learning.fit_clusters(positions, args.k)
+    return clustered.select("station_id", *learning.POSITION, "cluster")
+
+
 def publish(df: DataFrame, args: argparse.Namespace) -> None:
     if args.output:
         df.write.mode("overwrite").parquet(args.output)
         return
-    connection = {"url": args.jdbc_url}
-    for option in ("user", "password"):
-        if value := os.environ.get(f"JDBC_{option.upper()}"):
-            connection[option] = value
-    append_table(df, args.table or args.product, connection)
+    write = overwrite_table if args.overwrite else append_table
+    write(df, args.table or args.job, connection(args))
 
 
 def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="skyledger.jobs")
-    parser.add_argument("product", choices=NAMES)
-    source = parser.add_mutually_exclusive_group(required=True)
+    parser.add_argument("job", choices=(*PRODUCTS, *TABLES, *MODELS))
+    source = parser.add_argument_group("source of a product")
     source.add_argument("--servers", help="message broker")
     source.add_argument("--messages", help="folder of topic=<name> text files")
-    parser.add_argument("--topics", required=True, help='such as "EZ, US"')
-    parser.add_argument("--mode", choices=("static", "dynamic"), default="dynamic")
-    parser.add_argument("--every", help="trigger interval; without it, what is there now")
-    parser.add_argument("--seconds", type=int, help="how long the stream runs")
-    parser.add_argument("--per-trigger", type=int, help="messages or files per micro-batch")
-    parser.add_argument("--work", help="shared folder for states and checkpoint")
-    parser.add_argument("--stations")
-    parser.add_argument("--geography")
-    parser.add_argument("--variable", default="PRCP")
-    sink = parser.add_mutually_exclusive_group(required=True)
+    source.add_argument("--topics", help='such as "EZ, US"')
+    source.add_argument("--mode", choices=("static", "dynamic"), default="dynamic")
+    source.add_argument("--every", help="trigger interval; without it, what is there now")
+    source.add_argument("--seconds", type=int, help="how long the stream runs")
+    source.add_argument("--per-trigger", type=int, help="messages or files per micro-batch")
+    source.add_argument("--work", help="shared folder for states and checkpoint")
+    source.add_argument("--stations")
+    source.add_argument("--geography")
+    source.add_argument("--variable", default="PRCP")
+    other = parser.add_argument_group("source of a table or model")
+    other.add_argument("--input")
+    other.add_argument("--input-table")
+    other.add_argument("--no-header", action="store_true")
+    other.add_argument("--prefix", help="keep the stations whose id starts like this")
+    other.add_argument("--k", type=int, default=10, help="number of clusters")
+    sink = parser.add_argument_group("sink")
     sink.add_argument("--output")
     sink.add_argument("--jdbc-url")
-    parser.add_argument("--table")
+    sink.add_argument("--table")
+    sink.add_argument("--overwrite", action="store_true", help="replace the SQL table")
     args = parser.parse_args(argv)
-    if args.mode == "dynamic" and not args.work:
-        parser.error("a stream needs --work")
+    if not (args.output or args.jdbc_url):
+        parser.error("--output or --jdbc-url is needed")
+    if args.job in PRODUCTS:
+        if not args.topics or bool(args.servers) == bool(args.messages):
+            parser.error("a product needs --topics and one of --servers and --messages")
+        if args.mode == "dynamic" and not args.work:
+            parser.error("a stream needs --work")
+    elif not (args.input or (args.input_table and args.job in MODELS)):
+        parser.error("--input is needed")
     return args
 
 
 def execute(spark: SparkSession, args: argparse.Namespace) -> None:
-    product = product_named(spark, args)
-    result = run(
-        product,
-        clean_messages(messages(spark, args)),
-        args.work and f"{args.work}/states",
-        args.work and f"{args.work}/checkpoint",
-        Cadence(args.every, args.seconds),
-    )
+    if args.job in PRODUCTS:
+        result = product_result(spark, args)
+    elif args.job in TABLES:
+        result = reference_table(spark, args)
+    else:
+        result = model_result(spark, args)
     publish(result, args)
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = arguments(argv)
-    spark = configure(SparkSession.builder.appName(f"skyledger-{args.product}")).getOrCreate()
+    spark = configure(SparkSession.builder.appName(f"skyledger-{args.job}")).getOrCreate()
     execute(spark, args)
 
 

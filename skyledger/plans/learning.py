@@ -30,6 +30,7 @@ def split(df: DataFrame, *keys: str, train: int = 8) -> tuple[DataFrame, DataFra
 
 
 def random_split(df: DataFrame, seed: int, train: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """By chance; the seed repeats it for the same layout of the data only."""
     first, second = df.randomSplit([train, 1 - train], seed)
     return first, second
 

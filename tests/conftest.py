@@ -17,7 +17,7 @@ def spark():
         SparkSession.builder.master("local[8]")
         .appName("skyledger-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "8g")
     )
     session = configure(builder).getOrCreate()

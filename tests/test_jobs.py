@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import pytest
 
+from __spark_entry__ import queries
 from skyledger import jobs
+from skyledger.schemas import STATION_FIELDS
 from skyledger.session import scratch_path
-from skyledger.sources import tables
+from skyledger.sources import tables, text
 from skyledger.sources.files import write_partitioned
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -22,7 +24,7 @@ def inputs(spark):
     return paths
 
 
-@pytest.mark.parametrize("name", ["temp_gap", "elevation_snow", "bonus_station_month"])
+@pytest.mark.parametrize("name", ["temp_gap", "elevation_snow", "ledger"])
 def test_stream_and_table_jobs_publish_the_same(spark, inputs, name):
     results = []
     for mode in ("static", "dynamic"):
@@ -38,19 +40,62 @@ def test_stream_and_table_jobs_publish_the_same(spark, inputs, name):
 
 
 def test_arguments():
-    with pytest.raises(SystemExit):
-        jobs.arguments(["temp_gap", "--messages", "m", "--topics", "EZ", "--output", "o"])
-    with pytest.raises(SystemExit):
-        jobs.arguments(["unknown", "--messages", "m", "--topics", "EZ", "--output", "o"])
+    for wrong in (
+        ["temp_gap", "--messages", "m", "--topics", "EZ", "--output", "o"],  # a stream without --work
+        ["temp_gap", "--messages", "m", "--work", "w", "--output", "o"],
+        ["temp_gap", "--topics", "EZ", "--work", "w", "--output", "o"],
+        ["unknown", "--messages", "m", "--topics", "EZ", "--output", "o"],
+        ["temp_gap", "--messages", "m", "--topics", "EZ", "--work", "w"],
+        ["stations", "--output", "o"],
+    ):
+        with pytest.raises(SystemExit):
+            jobs.arguments(wrong)
     args = jobs.arguments(
         ["temp_gap", "--servers", "h:1", "--topics", "EZ", "--work", "w", "--jdbc-url", "jdbc:x"]
     )
     assert (args.mode, args.every, args.seconds) == ("dynamic", None, None)
 
 
-def test_missing_dimension(spark, inputs):
+def test_missing_dimension(spark):
     args = jobs.arguments(
         ["elevation_snow", "--messages", "m", "--topics", "EZ", "--mode", "static", "--output", "o"]
     )
     with pytest.raises(SystemExit, match="--stations"):
         jobs.product_named(spark, args)
+
+
+def test_sql_sink(spark, monkeypatch):
+    calls = []
+    monkeypatch.setenv("JDBC_USER", "u")
+    monkeypatch.setattr(jobs, "append_table", lambda *a: calls.append(("append", *a[1:])))
+    monkeypatch.setattr(jobs, "overwrite_table", lambda *a: calls.append(("overwrite", *a[1:])))
+    base = ["geography", "--input", "i", "--jdbc-url", "jdbc:x"]
+    jobs.publish(spark.range(1), jobs.arguments(base))
+    jobs.publish(spark.range(1), jobs.arguments([*base, "--table", "t", "--overwrite"]))
+    options = {"url": "jdbc:x", "user": "u"}
+    assert calls == [("append", "geography", options), ("overwrite", "t", options)]
+
+
+def test_reference_tables_and_models(spark, tmp_path):
+    lines = scratch_path(spark, "lines")
+    stations = tables.stations(spark, SF_DIR)
+    stations.select(text.fixed_width_line(STATION_FIELDS)).write.text(lines)
+    out = {n: scratch_path(spark, n) for n in ("stations", "some", "clusters", "report", "geo")}
+    jobs.execute(spark, jobs.arguments(["stations", "--input", lines, "--output", out["stations"]]))
+    assert spark.read.parquet(out["stations"]).count() == stations.count()
+    jobs.execute(spark, jobs.arguments(
+        ["stations", "--input", lines, "--prefix", "03", "--output", out["some"]]))
+    assert {r[0][:2] for r in spark.read.parquet(out["some"]).select("station_id").collect()} == {"03"}
+    jobs.execute(spark, jobs.arguments(
+        ["clusters", "--input", out["stations"], "--k", "3", "--output", out["clusters"]]))
+    clusters = spark.read.parquet(out["clusters"])
+    assert clusters.count() == stations.filter("elevation <> -999.9").count()
+    assert clusters.select("cluster").distinct().count() == 3
+    features = scratch_path(spark, "features")
+    queries()["ml_features"](spark, "/root/testdata/sf0.01").write.parquet(features)
+    jobs.execute(spark, jobs.arguments(["regression", "--input", features, "--output", out["report"]]))
+    assert spark.read.parquet(out["report"]).first()["rmse"] > 0
+    (tmp_path / "geo.csv").write_text('TW,Asia,Taiwan\n"RI,KV",Europe,Serbia\n')
+    jobs.execute(spark, jobs.arguments(
+        ["geography", "--input", str(tmp_path / "geo.csv"), "--no-header", "--output", out["geo"]]))
+    assert spark.read.parquet(out["geo"]).count() == 2

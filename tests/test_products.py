@@ -56,7 +56,7 @@ ROWS = make_rows()
 
 @pytest.fixture(scope="module")
 def readings(spark):
-    return spark.createDataFrame(ROWS, READING).repartition(6).cache()
+    return spark.createDataFrame(ROWS, READING).repartition(3).cache()
 
 
 @pytest.fixture(scope="module")
