@@ -59,6 +59,14 @@ def _state(variable: str) -> str:
     return f"CAST(sum({value}) AS BIGINT) AS {variable}_sum, count({value}) AS {variable}_count"
 
 
+def _page(variable: str) -> str:
+    value = f"CASE WHEN variable = '{variable}' THEN value END"
+    return (
+        f"CAST(coalesce(sum({value}), 0) AS BIGINT) AS {variable}_sum, count({value}) AS {variable}_count,"
+        f" count(CASE WHEN variable = '{variable}' THEN 1 END) AS {variable}_rows"
+    )
+
+
 CORE = ("PRCP", "SNOW", "SNWD", "TMAX", "TMIN")
 _CORE_LIST = "('PRCP', 'SNOW', 'SNWD', 'TMAX', 'TMIN')"
 
@@ -89,7 +97,9 @@ BONUS = f"""
 
 FEATURES = "SELECT * FROM features"
 
-CLEAN = "SELECT station_id, obs_date, variable, value FROM readings"
+CLEAN = """
+  SELECT station_id, CAST(obs_date AS VARCHAR) AS obs_date, variable, CAST(value AS DOUBLE) AS value
+  FROM readings"""
 
 CONTINENT_YEAR = """
   SELECT continent, year, {columns}
@@ -155,8 +165,7 @@ _QUERIES = {
     "ml_features": FEATURES,
     "bonus_station_month": BONUS,
     "monthly_ledger": f"""
-  SELECT station_id, year, month, {', '.join(
-      f"{_state(v)}, count(CASE WHEN variable = '{v}' THEN 1 END) AS {v}_rows" for v in CORE)}
+  SELECT station_id, year, month, {', '.join(_page(v) for v in CORE)}
   FROM readings WHERE variable IN {_CORE_LIST} GROUP BY station_id, year, month""",
     "products_from_ledger": CHECKSUMS,
     "stream_ledger": CHECKSUMS,
@@ -218,7 +227,7 @@ _QUERIES = {
     "row_count": "SELECT count(*) AS n_rows FROM readings",
     "ordered_limit": """
   SELECT year, avg(value) AS prcp, CAST(sum(value) AS BIGINT) AS total, count(*) AS n,
-         max(obs_date) AS last_date
+         CAST(max(obs_date) AS VARCHAR) AS last_date
   FROM (SELECT * FROM readings WHERE variable = 'PRCP' AND value IS NOT NULL
         ORDER BY obs_date, station_id, value LIMIT 5000)
   GROUP BY year""",

@@ -83,7 +83,8 @@ QUERIES.update({name: _product(name) for name in PRODUCTS})
 
 @query
 def monthly_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return products.Ledger().compute(tables.readings(spark, sf_dir))
+    """The state of a variable without readings is (0, 0)."""
+    return products.Ledger().compute(tables.readings(spark, sf_dir)).na.fill(0)
 
 
 def _roll_up(spark: SparkSession, sf_dir: str, ledger: DataFrame) -> DataFrame:
@@ -128,9 +129,18 @@ def temp_gap_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- sources and sinks ----
 
 
+def _comparable(readings: DataFrame) -> DataFrame:
+    """Engines hand out dates and integers with NULLs as different types."""
+    return readings.withColumns(
+        {"obs_date": F.col("obs_date").cast("string"), "value": F.col("value").cast("double")}
+    )
+
+
 @query
 def clean_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_messages(tables.messages_of(tables.table(spark, sf_dir, "lineitem")))
+    return _comparable(
+        clean_messages(tables.messages_of(tables.table(spark, sf_dir, "lineitem")))
+    )
 
 
 @query
@@ -315,7 +325,7 @@ def ordered_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.avg("value").alias("prcp"),
         F.sum("value").alias("total"),
         F.count("*").alias("n"),
-        F.max("obs_date").alias("last_date"),
+        F.max("obs_date").cast("string").alias("last_date"),
     )
 
 
@@ -374,7 +384,7 @@ def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "clean")
     rows = clean_messages(tables.messages_of(lineitem))
     runs.run_append(rows, path, scratch_path(spark, "checkpoint"))
-    return spark.read.schema(rows.schema).parquet(path)
+    return _comparable(spark.read.schema(rows.schema).parquet(path))
 
 
 @query
