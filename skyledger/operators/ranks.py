@@ -92,26 +92,27 @@ def first_rows(df: DataFrame, n: int, lead: str, *rest: str, keep: int = KEEP) -
     equal ones are counted, not shipped.
     """
     columns = [lead, *rest]
-    key = F.unix_date(lead) if dict(df.dtypes)[lead] == "date" else F.col(lead)
-    rows = df.select(*columns, key.alias("_key")).filter(F.col(lead).isNotNull())
+    rows = df.select(*columns).filter(F.col(lead).isNotNull())
     if n <= 0:
-        return rows.select(*columns).limit(0)
-    cut = values_at_ranks(rows, "_key", [n - 1], keep)
+        return rows.limit(0)
+    is_date = dict(df.dtypes)[lead] == "date"
+    key = F.unix_date(lead) if is_date else F.col(lead)
+    cut = values_at_ranks(rows.select(key.alias("key")), "key", [n - 1], keep)
     if not cut:
-        return rows.select(*columns)
-    before = rows.filter(F.col("_key") < cut[0].value)
+        return rows
+    edge = F.lit(cut[0].value)
+    if is_date:
+        edge = F.date_from_unix_date(edge)
     left = F.lit(n - cut[0].below)
-    # The key is the same in all of these rows; it only gives the sort a column.
-    order = ["_key", *rest]
-    upto = F.sum("_n").over(Window.orderBy(*order))
+    upto = F.sum("_n").over(Window.orderBy(*columns))
     at_cut = (
-        rows.filter(F.col("_key") == cut[0].value)
-        .groupBy("_key", *columns)
+        rows.filter(F.col(lead) == edge)
+        .groupBy(*columns)
         .agg(F.count("*").alias("_n"))
-        .orderBy(*order)
+        .orderBy(*columns)
         .limit(n - cut[0].below)
         .withColumn("_copies", F.least("_n", left - (upto - F.col("_n"))))
         .filter(F.col("_copies") > 0)
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     )
-    return before.select(*columns).unionByName(at_cut.select(*columns))
+    return rows.filter(F.col(lead) < edge).unionByName(at_cut.select(*columns))

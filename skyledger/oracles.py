@@ -59,14 +59,19 @@ def _state(variable: str) -> str:
     return f"CAST(sum({value}) AS BIGINT) AS {variable}_sum, count({value}) AS {variable}_count"
 
 
-def _page(variable: str) -> str:
+def _filled_state(variable: str) -> str:
     value = f"CASE WHEN variable = '{variable}' THEN value END"
     return (
-        f"CAST(coalesce(sum({value}), 0) AS BIGINT) AS {variable}_sum, count({value}) AS {variable}_count,"
-        f" count(CASE WHEN variable = '{variable}' THEN 1 END) AS {variable}_rows"
+        f"CAST(coalesce(sum({value}), 0) AS BIGINT) AS {variable}_sum,"
+        f" count({value}) AS {variable}_count"
     )
 
 
+def _page(variable: str) -> str:
+    rows = f"count(CASE WHEN variable = '{variable}' THEN 1 END) AS {variable}_rows"
+    return f"{_filled_state(variable)}, {rows}"
+
+
 CORE = ("PRCP", "SNOW", "SNWD", "TMAX", "TMIN")
 _CORE_LIST = "('PRCP', 'SNOW', 'SNWD', 'TMAX', 'TMIN')"
 
@@ -164,6 +169,20 @@ _QUERIES = {
     "station_var_mean": STATION_PRCP,
     "ml_features": FEATURES,
     "bonus_station_month": BONUS,
+    "temp_gap_state": f"""
+  SELECT year, {_filled_state('TMAX')}, {_filled_state('TMIN')}
+  FROM readings WHERE variable IN ('TMAX', 'TMIN') GROUP BY year""",
+    "elevation_snow_state": f"""
+  SELECT elevation, {_filled_state('SNOW')} FROM readings JOIN stations USING (station_id)
+  WHERE variable = 'SNOW' AND month = 1 AND elevation IS NOT NULL GROUP BY elevation""",
+    "ml_features_state": f"""
+  SELECT station_id, year, month, {', '.join(_filled_state(v) for v in ('SNOW', 'TMAX', 'TMIN', 'PRCP'))}
+  FROM readings
+  WHERE variable IN ('SNOW', 'TMAX', 'TMIN', 'PRCP') AND month IN (1, 2) AND year > 1995
+  GROUP BY station_id, year, month""",
+    "bonus_daily_state": f"""
+  SELECT station_id, CAST(obs_date AS VARCHAR) AS obs_date, {', '.join(_filled_state(v) for v in CORE)}
+  FROM readings WHERE variable IN {_CORE_LIST} AND month IN (1, 2) GROUP BY station_id, obs_date""",
     "monthly_ledger": f"""
   SELECT station_id, year, month, {', '.join(_page(v) for v in CORE)}
   FROM readings WHERE variable IN {_CORE_LIST} GROUP BY station_id, year, month""",

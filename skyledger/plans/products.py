@@ -4,7 +4,8 @@ A product names its variables, months and years, the grain of its partial
 state and the keys of its result. From that follow
 
 * ``partial(readings)``: the state of one table or micro-batch,
-* ``finish(states)``: merge states of any number of batches and present them,
+* ``merge(states)``, ``finish(states)``: merge states of any number of batches, and
+  present them,
 * ``compute(readings)``: both in one plan,
 * ``from_ledger(ledger)``: the same result from the monthly ledger.
 
@@ -63,13 +64,17 @@ class Product:
     def partial(self, readings: DataFrame) -> DataFrame:
         return self._state(readings, self.grain)
 
-    def finish(self, states: DataFrame) -> DataFrame:
+    def merge(self, states: DataFrame) -> DataFrame:
+        """One state per key of the result."""
         if self.enrich is not None:
             states = self.enrich(states)
         for k in self.keys:
             if k not in states.columns:
                 states = states.withColumn(k, _DERIVED[k]())
-        return self.present(merge_wide(states, self.keys, self.variables))
+        return merge_wide(states, self.keys, self.variables)
+
+    def finish(self, states: DataFrame) -> DataFrame:
+        return self.present(self.merge(states))
 
     def compute(self, readings: DataFrame) -> DataFrame:
         if self.enrich is None:
@@ -220,12 +225,16 @@ def ml_features(after: int | None = 1970) -> Product:
     )
 
 
-def bonus_station_month() -> Product:
-    """Winter means of the five core variables per station and month."""
+def bonus_station_month(daily: bool = False) -> Product:
+    """Winter means of the five core variables per station and month.
+
+    Partial states are as coarse as the result, unless ``daily`` ones are wanted
+    as a table of their own.
+    """
     keys = ("station_id", "month")
     names = {v: f"{v.lower()}_avg" for v in CORE_VARIABLES}
     return Product(
-        "bonus_station_month", CORE_VARIABLES, ("station_id", "obs_date"), keys,
+        "bonus_station_month", CORE_VARIABLES, ("station_id", "obs_date") if daily else keys, keys,
         lambda states: wide_means(states, keys, names),
         months=(1, 2),
     )

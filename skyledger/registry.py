@@ -81,10 +81,37 @@ def _product(name: str) -> Query:
 QUERIES.update({name: _product(name) for name in PRODUCTS})
 
 
+def _filled(states: DataFrame) -> DataFrame:
+    """The state of a variable without readings as (0, 0)."""
+    return states.na.fill(0, [c for c in states.columns if c.endswith("_sum")])
+
+
+@query
+def temp_gap_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _filled(PRODUCTS["temp_gap"](spark, sf_dir).partial(tables.readings(spark, sf_dir)))
+
+
+@query
+def elevation_snow_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    product = products.elevation_snow(tables.stations(spark, sf_dir), None, None, None)
+    return _filled(product.merge(product.partial(tables.readings(spark, sf_dir))))
+
+
+@query
+def ml_features_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _filled(PRODUCTS["ml_features"](spark, sf_dir).partial(tables.readings(spark, sf_dir)))
+
+
+@query
+def bonus_daily_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    product = products.bonus_station_month(daily=True)
+    states = _filled(product.partial(tables.readings(spark, sf_dir)))
+    return states.withColumn("obs_date", F.col("obs_date").cast("string"))
+
+
 @query
 def monthly_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The state of a variable without readings is (0, 0)."""
-    return products.Ledger().compute(tables.readings(spark, sf_dir)).na.fill(0)
+    return _filled(products.Ledger().compute(tables.readings(spark, sf_dir)))
 
 
 def _roll_up(spark: SparkSession, sf_dir: str, ledger: DataFrame) -> DataFrame:

@@ -32,6 +32,11 @@ def test_year_bounds_reach_the_scan(spark):
         assert "GreaterThanOrEqual(l_shipdate,1996-01-01T00:00)" in plan
 
 
+def test_the_cut_of_a_limit_reaches_the_scan(spark):
+    plan = queries()["ordered_limit"](spark, "/root/testdata/sf0.01")._jdf.queryExecution()
+    assert "LessThan(l_shipdate" in plan.toString()
+
+
 def test_only_needed_columns_are_read(spark):
     plan = plan_of(queries()["temp_gap"](spark, SF_DIR))
     scan = plan[plan.index("FileScan") :]

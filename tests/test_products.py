@@ -189,10 +189,11 @@ def every_product(dims):
         products.ml_features(),
         products.ml_features(None),
         products.bonus_station_month(),
+        products.bonus_station_month(daily=True),
     ]
 
 
-@pytest.mark.parametrize("i", range(9))
+@pytest.mark.parametrize("i", range(10))
 def test_batches_and_ledger_agree_with_one_pass(readings, dims, i):
     product = every_product(dims)[i]
     whole = sorted(product.compute(readings).collect(), key=str)

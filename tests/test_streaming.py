@@ -39,7 +39,7 @@ def every_product(spark):
         "continent_prcp": products.continent_prcp(geography),
         "elevation_snow": products.elevation_snow(stations),
         "ml_features": products.ml_features(),
-        "bonus": products.bonus_station_month(),
+        "bonus": products.bonus_station_month(daily=True),
     }
 
 
