@@ -1,73 +1,79 @@
 """Exact order statistics without gathering a column in one place.
 
 ``median`` and ``percentile`` keep every distinct value of a group in one
-buffer, and a sorted limit sends ``limit`` rows of every task to a single one.
-Here a bounded sketch proposes a bracket around the wanted rank, exact counts
-confirm it, and this repeats until few distinct values are left inside.
+buffer, approximate percentiles merge the sketches of all tasks in one, and a
+sorted limit sends ``limit`` rows of every task to a single one. Here values
+are counted per bucket, which tasks combine before the shuffle, and the bucket
+that holds the wanted rank is cut into buckets again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-GRID = 200
-KEEP = 100_000
+BUCKETS = 1000
+KEEP = 10_000
 
 
 @dataclass(frozen=True)
 class Ranked:
     value: float
     below: int  # how many values are smaller
+    equal: int  # how many values are the same
 
 
-def values_at_ranks(
-    df: DataFrame, column: str, ranks: Sequence[int], keep: int = KEEP
-) -> list[Ranked]:
-    """The values at neighbouring ``ranks``, counted from 0 in sorted order.
+def _bucket(value: Column, low: float, high: float) -> Column:
+    """0 for ``low`` up to ``BUCKETS - 1`` for ``high``, never falling in between."""
+    span = high - low
+    if isinstance(span, int) and span < 2**53:
+        offset = value - F.lit(low)
+    elif math.isinf(span):
+        offset, span = value / 2 - low / 2, high / 2 - low / 2
+    else:
+        offset = value.cast("double") - float(low)
+    return F.least((offset / float(span) * BUCKETS).cast("int"), F.lit(BUCKETS - 1))
 
-    ``column`` must be numeric; its NULLs are ignored. The answer is shorter than
-    ``ranks`` where the column has fewer values.
+
+def value_at_rank(df: DataFrame, column: str, rank: int, keep: int = KEEP) -> Ranked | None:
+    """The value at ``rank``, counted from 0 in sorted order; None beyond the last.
+
+    ``column`` must hold integers or finite doubles; its NULLs are ignored. At most ``keep``
+    values, or a row per bucket, reach the driver.
     """
     value = F.col(column)
-    inside, below = df.select(value).filter(value.isNotNull()), 0
-    first, last = min(ranks), max(ranks)
+    inside = df.select(value).filter(value.isNotNull())
+    found = inside.agg(
+        F.count(value).alias("n"), F.min(value).alias("low"), F.max(value).alias("high")
+    ).first()
+    if not 0 <= rank < found["n"]:
+        return None
+    below = 0
     while True:
-        stats = inside.agg(
-            F.count(value).alias("n"),
-            F.approx_count_distinct(value).alias("distinct"),
-            F.percentile_approx(value, [i / GRID for i in range(GRID + 1)], 10_000).alias("grid"),
-        ).first()
-        if stats["distinct"] <= keep or first - below >= stats["n"]:
-            break
-        low = stats["grid"][max((first - below) * GRID // stats["n"] - 1, 0)]
-        high = stats["grid"][min((last - below) * GRID // stats["n"] + 2, GRID)]
-        counts = inside.agg(
-            F.count(F.when(value < low, 1)).alias("under"),
-            F.count(F.when(value <= high, 1)).alias("upto"),
-        ).first()
-        # Where the sketch missed a rank, that side of the bracket stays open.
-        if last - below < counts["upto"]:
-            inside = inside.filter(value <= high)
-        if first - below >= counts["under"]:
-            inside, below = inside.filter(value >= low), below + counts["under"]
-    found = (
-        inside.groupBy(value.alias("value"))
-        .agg(F.count("*").alias("n"))
-        .withColumn("upto", F.sum("n").over(Window.orderBy("value")) + below)
-        .filter((F.col("upto") > first) & (F.col("upto") - F.col("n") <= last))
-        .orderBy("value")
-        .collect()
-    )
-    return [
-        Ranked(row["value"], row["upto"] - row["n"])
-        for rank in ranks
-        for row in found
-        if row["upto"] - row["n"] <= rank < row["upto"]
-    ]
+        n, low, high = found["n"], found["low"], found["high"]
+        if low == high:
+            return Ranked(low, below, n)
+        inside = inside.filter((value >= low) & (value <= high))
+        if n <= keep:
+            values = sorted(row[0] for row in inside.collect())
+            first = bisect_left(values, values[rank - below])
+            after = bisect_right(values, values[rank - below])
+            return Ranked(values[first], below + first, after - first)
+        buckets = (
+            inside.groupBy(_bucket(value, low, high).alias("b"))
+            .agg(F.count(value).alias("n"), F.min(value).alias("low"), F.max(value).alias("high"))
+            .orderBy("b")
+            .collect()
+        )
+        # Buckets are in the order of their values, and equal values share one.
+        for found in buckets:
+            if rank - below < found["n"]:
+                break
+            below += found["n"]
 
 
 def medians(df: DataFrame, columns: list[str], keep: int = KEEP) -> dict[str, float | None]:
@@ -79,8 +85,11 @@ def medians(df: DataFrame, columns: list[str], keep: int = KEEP) -> dict[str, fl
         if n == 0:
             result[c] = None
             continue
-        low, high = values_at_ranks(df, c, [(n - 1) // 2, n // 2], keep)
-        result[c] = low.value + (high.value - low.value) * 0.5
+        low = value_at_rank(df, c, (n - 1) // 2, keep)
+        high = low.value
+        if n // 2 >= low.below + low.equal:
+            high = df.filter(F.col(c) > low.value).agg(F.min(c)).first()[0]
+        result[c] = low.value + (high - low.value) * 0.5
     return result
 
 
@@ -97,20 +106,20 @@ def first_rows(df: DataFrame, n: int, lead: str, *rest: str, keep: int = KEEP) -
         return rows.limit(0)
     is_date = dict(df.dtypes)[lead] == "date"
     key = F.unix_date(lead) if is_date else F.col(lead)
-    cut = values_at_ranks(rows.select(key.alias("key")), "key", [n - 1], keep)
-    if not cut:
+    cut = value_at_rank(rows.select(key.alias("key")), "key", n - 1, keep)
+    if cut is None:
         return rows
-    edge = F.lit(cut[0].value)
+    edge = F.lit(cut.value)
     if is_date:
         edge = F.date_from_unix_date(edge)
-    left = F.lit(n - cut[0].below)
+    left = F.lit(n - cut.below)
     upto = F.sum("_n").over(Window.orderBy(*columns))
     at_cut = (
         rows.filter(F.col(lead) == edge)
         .groupBy(*columns)
         .agg(F.count("*").alias("_n"))
         .orderBy(*columns)
-        .limit(n - cut[0].below)
+        .limit(n - cut.below)
         .withColumn("_copies", F.least("_n", left - (upto - F.col("_n"))))
         .filter(F.col("_copies") > 0)
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))

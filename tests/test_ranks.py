@@ -6,7 +6,7 @@ import statistics
 
 import pytest
 
-from skyledger.operators.ranks import first_rows, medians, values_at_ranks
+from skyledger.operators.ranks import Ranked, first_rows, medians, value_at_rank
 
 
 def numbers(kind: str) -> list[float | None]:
@@ -18,23 +18,24 @@ def numbers(kind: str) -> list[float | None]:
             return [draw.uniform(0, 1) for _ in range(2000)] + [0.25] * 1000
         case "few":
             return [float(draw.choice([1, 2, 3])) for _ in range(3000)]
+        case "wide":  # outliers far from the rest, and neighbours one bit apart
+            return [-1.7e308, 1.7e308, -1e300, 1.0, 1.0 + 2**-52] + [draw.expovariate(1) for _ in range(2000)]
         case "nulls":
             return [None] * 50 + [draw.gauss(0, 1) for _ in range(2000)]
     return [5.0]
 
 
-@pytest.mark.parametrize("kind", ["uniform", "hot", "few", "nulls", "one"])
+@pytest.mark.parametrize("kind", ["uniform", "hot", "few", "wide", "nulls", "one"])
 @pytest.mark.parametrize("keep", [4, 100_000])
 def test_ranks_by_brute_force(spark, kind, keep):
     values = numbers(kind)
     df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
     known = sorted(v for v in values if v is not None)
     for rank in sorted({0, len(known) // 3, len(known) - 1}):
-        found = values_at_ranks(df, "x", [rank], keep)
-        assert [(f.value, f.below) for f in found] == [
-            (known[rank], sum(v < known[rank] for v in known))
-        ]
-    assert values_at_ranks(df, "x", [len(known)], keep) == []
+        value = known[rank]
+        want = Ranked(value, sum(v < value for v in known), known.count(value))
+        assert value_at_rank(df, "x", rank, keep) == want
+    assert value_at_rank(df, "x", len(known), keep) is None
     assert medians(df, ["x"], keep)["x"] == pytest.approx(statistics.median(known), abs=1e-12)
 
 
@@ -61,3 +62,10 @@ def test_first_rows_by_lead_alone(spark):
     df = spark.createDataFrame([(i // 10,) for i in range(100)], "k long")
     got = [r["k"] for r in first_rows(df, 33, "k", keep=3).collect()]
     assert sorted(got) == [i // 10 for i in range(33)]
+
+
+def test_large_integers(spark):
+    values = [2**62 + i for i in range(50)] + [-(2**62)]
+    df = spark.createDataFrame([(v,) for v in values], "x long")
+    for rank in (0, 1, 25, 50):
+        assert value_at_rank(df, "x", rank, keep=2).value == sorted(values)[rank]
