@@ -45,9 +45,9 @@ complete AS (
 """
 
 
-def _fold(*keys: str) -> str:
+def _train(*keys: str) -> str:
     text = " || '|' || ".join(f"CAST({k} AS VARCHAR)" for k in keys)
-    return f"(CAST(('0x' || substr(md5({text}), 1, 7)) AS BIGINT) % 10)"
+    return f"md5({text}) < 'cccccccd'"
 
 
 def _mean(variable: str) -> str:
@@ -113,7 +113,7 @@ CONTINENT_YEAR = """
 # Least squares in closed form: the normal equations of three centred features
 # by Cramer's rule.
 REGRESSION = f"""
-, parts AS (SELECT *, {_fold('station_id', 'year', 'month')} < 8 AS train FROM complete),
+, parts AS (SELECT *, {_train('station_id', 'year', 'month')} AS train FROM complete),
 moments AS (
   SELECT covar_samp(snow_avg, snow_avg) AS aa, covar_samp(snow_avg, tmax_avg) AS ab,
          covar_samp(snow_avg, tmin_avg) AS ac, covar_samp(tmax_avg, tmax_avg) AS bb,
@@ -271,7 +271,7 @@ _QUERIES = {
          round(prcp_avg, 6) AS prcp_avg
   FROM features WHERE prcp_avg IS NOT NULL""",
     "split_sizes": f"""
-  SELECT CASE WHEN {_fold('l_orderkey', 'l_linenumber')} < 8 THEN 'train' ELSE 'test' END AS part,
+  SELECT CASE WHEN {_train('l_orderkey', 'l_linenumber')} THEN 'train' ELSE 'test' END AS part,
          count(*) AS n
   FROM lineitem GROUP BY 1""",
     "standard_scale": """
@@ -281,7 +281,7 @@ _QUERIES = {
          round(tmin_avg / (SELECT stddev_samp(tmin_avg) FROM complete), 6) AS z_tmin_avg
   FROM complete""",
     "linreg_simple": f"""
-, parts AS (SELECT *, {_fold('l_orderkey', 'l_linenumber')} < 8 AS train FROM lineitem),
+, parts AS (SELECT *, {_train('l_orderkey', 'l_linenumber')} AS train FROM lineitem),
 model AS (
   SELECT regr_slope(l_extendedprice, l_quantity) AS slope,
          regr_intercept(l_extendedprice, l_quantity) AS intercept

@@ -18,15 +18,15 @@ LABEL = "prcp_avg"
 POSITION = ("latitude", "longitude", "elevation")
 
 
-def fold(*keys: str) -> Column:
-    """0..9 from a digest of the keys: a split that no layout or rerun changes."""
+def drawn(share: float, *keys: str) -> Column:
+    """True for ``share`` of the keys, by their digest: no layout or rerun changes it."""
     text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 7), 16, 10).cast("int") % 10
+    return F.md5(text.cast("binary")) < f"{round(share * 16**8):08x}"
 
 
-def split(df: DataFrame, *keys: str, train: int = 8) -> tuple[DataFrame, DataFrame]:
-    """``train`` tenths of the keys for training, the others for testing."""
-    return df.filter(fold(*keys) < train), df.filter(fold(*keys) >= train)
+def split(df: DataFrame, *keys: str, train: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """A share of the keys for training, the others for testing."""
+    return df.filter(drawn(train, *keys)), df.filter(~drawn(train, *keys))
 
 
 def random_split(df: DataFrame, seed: int, train: float = 0.8) -> tuple[DataFrame, DataFrame]:

@@ -478,7 +478,7 @@ def median_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = tables.table(spark, sf_dir, "lineitem")
-    part = F.when(learning.fold("l_orderkey", "l_linenumber") < 8, "train").otherwise("test")
+    part = F.when(learning.drawn(0.8, "l_orderkey", "l_linenumber"), "train").otherwise("test")
     return lineitem.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
 
 

@@ -57,7 +57,7 @@ def read_topic_files(
     stream: bool = False,
     files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Text files under ``topic=<name>`` folders; other topics are never listed."""
+    """Text files under ``topic=<name>`` folders; files of other topics are not read."""
     reader = (spark.readStream if stream else spark.read).schema(MESSAGE_FILE)
     if stream and files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
