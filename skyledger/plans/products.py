@@ -68,8 +68,9 @@ class Product:
         """One state per key of the result."""
         if self.enrich is not None:
             states = self.enrich(states)
+        known = {c.lower() for c in states.columns}  # a database may spell them in capitals
         for k in self.keys:
-            if k not in states.columns:
+            if k not in known:
                 states = states.withColumn(k, _DERIVED[k]())
         return merge_wide(states, self.keys, self.variables)
 
