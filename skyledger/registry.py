@@ -358,8 +358,8 @@ def ordered_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- streams ----
 
-# The rate limit of the registered streams.
-FILES_PER_TRIGGER = 1000
+# The rate limit of the registered streams: a batch should keep all cores busy.
+FILES_PER_TRIGGER = 10_000
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
