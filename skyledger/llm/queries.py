@@ -14,6 +14,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
+#: DuckDB SQL for the queries that SQL can express.
+ORACLES: dict[str, str] = {}
+
 
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
