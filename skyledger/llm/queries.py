@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import simhash
-from skyledger.llm.common import read_table
+from skyledger.llm import bpe, decontam, langid, licenses, lines, quality, simhash, warc
+from skyledger.llm.common import digest, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,3 +31,170 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", simhash.hex_fingerprint(F.col("fingerprint")).alias("fingerprint"), "component_id"
     )
+
+
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without repeated windows of lines."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.remove_repeated(docs).select(
+        "doc_id",
+        F.col("__n_lines").alias("n_lines"),
+        F.col("__n_removed").alias("n_removed"),
+        digest(F.col("text")).alias("text_md5"),
+    )
+
+
+ORACLES["op2_line_dedup"] = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i
+  FROM documents
+), f AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS pos
+  FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), w AS (
+  SELECT doc_id, pos, line || chr(10) || lead(line, 1) OVER o || chr(10) || lead(line, 2) OVER o AS w
+  FROM f WINDOW o AS (PARTITION BY doc_id ORDER BY pos)
+), r AS (
+  SELECT *, first_value(doc_id) OVER o AS first_doc, first_value(pos) OVER o AS first_at
+  FROM w WHERE w IS NOT NULL WINDOW o AS (PARTITION BY w ORDER BY doc_id, pos)
+), c AS (
+  SELECT DISTINCT doc_id, pos + k AS pos
+  FROM r, (SELECT unnest(range(3)) AS k)
+  WHERE (doc_id <> first_doc OR pos <> first_at) AND (doc_id <> first_doc OR pos + k > first_at + 2)
+), gone AS (
+  SELECT f.doc_id, f.i FROM f JOIN c ON f.doc_id = c.doc_id AND f.pos = c.pos
+), kept AS (
+  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) AS text
+  FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.i = gone.i
+  WHERE gone.i IS NULL GROUP BY l.doc_id
+)
+SELECT d.doc_id,
+       (SELECT count(*) FROM f WHERE f.doc_id = d.doc_id) AS n_lines,
+       (SELECT count(*) FROM gone WHERE gone.doc_id = d.doc_id) AS n_removed,
+       md5(coalesce(kept.text, '')) AS text_md5
+FROM documents d LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality ledger of every document, and the verdict of the latest policy."""
+    rows = quality.ledger(read_table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        quality.fails("base").alias("base_failed"),
+        (~quality.fails("base") & ~quality.fails("v2")).alias("kept"),
+        "n_exclamations",
+        "n_lines",
+        "failed",
+    )
+
+
+ORACLES["op7_quality"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM documents
+), g AS (
+  SELECT doc_id, i, array_to_string(ws[i + 1 : i + 8], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(len(ws) - 7)) AS i FROM d WHERE len(ws) >= 8)
+), r AS (
+  SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g) WHERE n > 1
+), c AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM r, (SELECT unnest(range(8)) AS k) GROUP BY doc_id
+), m AS (
+  SELECT d.doc_id, len(ws) AS n_words,
+         length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+         len(regexp_extract_all(t, '!')) AS n_exclamations,
+         len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
+         coalesce(c.n, 0) AS n_repeat_words
+  FROM d LEFT JOIN c ON d.doc_id = c.doc_id
+), b AS (
+  SELECT *,
+         CASE WHEN n_words < 20 THEN 1 ELSE 0 END
+       + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END
+       + CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN 4 ELSE 0 END
+       + CASE WHEN 4 * n_symbols > n_words THEN 8 ELSE 0 END
+       + CASE WHEN 2 * n_exclamations > n_words THEN 16 ELSE 0 END
+       + CASE WHEN word_chars < 2 * n_words OR word_chars > 16 * n_words THEN 32 ELSE 0 END AS failed
+  FROM m
+)
+SELECT *, failed & 3 <> 0 AS base_failed, failed = 0 AS kept FROM b
+"""
+
+
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as it comes back from the archives."""
+    found = warc.round_trip(read_table(spark, sf_dir, "pages")).filter(F.col("gap").isNull())
+    return found.select(
+        warc.page_of(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_of(F.col("refers_to_id")).alias("refers_to"),
+    )
+
+
+ORACLES["op9_warc"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages
+), k AS (
+  SELECT html, max(page_id) AS keeper FROM p WHERE n >= 1000 GROUP BY html
+)
+SELECT p.page_id, p.n AS payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN k.keeper <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN k.keeper <> p.page_id THEN k.keeper END AS refers_to
+FROM p LEFT JOIN k ON p.html = k.html
+"""
+
+
+@query
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licenses that every document names or grants."""
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that it has a copy of."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.pairs(decontam.scan(docs, read_table(spark, sf_dir, "benchmark")))
+
+
+@query
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, by a model of the documents that are not held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = langid.trained_on_rest(docs)
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id",
+        langid.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("__lang").alias("lang_pred"),
+        F.col("__score").alias("score"),
+    )
+
+
+@query
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, and what they decode to, as digests."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    rows = bpe.encode(docs, path, public_tokenizers.PATTERN)
+    return rows.select(
+        "doc_id",
+        F.size("__ids").cast("long").alias("n_tokens"),
+        F.col("__ids_sha256").alias("ids_sha256"),
+        F.sha2(bpe.decoded(F.col("__ids"), path), 256).alias("decoded_sha256"),
+    )
