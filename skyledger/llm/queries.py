@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, decontam, langid, licenses, lines, quality, simhash, warc
+from skyledger.llm import bpe, decontam, langid, licenses, lines, masked, quality, simhash, warc
 from skyledger.llm.common import digest, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -198,3 +198,17 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("__ids_sha256").alias("ids_sha256"),
         F.sha2(bpe.decoded(F.col("__ids"), path), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op6_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log-likelihood, and the mean probability that a token has."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = masked.score(docs, *masked.fit(docs))
+    mean = F.col("__log_likelihood") / F.col("__n_tokens")
+    return rows.select(
+        "doc_id",
+        F.col("__n_tokens").alias("n_tokens"),
+        F.col("__log_likelihood").alias("log_likelihood"),
+        F.when(F.col("__n_tokens") > 0, F.exp(mean)).alias("score"),
+    )
