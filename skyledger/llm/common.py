@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +32,12 @@ def column_or_null(df: DataFrame, name: str, kind: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast(kind)
 
 
+def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """Broadcasts ``value``, of bounded size, with its classes; a task calls what it gets for it."""
+    data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(data.value)
+
+
 def map_texts(
     df: DataFrame,
     per_text: Callable[[bytes], tuple],

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from skyledger.llm.common import share
+
 #: The share of an item's words that a copy may have changed for the seeds to be sure.
 EDITS = 0.2
 #: The least alignment score, as a share of that of an unchanged copy.
@@ -221,10 +223,10 @@ def gram_counts(docs: DataFrame, index: Index) -> dict[tuple[int, int], int]:
 
     Counted in the tasks first. The driver gets a row for each n-gram of the block.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    shared = share(docs.sparkSession, index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
+        index = shared()
         total = {n: np.zeros(grams.size, np.int64) for n, grams in index.grams.items()}
         for batch in batches:
             for words, _ in _batches(_numbers(index, batch.column(0))):
@@ -242,14 +244,14 @@ def gram_counts(docs: DataFrame, index: Index) -> dict[tuple[int, int], int]:
 
 
 def _scan_block(docs: DataFrame, index: Index, name: str, keep_text: bool) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    shared = share(docs.sparkSession, index)
     kept = [f for f in docs.schema.fields if keep_text or f.name != "text"]
     leak = T._parse_datatype_string(LEAK)
     leaks_type = to_arrow_type(leak)
     schema = T.StructType([*kept, T.StructField(name, leak)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
+        index = shared()
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
             found: list[list[dict]] = []

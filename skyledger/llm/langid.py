@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skyledger.llm.common import share
+
 #: The bound of the training sample: texts of each language, and bytes of a text in it.
 SAMPLE_TEXTS = 150
 SAMPLE_BYTES = 20_000
@@ -346,14 +348,14 @@ def identify(docs: DataFrame, model: Model, keep_text: bool = False) -> DataFram
     ``__lang`` is ``und`` with score 0 where a text is NULL or has no letter. Rows stay
     where they are. Of equal shares the language first in the alphabet is taken.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
     kept = [f for f in docs.schema.fields if keep_text or f.name != "text"]
     schema = T.StructType(
         [*kept, T.StructField("__lang", T.StringType()), T.StructField("__score", T.DoubleType())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeller = Labeller(shared.value)
+        labeller = Labeller(shared())
         for batch in batches:
             column = batch.column(batch.schema.get_field_index("text"))
             found = []

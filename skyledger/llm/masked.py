@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyledger.llm.common import materialize
+from skyledger.llm.common import materialize, share
 from skyledger.llm.decontam import words_of
 
 #: Frequent words with a token of their own, and classes of the others.
@@ -165,10 +165,10 @@ def train_round(docs: DataFrame, vocab: Vocabulary, weights: Weights, turn: int)
 
     The means are made in Spark, weight by weight; the driver gets the weights once.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((vocab, weights))
+    shared = share(docs.sparkSession, (vocab, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, weights = shared.value
+        vocab, weights = shared()
         trainer = Trainer(weights)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
@@ -215,7 +215,7 @@ def score(docs: DataFrame, vocab: Vocabulary, weights: Weights) -> DataFrame:
     ``__log_likelihood`` is the sum of the conditional log-probabilities of all tokens of
     the whole text; 0 for a text without words, NULL among them. Rows stay where they are.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((vocab, weights))
+    shared = share(docs.sparkSession, (vocab, weights))
     kept = [f for f in docs.schema.fields if f.name != "text"]
     schema = T.StructType(
         [
@@ -226,7 +226,7 @@ def score(docs: DataFrame, vocab: Vocabulary, weights: Weights) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, weights = shared.value
+        vocab, weights = shared()
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 rows = batch.slice(start, 256)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, decontam, langid, licenses, lines, masked, quality, simhash, warc
+from skyledger.llm import bpe, decontam, langid, licenses, lines, masked, passages, quality, simhash, warc
 from skyledger.llm.common import digest, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -212,3 +212,9 @@ def op6_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("__log_likelihood").alias("log_likelihood"),
         F.when(F.col("__n_tokens") > 0, F.exp(mean)).alias("score"),
     )
+
+
+@query
+def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of documents that stand, all but unchanged, in other documents."""
+    return passages.near_passages(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
