@@ -165,6 +165,48 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents"))
 
 
+def _license_sql() -> str:
+    """The scan with every line against every template."""
+    rows = ", ".join(
+        f"('{label}', {words}, {need})" for _, label, words, need in licenses.templates()
+    )
+    found = "regexp_extract_all(translate({}, '{}', '{}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    words = found.replace("'{}', '{}'", f"'{licenses.UPPER}', '{licenses.UPPER.lower()}'")
+    phrases = " ".join(
+        "WHEN " + " AND ".join(f"ws[i + {k}] = '{w}'" for k, w in enumerate(phrase.split()))
+        + f" THEN '{label}'"
+        for phrase, label in licenses.PHRASES.items()
+    )
+    return f"""
+WITH t(label, ws, need) AS (VALUES {rows}), d AS (
+  SELECT doc_id, coalesce(text, '') AS text, {words.format("coalesce(text, '')")} AS ws FROM documents
+), p AS (
+  SELECT doc_id, i - 1 AS place, CASE {phrases} END AS label
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM d)
+), b AS (
+  SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+         list(label) AS labels
+  FROM p WHERE label IS NOT NULL GROUP BY doc_id
+), l AS (
+  SELECT doc_id, list_distinct({words.format("line")}) AS ws
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+), m AS (
+  SELECT doc_id, list(t.label) AS labels,
+         max(len(list_intersect(l.ws, t.ws)) / len(t.ws)) AS score
+  FROM l, t WHERE len(list_intersect(l.ws, t.ws)) >= t.need GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.ws) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       array_to_string(list_sort(list_distinct(coalesce(b.labels, []))), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(
+         list_concat(coalesce(b.labels, []), coalesce(m.labels, [])))), ',') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(m.score, 0.0) END AS score
+FROM d LEFT JOIN b ON d.doc_id = b.doc_id LEFT JOIN m ON d.doc_id = m.doc_id
+"""
+
+
+ORACLES["op4_licenses"] = _license_sql()
+
+
 @query
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every pair of a document and a benchmark item that it has a copy of."""

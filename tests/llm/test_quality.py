@@ -1,0 +1,65 @@
+from __future__ import annotations
+
+import random
+import re
+
+from skyledger.llm import quality
+from tests.llm.helpers import ODD, documents
+
+
+def brute(text: str | None) -> dict:
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0d]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0d]", x)]
+    windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    seen: dict = {}
+    for w in windows:
+        seen[w] = seen.get(w, 0) + 1
+    inside = {i + k for i, w in enumerate(windows) if seen[w] > 1 for k in range(8)}
+    return {
+        "n_words": len(words),
+        "word_chars": sum(map(len, words)),
+        "n_symbols": len(re.findall(r"[#*$%&|<>]", text)),
+        "n_exclamations": text.count("!"),
+        "n_lines": len(lines),
+        "n_dup_lines": len(lines) - len(set(lines)),
+        "n_repeat_words": len(inside),
+    }
+
+
+def texts() -> list[tuple]:
+    rng = random.Random(5)
+    pool = [f"w{i}" for i in range(6)] + ["a#b", "!!", "\n", " x", "\U0001f600"]
+    rows = [(i, " ".join(rng.choices(pool, k=rng.randint(0, 80)))) for i in range(80)]
+    rows += [(200, "a b c d e f g h " * 2), (201, "x " * 8), (202, "x " * 9), (203, "|" * 30)]
+    return ODD + rows
+
+
+def test_measurements_match_brute_force(spark):
+    rows = texts()
+    found = quality.ledger(documents(spark, rows)).collect()
+    names = list(brute(None))
+    got = sorted((str(r["doc_id"]), *(r[n] for n in names)) for r in found)
+    assert got == sorted((str(i), *brute(t).values()) for i, t in rows)
+    for r in found:
+        bits = [eval(rule, {}, brute_names(r)) for rule in quality.RULES.values()]
+        assert r["failed"] == sum(1 << i for i, b in enumerate(bits) if b)
+    assert quality.ledger(documents(spark, rows).limit(0)).count() == 0
+
+
+def brute_names(row) -> dict:
+    return {name: row[name] for name in brute(None)}
+
+
+def test_ablations_match_a_new_count(spark):
+    rows = quality.ledger(documents(spark, texts())).cache()
+    failed = [r["failed"] for r in rows.collect()]
+    found = {(r["policy"], r["rule"]): tuple(r)[2:] for r in quality.ablations(rows).collect()}
+    assert len(found) == sum(map(len, quality.POLICIES.values()))
+    for (policy, rule), (kept, without, alone) in found.items():
+        all_, own = quality.mask(policy), quality.bit(rule)
+        assert kept == sum(not f & all_ for f in failed)
+        assert without == sum(not f & (all_ & ~own) for f in failed)
+        assert alone == sum(f & all_ == own for f in failed)
+    empty = quality.ablations(rows.limit(0)).collect()
+    assert {tuple(r)[2:] for r in empty} == {(0, 0, 0)}
