@@ -194,7 +194,7 @@ def leaks(index: Index, words: np.ndarray) -> list[dict]:
         {"item_id": index.ids[i], "score": s, "first_word": -a, "last_word": -b}
         for i, (s, a, b) in best.items()
     ]
-    return sorted(rows, key=lambda r: r["item_id"])
+    return sorted(rows, key=lambda r: (r["item_id"] is None, r["item_id"]))
 
 
 def _numbers(index: Index, texts: pa.Array) -> Iterator[np.ndarray]:
