@@ -23,9 +23,10 @@ from skyledger.operators.clean import clean_messages
 from skyledger.plans import learning, products
 from skyledger.session import configure, materialize
 from skyledger.sources import text
-from skyledger.sources.jdbc import append_table, overwrite_table, read_table
-from skyledger.sources.messages import read_broker, read_topic_files
-from skyledger.streaming.runs import Cadence, run
+from skyledger.sources.files import write_ranges
+from skyledger.sources.jdbc import CONNECTIONS, Split, append_table, overwrite_table, read_table
+from skyledger.sources.messages import read_broker, read_topic_files, topic_list
+from skyledger.streaming.runs import Cadence, finish_table, run, run_partials_to_table
 
 PRODUCTS = (
     "temp_gap",
@@ -63,19 +64,31 @@ def product_named(
         case "temp_gap":
             return products.temp_gap()
         case "continent_prcp":
-            return products.continent_prcp(dimension(spark, args.geography, "--geography"))
+            geography = dimension(spark, args.geography, "--geography")
+            return products.continent_prcp(geography, **given(args, "continents", "after", "before"))
         case "elevation_snow":
-            return products.elevation_snow(dimension(spark, args.stations, "--stations"))
+            stations = dimension(spark, args.stations, "--stations")
+            bounds = given(args, "low", "high", "below", "months")
+            return products.elevation_snow(stations, **bounds)
         case "station_var_mean":
             stations = dimension(spark, args.stations, "--stations")
-            return products.station_var_mean(stations, args.variable)
+            return products.station_var_mean(stations, args.variable, **given(args, "months"))
         case "ml_features":
-            return products.ml_features()
+            return products.ml_features(**given(args, "after", "months"))
         case "bonus_station_month":
-            return products.bonus_station_month()
+            return products.bonus_station_month(**given(args, "months"))
     return products.Ledger()
 
 
+def given(args: argparse.Namespace, *names: str) -> dict:
+    """The parameters that the command sets; ``--unbounded`` sets the other bounds to none."""
+    values = {n: getattr(args, n) for n in names if getattr(args, n) is not None}
+    if args.unbounded:
+        bounds = set(names) & {"continents", "after", "before", "low", "high", "below"}
+        values = {**dict.fromkeys(bounds), **values}
+    return values
+
+
 def messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     stream = args.mode == "dynamic"
     if args.servers:
@@ -83,9 +96,25 @@ def messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return read_topic_files(spark, args.messages, args.topics, stream, args.per_trigger)
 
 
-def product_result(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+def product_result(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
+    """The product; None if the run has only added partial states to a SQL table."""
+    product = product_named(spark, args)
+    if args.partials and args.merge:
+        return finish_table(spark, product, args.partials, connection(args), split(args))
+    if args.partials:
+        run_partials_to_table(
+            product,
+            clean_messages(messages(spark, args)),
+            args.partials,
+            connection(args),
+            f"{args.work}/checkpoint",
+            args.run_id,
+            Cadence(args.every, args.seconds),
+            args.connections,
+        )
+        return None
     return run(
-        product_named(spark, args),
+        product,
         clean_messages(messages(spark, args)),
         args.work and f"{args.work}/states",
         args.work and f"{args.work}/checkpoint",
@@ -107,25 +136,45 @@ def reference_table(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 def model_result(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.input_table:
-        rows = read_table(spark, args.input_table, connection(args))
+        rows = read_table(spark, args.input_table, connection(args), split(args))
     else:
         rows = dimension(spark, args.input, "--input")
     if args.job == "regression":
-        cases = materialize(learning.complete_cases(rows), "cases")
+        path = args.work and f"{args.work}/cases"
+        cases = materialize(learning.complete_cases(rows), "cases", path)
         return learning.regression_report(*learning.split(cases, *products.LEDGER_KEYS))
     if args.prefix:
         rows = rows.filter(F.col("station_id").startswith(args.prefix))
     positions = learning.complete_cases(rows.select("station_id", *learning.POSITION))
-    _, clustered = learning.fit_clusters(positions, args.k)
+    model, clustered = learning.fit_clusters(positions, args.k)
+    if args.summary:
+        learning.cluster_table(model).write.mode("overwrite").parquet(args.summary)
     return clustered.select("station_id", *learning.POSITION, "cluster")
 
 
 def publish(df: DataFrame, args: argparse.Namespace) -> None:
     if args.output:
-        df.write.mode("overwrite").parquet(args.output)
+        if args.partition_by:
+            write_ranges(df, args.output, args.partition_by, args.ranges)
+        else:
+            df.write.mode("overwrite").parquet(args.output)
         return
     write = overwrite_table if args.overwrite else append_table
-    write(df, args.table or args.job, connection(args))
+    write(df, args.table or args.job, connection(args), args.connections)
+
+
+def texts(value: str) -> tuple[str, ...]:
+    return tuple(topic_list(value))
+
+
+def numbers(value: str) -> tuple[int, ...]:
+    return tuple(int(n) for n in topic_list(value))
+
+
+def split(args: argparse.Namespace) -> Split | None:
+    if not args.split_column:
+        return None
+    return Split(args.split_column, args.split_lower, args.split_upper, args.split_parts)
 
 
 def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
@@ -143,20 +192,50 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     source.add_argument("--stations")
     source.add_argument("--geography")
     source.add_argument("--variable", default="PRCP")
+    bounds = parser.add_argument_group("parameters of a product; the published ones by default")
+    bounds.add_argument("--continents", type=texts, help='such as "Europe, Asia"')
+    bounds.add_argument("--after", type=int, help="years after this one")
+    bounds.add_argument("--before", type=int, help="years before this one")
+    bounds.add_argument("--low", type=float, help="lowest elevation")
+    bounds.add_argument("--high", type=float, help="elevations below this one")
+    bounds.add_argument("--below", type=float, help="means below this one")
+    bounds.add_argument("--months", type=numbers, help='such as "1, 2"')
+    bounds.add_argument("--unbounded", action="store_true", help="no bounds but those given")
+    partial = parser.add_argument_group("partial states of micro-batches in a SQL table")
+    partial.add_argument("--partials", help="the table; without --merge, a run adds to it")
+    partial.add_argument("--run-id", help="the same for a replay, a new one for another input")
+    partial.add_argument("--merge", action="store_true", help="make the product of the table")
     other = parser.add_argument_group("source of a table or model")
     other.add_argument("--input")
     other.add_argument("--input-table")
     other.add_argument("--no-header", action="store_true")
     other.add_argument("--prefix", help="keep the stations whose id starts like this")
     other.add_argument("--k", type=int, default=10, help="number of clusters")
+    other.add_argument("--summary", help="folder for centres, sizes and cost of the clusters")
+    sql = parser.add_argument_group("reading and writing a SQL table")
+    sql.add_argument("--split-column", help="read ranges of this column in parallel")
+    sql.add_argument("--split-lower")
+    sql.add_argument("--split-upper")
+    sql.add_argument("--split-parts", type=int, default=CONNECTIONS)
+    sql.add_argument("--connections", type=int, default=CONNECTIONS, help="of a write")
     sink = parser.add_argument_group("sink")
     sink.add_argument("--output")
     sink.add_argument("--jdbc-url")
     sink.add_argument("--table")
     sink.add_argument("--overwrite", action="store_true", help="replace the SQL table")
+    sink.add_argument("--partition-by", help="a folder per value of this column in --output")
+    sink.add_argument("--ranges", type=int, default=4, help="tasks that write the folders")
     args = parser.parse_args(argv)
+    if args.split_column and not (args.split_lower and args.split_upper):
+        parser.error("--split-column needs --split-lower and --split-upper")
+    if args.partials and not (args.jdbc_url and (args.merge or (args.run_id and args.work))):
+        parser.error("--partials needs --jdbc-url, and --run-id and --work or --merge")
+    if args.partials and args.job not in PRODUCTS[:-1]:
+        parser.error("--partials needs a product other than the ledger")
     if not (args.output or args.jdbc_url):
         parser.error("--output or --jdbc-url is needed")
+    if args.partials and args.merge:
+        return args
     if args.job in PRODUCTS:
         if not args.topics or bool(args.servers) == bool(args.messages):
             parser.error("a product needs --topics and one of --servers and --messages")
@@ -174,7 +253,8 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> None:
         result = reference_table(spark, args)
     else:
         result = model_result(spark, args)
-    publish(result, args)
+    if result is not None:
+        publish(result, args)
 
 
 def main(argv: Sequence[str] | None = None) -> None:

@@ -56,13 +56,19 @@ def wide_means(states: DataFrame, keys: Sequence[str], names: dict[str, str]) ->
 
 
 def once_per_batch(states: DataFrame, keys: Sequence[str], variables: Sequence[str]) -> DataFrame:
-    """Undo replays: rows that repeat a (batch, key) are the same state again.
+    """Undo replays: rows that repeat a (run, batch, key) are the same state again.
 
     Needed for append-only targets; partitions overwritten per batch have no
-    repeats.
+    repeats. Two different states of one (run, batch, key) are an error: another run
+    has used the name of this one.
     """
-    columns = [F.max(f"{v}_{part}").alias(f"{v}_{part}") for v in variables for part in ("sum", "count")]
-    return states.groupBy("batch_id", *keys).agg(*columns)
+    columns = []
+    for name in (f"{v}_{part}" for v in variables for part in ("sum", "count")):
+        low, high, known = F.min(name), F.max(name), F.count(name)
+        same = low.eqNullSafe(high) & known.isin(F.lit(0), F.count("*"))
+        problem = F.lit(f"different states of {name} for one run, batch and key")
+        columns.append(F.when(same, high).otherwise(F.raise_error(problem)).alias(name))
+    return states.groupBy("run_id", "batch_id", *keys).agg(*columns)
 
 
 def mean_state(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

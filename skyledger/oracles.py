@@ -186,6 +186,12 @@ _QUERIES = {
     "monthly_ledger": f"""
   SELECT station_id, year, month, {', '.join(_page(v) for v in CORE)}
   FROM readings WHERE variable IN {_CORE_LIST} GROUP BY station_id, year, month""",
+    "temp_gap_from_ledger": TEMP_GAP,
+    "continent_prcp_from_ledger": CONTINENT_PRCP,
+    "elevation_snow_from_ledger": ELEVATION_SNOW,
+    "station_var_mean_from_ledger": STATION_PRCP,
+    "ml_features_from_ledger": FEATURES,
+    "bonus_station_month_from_ledger": BONUS,
     "products_from_ledger": CHECKSUMS,
     "stream_ledger": CHECKSUMS,
     "top_country": """
@@ -210,8 +216,7 @@ _QUERIES = {
   FROM readings JOIN stations USING (station_id)
   GROUP BY station_id, latitude, longitude, variable""",
     "stations_like_prefix": """
-  SELECT station_id, latitude, longitude, coalesce(elevation, -999.9) AS elevation
-  FROM stations WHERE station_id LIKE '03%'""",
+  SELECT station_id, latitude, longitude, elevation FROM stations WHERE station_id LIKE '03%'""",
     "geo_csv": "SELECT *, true AS header FROM geo UNION ALL SELECT *, false AS header FROM geo",
     "geo_codes": """
   SELECT fips, continent, country FROM geo
@@ -250,7 +255,7 @@ _QUERIES = {
   FROM (SELECT * FROM readings WHERE variable = 'PRCP' AND value IS NOT NULL
         ORDER BY obs_date, station_id, value LIMIT 5000)
   GROUP BY year""",
-    "stream_partials_merge": FEATURES,
+    "stream_partials_merge": "SELECT *, CAST(3 AS BIGINT) AS n_batches FROM features",
     "stream_continent_prcp": CONTINENT_PRCP,
     "stream_elevation_snow": ELEVATION_SNOW,
     "stream_bonus_station_month": BONUS,
@@ -261,7 +266,7 @@ _QUERIES = {
     "stream_clean": CLEAN,
     "stream_temp_gap": TEMP_GAP,
     "stream_static_join": CONTINENT_YEAR.format(columns="avg(value) AS avg_prcp", where=""),
-    "stream_limit": "SELECT count(*) AS n_rows FROM (SELECT * FROM readings LIMIT 10000)",
+    "stream_limit": "SELECT count(*) AS n_rows FROM (SELECT * FROM readings LIMIT 25000)",
     "complete_cases": "SELECT * FROM complete",
     "median_impute": """
   SELECT station_id, year, month,
@@ -274,6 +279,11 @@ _QUERIES = {
   SELECT CASE WHEN {_train('l_orderkey', 'l_linenumber')} THEN 'train' ELSE 'test' END AS part,
          count(*) AS n
   FROM lineitem GROUP BY 1""",
+    "random_split_rows": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_off FROM orders",
+    "kmeans_assignment": """
+  SELECT count(*) AS n_stations, count(*) AS n_in_clusters, CAST(10 AS BIGINT) AS n_centers,
+         count(*) AS n_nearest
+  FROM stations WHERE elevation IS NOT NULL""",
     "standard_scale": """
   SELECT station_id, year, month,
          round(snow_avg / (SELECT stddev_samp(snow_avg) FROM complete), 6) AS z_snow_avg,

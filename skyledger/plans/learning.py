@@ -8,7 +8,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators.ranks import medians
@@ -21,7 +21,8 @@ POSITION = ("latitude", "longitude", "elevation")
 def drawn(share: float, *keys: str) -> Column:
     """True for ``share`` of the keys, by their digest: no layout or rerun changes it."""
     text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-    return F.md5(text.cast("binary")) < f"{round(share * 16**8):08x}"
+    first = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
+    return first < round(share * 16**8)
 
 
 def split(df: DataFrame, *keys: str, train: float = 0.8) -> tuple[DataFrame, DataFrame]:
@@ -83,6 +84,36 @@ def regression_report(
     )
 
 
+def line_report(df: DataFrame, train: Column, feature: str, label: str) -> DataFrame:
+    """The report of a regression on one feature from a single aggregate.
+
+    ``train`` says which rows are fitted; on the others the mean squared error follows
+    from the moments of feature and label. Rows with a NULL in either count for nothing.
+    """
+    known = F.col(feature).isNotNull() & F.col(label).isNotNull()
+    rows = df.filter(known).select(
+        F.col(feature).alias("x"), F.col(label).alias("y"), train.alias("train")
+    )
+    fit = {c: F.when(F.col("train"), F.col(c)) for c in ("x", "y")}
+    test = {c: F.when(~F.col("train"), F.col(c)) for c in ("x", "y")}
+    moments = rows.agg(
+        F.regr_slope(fit["y"], fit["x"]).alias("slope"),
+        F.regr_intercept(fit["y"], fit["x"]).alias("intercept"),
+        F.avg(test["x"]).alias("mx"),
+        F.avg(test["y"]).alias("my"),
+        F.var_pop(test["x"]).alias("xx"),
+        F.var_pop(test["y"]).alias("yy"),
+        F.covar_pop(test["x"], test["y"]).alias("xy"),
+    )
+    off = F.col("my") - F.col("intercept") - F.col("slope") * F.col("mx")
+    spread = F.col("yy") - 2 * F.col("slope") * F.col("xy") + F.col("slope") ** 2 * F.col("xx")
+    return moments.select(
+        "intercept",
+        F.col("slope").alias(f"coef_{feature}"),
+        F.sqrt(F.greatest(spread, F.lit(0.0)) + off * off).alias("rmse"),
+    )
+
+
 def standardise(df: DataFrame, features: Sequence[str], output: str = "zfeatures") -> DataFrame:
     """Divide by the sample standard deviation, without centring."""
     vectors = assemble(df, features)
@@ -106,6 +137,18 @@ def fit_clusters(
     return model, model.transform(scaled)
 
 
+def cluster_table(model: KMeansModel, features: Sequence[str] = POSITION) -> DataFrame:
+    """A row per cluster: centre in scaled features, size, and the cost of the whole fit."""
+    spark = SparkSession.active()
+    summary = model.summary
+    rows = [
+        (i, int(size), float(summary.trainingCost), *map(float, center))
+        for i, (center, size) in enumerate(zip(model.clusterCenters(), summary.clusterSizes, strict=True))
+    ]
+    centers = ", ".join(f"center_{f} double" for f in features)
+    return spark.createDataFrame(rows, f"cluster int, size long, cost double, {centers}")
+
+
 def nearest_center(
     df: DataFrame, features: Sequence[str], centers: Sequence[Sequence[float]]
 ) -> Column:

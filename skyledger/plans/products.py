@@ -28,6 +28,14 @@ from skyledger.schemas import CORE_VARIABLES
 
 LEDGER_KEYS = ("station_id", "year", "month")
 
+# The bounds of the published products.
+CONTINENTS = ("Europe", "Americas", "Asia")
+PRCP_AFTER, PRCP_BEFORE = 1956, 1993
+SNOW_LOW, SNOW_HIGH, SNOW_BELOW = 0, 1850, 82
+SNOW_MONTHS = (1,)
+FEATURES_AFTER = 1970
+WINTER = (1, 2)
+
 _DERIVED = {
     "fips": lambda: country_code(F.col("station_id")),
     "year": lambda: F.year("obs_date"),
@@ -148,9 +156,9 @@ def temp_gap() -> Product:
 
 def continent_prcp(
     geography: DataFrame,
-    continents: tuple[str, ...] | None = ("Europe", "Americas", "Asia"),
-    after: int | None = 1956,
-    before: int | None = 1993,
+    continents: tuple[str, ...] | None = CONTINENTS,
+    after: int | None = PRCP_AFTER,
+    before: int | None = PRCP_BEFORE,
 ) -> Product:
     """Yearly mean precipitation of the given continents."""
 
@@ -172,9 +180,10 @@ def continent_prcp(
 
 def elevation_snow(
     stations: DataFrame,
-    low: float | None = 0,
-    high: float | None = 1850,
-    below: float | None = 82,
+    low: float | None = SNOW_LOW,
+    high: float | None = SNOW_HIGH,
+    below: float | None = SNOW_BELOW,
+    months: tuple[int, ...] = SNOW_MONTHS,
 ) -> Product:
     """Mean January snow per elevation; bounds of None are left out."""
 
@@ -194,7 +203,7 @@ def elevation_snow(
 
     return Product(
         "elevation_snow", ("SNOW",), ("station_id",), ("elevation",), present,
-        months=(1,), enrich=enrich,
+        months=months, enrich=enrich,
     )
 
 
@@ -216,17 +225,17 @@ def station_var_mean(
     )
 
 
-def ml_features(after: int | None = 1970) -> Product:
+def ml_features(after: int | None = FEATURES_AFTER, months: tuple[int, ...] = WINTER) -> Product:
     """Winter means of four variables per station, year and month."""
     names = {"SNOW": "snow_avg", "TMAX": "tmax_avg", "TMIN": "tmin_avg", "PRCP": "prcp_avg"}
     return Product(
         "ml_features", tuple(names), LEDGER_KEYS, LEDGER_KEYS,
         lambda states: wide_means(states, LEDGER_KEYS, names),
-        months=(1, 2), after=after,
+        months=months, after=after,
     )
 
 
-def bonus_station_month(daily: bool = False) -> Product:
+def bonus_station_month(daily: bool = False, months: tuple[int, ...] = WINTER) -> Product:
     """Winter means of the five core variables per station and month.
 
     Partial states are as coarse as the result, unless ``daily`` ones are wanted
@@ -237,7 +246,7 @@ def bonus_station_month(daily: bool = False) -> Product:
     return Product(
         "bonus_station_month", CORE_VARIABLES, ("station_id", "obs_date") if daily else keys, keys,
         lambda states: wide_means(states, keys, names),
-        months=(1, 2),
+        months=months,
     )
 
 

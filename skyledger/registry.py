@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ from skyledger.plans import learning, products
 from skyledger.schemas import CORE_VARIABLES, INVENTORY_FIELDS, STATION_FIELDS
 from skyledger.session import materialize, scratch_path
 from skyledger.sources import tables, text
-from skyledger.sources.files import write_partitioned, write_ranges, write_single_csv
+from skyledger.sources.files import write_ranges, write_single_csv
 from skyledger.sources.messages import read_topic_files
 from skyledger.streaming import runs
 
@@ -137,6 +138,18 @@ def _roll_up(spark: SparkSession, sf_dir: str, ledger: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _from_ledger(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ledger = materialize(monthly_ledger(spark, sf_dir), "ledger")
+        return PRODUCTS[name](spark, sf_dir).from_ledger(ledger)
+
+    return run
+
+
+# Whole products rolled up from the ledger, every column of them.
+QUERIES.update({f"{name}_from_ledger": _from_ledger(name) for name in PRODUCTS})
+
+
 @query
 def products_from_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All products from one scan."""
@@ -176,8 +189,8 @@ def readings_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = tables.messages_of(tables.table(spark, sf_dir, "lineitem"))
     path = scratch_path(spark, "topics")
     landed = messages.withColumn("value", F.col("value").cast("string"))
-    write_partitioned(landed, path, "topic", fmt="text")
-    chosen = clean_messages(read_topic_files(spark, path, "03, 07, 11, 24"))
+    landed.write.partitionBy("topic").text(path)
+    chosen = clean_messages(read_topic_files(spark, path, "03, 07, 11, 24", report=True))
     return with_country_code(chosen).groupBy(F.col("fips").alias("country")).agg(
         F.count("*").alias("n"), F.sum("value").alias("total")
     )
@@ -207,7 +220,9 @@ def fixed_width_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stations_like_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stations of one country by SQL over a view, for clustering."""
-    tables.stations(spark, sf_dir).createOrReplaceTempView("station_list")
+    stations = tables.stations(spark, sf_dir)
+    stations = stations.withColumn("elevation", known_elevation(F.col("elevation")))
+    stations.createOrReplaceTempView("station_list")
     return spark.sql(
         "SELECT station_id, latitude, longitude, elevation FROM station_list"
         " WHERE station_id LIKE '03%'"
@@ -358,14 +373,20 @@ def ordered_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- streams ----
 
-# The rate limit of the registered streams: a batch should keep all cores busy.
-FILES_PER_TRIGGER = 10_000
+# The registered streams read their table in so many files, one file per micro-batch.
+STREAM_FILES = 3
+
+
+def _lines(spark: SparkSession, sf_dir: str, files: int = STREAM_FILES) -> DataFrame:
+    """``lineitem`` landed in ``files`` files, as a stream of as many micro-batches."""
+    folder = scratch_path(spark, "landed")
+    lines = tables.table(spark, sf_dir, "lineitem")
+    lines.repartition(files).write.parquet(f"{folder}/lineitem.parquet")
+    return tables.table_stream(spark, folder, "lineitem", 1)
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.readings_of(
-        tables.table_stream(spark, sf_dir, "lineitem", FILES_PER_TRIGGER)
-    )
+    return tables.readings_of(_lines(spark, sf_dir))
 
 
 def _stream_product(name: str) -> Query:
@@ -379,8 +400,18 @@ def _stream_product(name: str) -> Query:
     return run
 
 
+@query
+def stream_partials_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features from partial states, with the number of micro-batches that made them."""
+    product = PRODUCTS["ml_features"](spark, sf_dir)
+    path, checkpoint = scratch_path(spark, "partials"), scratch_path(spark, "checkpoint")
+    merged = runs.run(product, _stream(spark, sf_dir), path, checkpoint)
+    batches = runs.read_partials(spark, path).filter("batch_id >= 0")
+    n = batches.agg(F.count_distinct("batch_id")).first()[0]
+    return merged.withColumn("n_batches", F.lit(n).cast("bigint"))
+
+
 QUERIES.update(
-    stream_partials_merge=_stream_product("ml_features"),
     stream_continent_prcp=_stream_product("continent_prcp"),
     stream_elevation_snow=_stream_product("elevation_snow"),
     stream_bonus_station_month=_stream_product("bonus_station_month"),
@@ -391,8 +422,8 @@ QUERIES.update(
 def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All products from one stream."""
     path, checkpoint = scratch_path(spark, "partials"), scratch_path(spark, "checkpoint")
-    runs.run_partials(products.Ledger(), _stream(spark, sf_dir), path, checkpoint)
-    return _roll_up(spark, sf_dir, runs.read_partials(spark, path))
+    ledger = runs.run(products.Ledger(), _stream(spark, sf_dir), path, checkpoint)
+    return _roll_up(spark, sf_dir, materialize(ledger, "ledger"))
 
 
 @query
@@ -407,9 +438,8 @@ def stream_country_variable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = tables.table_stream(spark, sf_dir, "lineitem", FILES_PER_TRIGGER)
     path = scratch_path(spark, "clean")
-    rows = clean_messages(tables.messages_of(lineitem))
+    rows = clean_messages(tables.messages_of(_lines(spark, sf_dir)))
     runs.run_append(rows, path, scratch_path(spark, "checkpoint"))
     return _comparable(spark.read.schema(rows.schema).parquet(path))
 
@@ -421,7 +451,7 @@ def stream_temp_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     states = rows.groupBy("year").agg(*wide_state_columns(TEMPERATURES))
     path = scratch_path(spark, "complete")
     runs.run_complete(states, path, scratch_path(spark, "checkpoint"))
-    return products.temp_gap().present(runs.read_latest(spark, path))
+    return products.temp_gap().present(runs.read_latest(spark, path, states.schema))
 
 
 @query
@@ -437,14 +467,14 @@ def stream_static_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "complete")
     runs.run_complete(joined, path, scratch_path(spark, "checkpoint"))
     keys = ["continent", "year"]
-    merged = merge_wide(runs.read_latest(spark, path), keys, ["PRCP"])
+    merged = merge_wide(runs.read_latest(spark, path, joined.schema), keys, ["PRCP"])
     return wide_means(merged, keys, {"PRCP": "avg_prcp"})
 
 
 @query
 def stream_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stream ends after a number of rows; which ones is open."""
-    rows = _stream(spark, sf_dir).limit(10_000)
+    """The stream ends after a number of rows, in its second batch at 60,000 lines."""
+    rows = _stream(spark, sf_dir).limit(25_000)
     path = scratch_path(spark, "limited")
     runs.run_append(rows, path, scratch_path(spark, "checkpoint"))
     return spark.read.schema(rows.schema).parquet(path).agg(F.count("*").alias("n_rows"))
@@ -482,6 +512,15 @@ def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineitem.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
 
 
+@query
+def random_split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a split by chance: rows of both parts together, and keys that are not there once."""
+    parts = learning.random_split(tables.table(spark, sf_dir, "orders").select("o_orderkey"), 7)
+    counts = parts[0].unionByName(parts[1]).groupBy("o_orderkey").agg(F.count("*").alias("n"))
+    off = F.sum(F.when(F.col("n") != 1, 1).otherwise(0))
+    return counts.agg(F.sum("n").alias("n_rows"), off.alias("n_off"))
+
+
 @query
 def standard_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = learning.complete_cases(_features(spark, sf_dir))
@@ -492,8 +531,8 @@ def standard_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def linreg_simple(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = tables.table(spark, sf_dir, "lineitem")
-    train, test = learning.split(lines, "l_orderkey", "l_linenumber")
-    report = learning.regression_report(train, test, ["l_quantity"], "l_extendedprice")
+    train = learning.drawn(0.8, "l_orderkey", "l_linenumber")
+    report = learning.line_report(lines, train, "l_quantity", "l_extendedprice")
     named = report.withColumnRenamed("coef_l_quantity", "slope")
     return _rounded(named, 4, "slope", "intercept", "rmse")
 
@@ -522,6 +561,25 @@ def kmeans_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustered.select("station_id", "cluster")
 
 
+@query
+def kmeans_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What K-means must hold to: every station with the nearest of the model's own centres."""
+    rows = learning.complete_cases(_known_positions(spark, sf_dir))
+    model, clustered = learning.fit_clusters(rows)
+    scaled = clustered.withColumn("z", vector_to_array("zfeatures"))
+    names = [f"z_{f}" for f in learning.POSITION]
+    scaled = scaled.withColumns({n: F.col("z")[i] for i, n in enumerate(names)})
+    nearest = learning.nearest_center(scaled, names, model.clusterCenters())
+    table = learning.cluster_table(model)
+    sizes = table.agg(F.sum("size")).first()[0]
+    return scaled.agg(
+        F.count("*").alias("n_stations"),
+        F.lit(sizes).cast("bigint").alias("n_in_clusters"),
+        F.lit(len(model.clusterCenters())).cast("bigint").alias("n_centers"),
+        F.sum(F.when(nearest == F.col("cluster"), 1).otherwise(0)).alias("n_nearest"),
+    )
+
+
 @query
 def nearest_center(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every station with the nearest of four given centers."""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,40 +14,39 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
-_local_base: dict[str, str] = {}
-
-
 def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     return builder
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path in the shared folder named by ``spark.checkpoint.dir``.
-
-    All paths of one application share a parent folder, so they can be dropped
-    together when the application is done. A machine-local folder is used only
-    in local mode and only when no folder is set.
-    """
+def scratch_folder(spark: SparkSession) -> str:
+    """The folder of this application under the one that ``spark.checkpoint.dir`` names."""
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = _local_base.setdefault(
-            context.applicationId, tempfile.mkdtemp(prefix="skyledger-")
-        )
-    return f"{base.rstrip('/')}/skyledger/{context.applicationId}/{name}-{uuid.uuid4().hex}"
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return f"{base.rstrip('/')}/skyledger/{context.applicationId}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new, unused path in the shared folder of this application."""
+    return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Drop all that this application has written to its scratch folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and go on from the written table.
+def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` once, to scratch unless a path is given, and go on from the written table.
 
     For results that several jobs read: lineage is cut, and losing an executor
     costs no recomputation.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
+    path = path or scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

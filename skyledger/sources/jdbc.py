@@ -6,6 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Connections of a write, unless the caller says otherwise.
+CONNECTIONS = 16
+
 
 @dataclass(frozen=True)
 class Split:
@@ -46,14 +49,14 @@ def read_table(
 
 
 def append_table(
-    df: DataFrame, table: str, connection: dict[str, str], connections: int = 16
+    df: DataFrame, table: str, connection: dict[str, str], connections: int = CONNECTIONS
 ) -> None:
     options = write_options(table, connection, connections)
     df.write.format("jdbc").mode("append").options(**options).save()
 
 
 def overwrite_table(
-    df: DataFrame, table: str, connection: dict[str, str], connections: int = 16
+    df: DataFrame, table: str, connection: dict[str, str], connections: int = CONNECTIONS
 ) -> None:
     """Replace the rows and keep the table definition."""
     options = {**write_options(table, connection, connections), "truncate": "true"}

@@ -7,9 +7,11 @@ the class path.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MESSAGE_FILE = T.StructType(
@@ -55,13 +57,23 @@ def read_topic_files(
     topics: str | Sequence[str] | None = None,
     stream: bool = False,
     files_per_trigger: int | None = None,
+    report: bool = False,
 ) -> DataFrame:
-    """Text files under ``topic=<name>`` folders; other folders are not even listed."""
+    """Text files under ``topic=<name>`` folders; files of other topics are not read.
+
+    A topic without messages is an error for a table, or a warning with ``report``. A
+    stream may wait for it.
+    """
     reader = (spark.readStream if stream else spark.read).schema(MESSAGE_FILE)
     if stream and files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    if topics is not None:
-        names = ",".join(topic_list(topics))
-        reader = reader.option("basePath", path)
-        path = f"{path.rstrip('/')}/topic={{{names}}}"
-    return reader.text(path).select("topic", "value")
+    rows = reader.text(path).select("topic", "value")
+    if topics is None:
+        return rows
+    names = topic_list(topics)
+    if not stream and (absent := [n for n in names if rows.filter(F.col("topic") == n).isEmpty()]):
+        problem = f"no messages of {', '.join(absent)} under {path}"
+        if not report:
+            raise ValueError(problem)
+        warnings.warn(problem, stacklevel=2)
+    return rows.filter(F.col("topic").isin(*names))

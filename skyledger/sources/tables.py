@@ -64,10 +64,6 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings_of(table(spark, sf_dir, "lineitem"))
 
 
-def readings_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readings_of(table_stream(spark, sf_dir, "lineitem"))
-
-
 def messages_of(lineitem: DataFrame) -> DataFrame:
     """The same readings as broker messages: bytes by topic.
 

@@ -32,7 +32,10 @@ def read_fixed_width(spark: SparkSession, path: str, fields: Sequence[Field]) ->
 
 
 def fixed_width_line(fields: Sequence[Field]) -> Column:
-    """The line that ``read_fixed_width`` reads back to the columns of ``fields``."""
+    """The line that ``read_fixed_width`` reads back to the columns of ``fields``.
+
+    A value that is wider than its field fails the write.
+    """
     parts: list[Column] = []
     position = 0
     for name, start, end, kind in fields:
@@ -40,7 +43,9 @@ def fixed_width_line(fields: Sequence[Field]) -> Column:
             parts.append(F.lit(" " * (start - position)))
         text = F.coalesce(F.col(name).cast("string"), F.lit(""))
         pad = F.rpad if kind == "string" else F.lpad
-        parts.append(pad(text, end - start, " "))
+        problem = F.concat(F.lit(f"{name} is wider than {end - start}: "), text)
+        fits = F.length(text) <= end - start
+        parts.append(F.when(fits, pad(text, end - start, " ")).otherwise(F.raise_error(problem)))
         position = end
     return F.concat(*parts).alias("value")
 

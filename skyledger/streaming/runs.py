@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
+from pyspark.sql.types import StructType
 
 from skyledger.operators.means import once_per_batch
 from skyledger.plans.products import Ledger, Product
@@ -117,9 +118,13 @@ def run_partials(
     checkpoint: str,
     cadence: Cadence = AVAILABLE_NOW,
 ) -> None:
+    """One folder of partial states per micro-batch, and an empty one from the start."""
+
     def write(batch: DataFrame, epoch: int) -> None:
         write_partial(product, batch, path, epoch)
 
+    nothing = readings.sparkSession.createDataFrame([], product.partial(readings).schema)
+    nothing.write.mode("overwrite").parquet(f"{path}/batch_id=-1")
     run_batches(readings, write, checkpoint, cadence)
 
 
@@ -137,17 +142,23 @@ def run_partials_to_table(
     table: str,
     connection: dict[str, str],
     checkpoint: str,
+    run_id: str,
     cadence: Cadence = AVAILABLE_NOW,
+    connections: int = jdbc.CONNECTIONS,
 ) -> None:
-    """Partial states into a SQL table, each row with the batch it comes from.
+    """Partial states into a SQL table, each row with the run and batch it comes from.
 
     An append cannot be taken back, so a replayed batch repeats its rows;
-    ``finish_table`` counts a (batch, key) once.
+    ``finish_table`` counts a (run, batch, key) once. Batches are numbered from 0 by
+    every checkpoint: ``run_id`` stays the same when a run is replayed, and is a new one
+    for other topics, another batch size or any other cut of the input.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        states = product.partial(batch).withColumn("batch_id", F.lit(epoch).cast("bigint"))
-        jdbc.append_table(states, table, connection)
+        states = product.partial(batch).withColumns(
+            {"run_id": F.lit(run_id), "batch_id": F.lit(epoch).cast("bigint")}
+        )
+        jdbc.append_table(states, table, connection, connections)
 
     run_batches(readings, write, checkpoint, cadence)
 
@@ -174,18 +185,37 @@ def run_complete(
 
     Every state partition costs a task and files per batch, and a few keys need
     few. The number is fixed when a checkpoint is made.
+
+    Epochs take turns in two folders, so the last whole one is there whatever happens
+    to the next, and older ones go. A folder is in force only while its mark is.
     """
+    spark = states.sparkSession
+
+    def mark(slot: int, epoch: int, mode: str = "overwrite") -> None:
+        row = spark.createDataFrame([(epoch, slot)], _MARK).coalesce(1)
+        row.write.mode(mode).parquet(f"{path}/committed/{slot}")
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        slot = epoch % 2
+        mark(slot, -1)
+        batch.write.mode("overwrite").parquet(f"{path}/states/{slot}")
+        mark(slot, epoch)
 
+    for slot in (0, 1):
+        mark(slot, -1, "ignore")
     run_batches(states, write, checkpoint, cadence, "complete", partitions)
 
 
-def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    states = spark.read.parquet(path)
-    last = states.agg(F.max("epoch")).first()[0]
-    return states.filter(F.col("epoch") == last).drop("epoch")
+_MARK = "epoch long, slot int"
+
+
+def read_latest(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The states of the last whole epoch of ``run_complete``; none if there is none yet."""
+    marks = spark.read.schema(_MARK).parquet(*[f"{path}/committed/{slot}" for slot in (0, 1)])
+    last = max(marks.collect(), key=lambda r: r["epoch"], default=None)
+    if last is None or last["epoch"] < 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/states/{last['slot']}")
 
 
 def run(

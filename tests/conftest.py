@@ -8,11 +8,11 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from skyledger.session import configure  # noqa: E402
+from skyledger.session import clear_scratch, configure  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     builder = (
         SparkSession.builder.master("local[8]")
         .appName("skyledger-tests")
@@ -22,5 +22,8 @@ def spark():
     )
     session = configure(builder).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.sparkContext.setCheckpointDir(f"file://{tmp_path_factory.mktemp('scratch')}")
     yield session
+    clear_scratch(session)
     session.stop()

@@ -73,29 +73,84 @@ def test_sql_sink(spark, monkeypatch):
     jobs.publish(spark.range(1), jobs.arguments(base))
     jobs.publish(spark.range(1), jobs.arguments([*base, "--table", "t", "--overwrite"]))
     options = {"url": "jdbc:x", "user": "u"}
-    assert calls == [("append", "geography", options), ("overwrite", "t", options)]
+    assert calls == [("append", "geography", options, 16), ("overwrite", "t", options, 16)]
 
 
 def test_reference_tables_and_models(spark, tmp_path):
     lines = scratch_path(spark, "lines")
     stations = tables.stations(spark, SF_DIR)
     stations.select(text.fixed_width_line(STATION_FIELDS)).write.text(lines)
-    out = {n: scratch_path(spark, n) for n in ("stations", "some", "clusters", "report", "geo")}
+    names = ("stations", "some", "clusters", "centers", "report", "geo", "work")
+    out = {n: scratch_path(spark, n) for n in names}
     jobs.execute(spark, jobs.arguments(["stations", "--input", lines, "--output", out["stations"]]))
     assert spark.read.parquet(out["stations"]).count() == stations.count()
     jobs.execute(spark, jobs.arguments(
         ["stations", "--input", lines, "--prefix", "03", "--output", out["some"]]))
     assert {r[0][:2] for r in spark.read.parquet(out["some"]).select("station_id").collect()} == {"03"}
     jobs.execute(spark, jobs.arguments(
-        ["clusters", "--input", out["stations"], "--k", "3", "--output", out["clusters"]]))
+        ["clusters", "--input", out["stations"], "--k", "3", "--output", out["clusters"],
+         "--summary", out["centers"]]))
     clusters = spark.read.parquet(out["clusters"])
     assert clusters.count() == stations.filter("elevation <> -999.9").count()
     assert clusters.select("cluster").distinct().count() == 3
+    centers = spark.read.parquet(out["centers"]).collect()
+    assert sum(r["size"] for r in centers) == clusters.count()
     features = scratch_path(spark, "features")
     queries()["ml_features"](spark, "/root/testdata/sf0.01").write.parquet(features)
-    jobs.execute(spark, jobs.arguments(["regression", "--input", features, "--output", out["report"]]))
+    jobs.execute(spark, jobs.arguments(
+        ["regression", "--input", features, "--output", out["report"], "--work", out["work"]]))
+    assert spark.read.parquet(f"{out['work']}/cases").count() > 0
     assert spark.read.parquet(out["report"]).first()["rmse"] > 0
     (tmp_path / "geo.csv").write_text('TW,Asia,Taiwan\n"RI,KV",Europe,Serbia\n')
     jobs.execute(spark, jobs.arguments(
         ["geography", "--input", str(tmp_path / "geo.csv"), "--no-header", "--output", out["geo"]]))
     assert spark.read.parquet(out["geo"]).count() == 2
+
+
+def test_parameters_of_products(spark, inputs):
+    base = ["--messages", "m", "--topics", "EZ", "--mode", "static", "--output", "o"]
+    dims = ["--stations", inputs["stations"], "--geography", inputs["geography"]]
+
+    def made(name, *options):
+        return jobs.product_named(spark, jobs.arguments([name, *base, *dims, *options]))
+
+    product = made("continent_prcp", "--after", "1990", "--continents", "ASIA, EUROPE")
+    assert (product.after, product.before) == (1990, 1993)
+    product = made("continent_prcp", "--unbounded", "--before", "2000")
+    assert (product.after, product.before) == (None, 2000)
+    assert made("elevation_snow", "--months", "2, 3").months == (2, 3)
+    assert made("station_var_mean", "--months", "1").months == (1,)
+    assert made("ml_features").months == (1, 2) and made("ml_features", "--after", "5").after == 5
+
+
+def test_options_of_sql_tables(spark, monkeypatch):
+    sql = ["--jdbc-url", "jdbc:x"]
+    product = ["temp_gap", "--messages", "m", "--topics", "EZ", *sql, "--partials", "p"]
+    for wrong in (
+        product,
+        [*product, "--run-id", "r"],
+        ["ledger", *product[1:], "--run-id", "r", "--work", "w"],
+        ["regression", "--input-table", "t", *sql, "--split-column", "year"],
+    ):
+        with pytest.raises(SystemExit):
+            jobs.arguments(wrong)
+    args = jobs.arguments(
+        ["regression", "--input-table", "t", *sql, "--split-column", "year", "--split-lower", "1900",
+         "--split-upper", "2020", "--split-parts", "7", "--connections", "3"]
+    )
+    assert jobs.split(args) == jobs.Split("year", "1900", "2020", 7) and args.connections == 3
+    calls = []
+    monkeypatch.setattr(jobs, "messages", lambda *_: spark.createDataFrame([], "topic string, value string"))
+    monkeypatch.setattr(jobs, "run_partials_to_table", lambda *a: calls.append(a[2:6]))
+    monkeypatch.setattr(jobs, "finish_table", lambda *a: calls.append(a[2]) or spark.range(1))
+    monkeypatch.setattr(jobs, "append_table", lambda *a: calls.append(a[1]))
+    jobs.execute(spark, jobs.arguments([*product, "--run-id", "r", "--work", "w"]))
+    jobs.execute(spark, jobs.arguments(["temp_gap", *sql, "--partials", "p", "--merge", "--table", "t"]))
+    assert calls == [("p", {"url": "jdbc:x"}, "w/checkpoint", "r"), "p", "t"]
+
+
+def test_folders_per_value(spark):
+    out = scratch_path(spark, "folders")
+    df = spark.range(30).selectExpr("id % 3 AS k", "id")
+    jobs.publish(df, jobs.arguments(["geography", "--input", "i", "--output", out, "--partition-by", "k"]))
+    assert spark.read.parquet(f"{out}/k=2").count() == 10

@@ -89,3 +89,29 @@ def test_nearest_center_takes_the_lowest_on_a_tie(spark):
     df = spark.createDataFrame([(0.0,), (10.0,)], "x double")
     cluster = learning.nearest_center(df, ["x"], [[-5], [5], [15]])
     assert [r[0] for r in df.select(cluster).collect()] == [0, 1]
+
+
+@pytest.mark.parametrize(("share", "kept"), [(1.0, 2000), (0.0, 0)])
+def test_whole_shares(spark, share, kept):
+    assert spark.range(2000).filter(learning.drawn(share, "id")).count() == kept
+
+
+def test_line_report_is_the_regression_report(spark):
+    df = spark.createDataFrame([*sample(), (999, 1.0, None, 1.0, 1.0)], SCHEMA)
+    train, test = learning.split(df.na.drop("any"), "id")
+    want = learning.regression_report(train, test, ["tmax_avg"], "prcp_avg").first().asDict()
+    flag = learning.drawn(0.8, "id")
+    report = learning.line_report(df, flag, "tmax_avg", "prcp_avg")
+    assert report.first().asDict() == pytest.approx(want)
+    assert report._jdf.queryExecution().executedPlan().toString().count("Exchange") <= 1
+
+
+def test_cluster_table(spark):
+    df = spark.createDataFrame(
+        [(float(i % 2 * 50), float(i % 2), float(i % 2)) for i in range(20)],
+        "latitude double, longitude double, elevation double",
+    )
+    model, _ = learning.fit_clusters(df, k=2)
+    rows = learning.cluster_table(model).collect()
+    assert [r["cluster"] for r in rows] == [0, 1] and sum(r["size"] for r in rows) == 20
+    assert rows[0]["cost"] == pytest.approx(0) and "center_latitude" in rows[0].asDict()

@@ -86,8 +86,8 @@ def test_states_of_a_pivot_merge_too(spark):
 def test_replayed_rows_count_once(spark):
     df = spark.createDataFrame(
         [(0, "a", "TMAX", 3), (0, "a", "TMIN", 1), (1, "a", "TMAX", 5), (1, "b", "TMIN", 2)], SCHEMA
-    ).withColumnRenamed("batch", "batch_id")
-    states = wide_state(df, ["batch_id", "key"], VARIABLES)
+    ).withColumnRenamed("batch", "batch_id").withColumn("run_id", F.lit("r"))
+    states = wide_state(df, ["run_id", "batch_id", "key"], VARIABLES)
     appended = states.unionByName(states.filter("batch_id = 1"))
     once = once_per_batch(appended, ["key"], VARIABLES)
     assert sorted(merge_wide(once, ["key"], VARIABLES).collect()) == sorted(
@@ -95,6 +95,17 @@ def test_replayed_rows_count_once(spark):
     )
 
 
+def test_runs_do_not_collapse_into_each_other(spark):
+    rows = [("one", 0, "a", "TMAX", 3), ("two", 0, "a", "TMAX", 9)]
+    df = spark.createDataFrame(rows, "run_id string, batch_id int, key string, variable string, value int")
+    states = wide_state(df, ["run_id", "batch_id", "key"], VARIABLES)
+    once = once_per_batch(states, ["key"], VARIABLES)
+    assert merge_wide(once, ["key"], VARIABLES).first()["TMAX_sum"] == 12
+    for change in ({"run_id": F.lit("r")}, {"run_id": F.lit("r"), "TMAX_sum": F.when(F.col("TMAX_sum") > 3, 1)}):
+        with pytest.raises(Exception, match="different states"):
+            once_per_batch(states.withColumns(change), ["key"], VARIABLES).collect()
+
+
 def test_weighted_merge(spark):
     df = spark.createDataFrame(
         [("a", 2.0, 3), ("a", 6.0, 1), ("b", 1.5, 2), ("b", None, 0)], "key string, m double, n long"

@@ -10,6 +10,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
+from skyledger.oracles import ORACLES
+from skyledger.registry import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TYPES = {
@@ -35,7 +37,7 @@ def ordered(rows):
     return sorted(rows, key=lambda r: [(v is None, str(type(v)), v if v is not None else 0) for v in r])
 
 
-@pytest.mark.parametrize("key", sorted(oracle_sql()))
+@pytest.mark.parametrize("key", sorted(ORACLES))
 def test_query_matches_sql(spark, duck, key):
     df = queries()[key](spark, SF_DIR)
     relation = duck.sql(oracle_sql()[key])
@@ -57,7 +59,8 @@ def test_query_matches_sql(spark, duck, key):
 
 
 def test_every_query_without_sql_is_known():
-    assert set(queries()) - set(oracle_sql()) == {"kmeans_stations"}
+    assert set(QUERIES) - set(ORACLES) == {"kmeans_stations"}
+    assert set(ORACLES) <= set(QUERIES) <= set(queries())
     assert set(oracle_sql()) <= set(queries())
 
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 from types import SimpleNamespace
 
 import pytest
 
 from __spark_entry__ import entry, queries
-from skyledger import registry
-from skyledger.session import scratch_path
+from skyledger import registry, session
+from skyledger.operators import ranks
+from skyledger.operators.ranks import first_rows
+from skyledger.session import materialize, scratch_path
 from skyledger.sources import tables
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -19,7 +20,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", [k for k in sorted(queries()) if not k.startswith("stream_")])
+@pytest.mark.parametrize("key", [k for k in sorted(registry.QUERIES) if not k.startswith("stream_")])
 def test_no_python_and_no_pairing(spark, key):
     plan = plan_of(queries()[key](spark, SF_DIR))
     for word in ("Python", "Pandas", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin"):
@@ -32,9 +33,16 @@ def test_year_bounds_reach_the_scan(spark):
         assert "GreaterThanOrEqual(l_shipdate,1996-01-01T00:00)" in plan
 
 
-def test_the_cut_of_a_limit_reaches_the_scan(spark):
-    plan = queries()["ordered_limit"](spark, "/root/testdata/sf0.01")._jdf.queryExecution()
-    assert "LessThan(l_shipdate" in plan.toString()
+def test_the_cut_of_a_limit_reaches_the_scan(spark, monkeypatch):
+    """Two scans of the readings: the dates, and what lies up to the cut."""
+    plans = []
+    monkeypatch.setattr(
+        ranks, "materialize", lambda df, name: plans.append(df) or materialize(df, name)
+    )
+    found = queries()["ordered_limit"](spark, "/root/testdata/sf0.01")
+    upto = plans[0]._jdf.queryExecution().toString()
+    assert upto.count("FileScan") == 1 and "LessThan(l_shipdate" in upto
+    assert "lineitem" not in found._jdf.queryExecution().toString()
 
 
 def test_only_needed_columns_are_read(spark):
@@ -91,15 +99,28 @@ def test_scratch_follows_the_setting(spark):
     assert spark.sparkContext.applicationId in first
 
 
-def test_no_local_scratch_on_a_cluster():
+def test_no_scratch_without_a_shared_folder():
     context = SimpleNamespace(
-        master="spark://host:7077", applicationId="app", getCheckpointDir=lambda: None
+        master="local[2]", applicationId="app", getCheckpointDir=lambda: None
     )
     session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(session, "x")
-    context.master = "local[2]"
-    assert scratch_path(session, "x").startswith(tempfile.gettempdir())
+
+
+def test_scratch_can_be_cleared(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "scratch_folder", lambda _: str(tmp_path / "app"))
+    kept = materialize(spark.range(5), "x")
+    assert kept.count() == 5 and (tmp_path / "app").exists()
+    session.clear_scratch(spark)
+    assert not (tmp_path / "app").exists() and tmp_path.exists()
+
+
+def test_ranks_use_no_single_partition_window(spark):
+    df = spark.range(1000).selectExpr("id % 7 AS k", "id % 5 AS v", "cast(id % 11 AS string) AS s")
+    plan = first_rows(df, 500, "k", "v", "s")._jdf.queryExecution().toString()
+    windows = [x for x in plan.splitlines() if "windowspecdefinition" in x]
+    assert windows and all("windowspecdefinition(_p" in x for x in windows)
 
 
 def test_registry_reads_whole_tables(spark):

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from skyledger.operators.geography import one_row_per_code, split_codes
@@ -92,9 +93,16 @@ def test_topics(spark):
         [("07", "a"), ("07", "b"), ("EZ", "c"), ("US", "d")], "topic string, value string"
     )
     files.write_partitioned(df, path, "topic", fmt="text")
-    chosen = messages.read_topic_files(spark, path, "07, EZ, absent")
+    chosen = messages.read_topic_files(spark, path, "07, EZ")
     assert sorted(map(tuple, chosen.collect())) == [("07", "a"), ("07", "b"), ("EZ", "c")]
-    assert not any("topic=US" in f for f in chosen.inputFiles())
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [topic" in plan
+    for absent in ("07, absent", ["*"], ["0[7]"], ["07}"]):
+        with pytest.raises(ValueError, match="no messages of"):
+            messages.read_topic_files(spark, path, absent)
+    assert messages.read_topic_files(spark, path, "absent", stream=True).isStreaming
+    with pytest.warns(UserWarning, match="no messages of absent"):
+        assert messages.read_topic_files(spark, path, "07, absent", report=True).count() == 2
     assert messages.read_topic_files(spark, path, ["US"]).collect() == [("US", "d")]
     assert messages.read_topic_files(spark, path).count() == 4
 
@@ -145,3 +153,14 @@ def test_single_csv(spark, tmp_path):
     header, *lines = parts[0].read_text().split()
     assert header == "year,gap"
     assert sorted(lines) == ["1990,1.5", "1991,"]
+
+
+@pytest.mark.parametrize(
+    ("column", "value"), [("latitude", -123.4567891), ("name", "x" * 40), ("station_id", "y" * 12)]
+)
+def test_values_wider_than_their_field_fail(spark, column, value):
+    row = {name: None for name, *_ in STATION_FIELDS} | {"station_id": "S", column: value}
+    schema = ", ".join(f"{name} {kind}" for name, _, _, kind in STATION_FIELDS)
+    df = spark.createDataFrame([tuple(row.values())], schema)
+    with pytest.raises(Exception, match="is wider than"):
+        df.select(text.fixed_width_line(STATION_FIELDS)).collect()
