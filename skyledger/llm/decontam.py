@@ -26,8 +26,8 @@ EDITS = 0.2
 #: The least alignment score, as a share of that of an unchanged copy.
 SCORE = 0.6
 MATCH, MISMATCH, GAP = 2, -1, -1
-#: Items that tasks hold at once. A larger benchmark is taken in blocks.
-BLOCK_ITEMS = 20_000
+#: Items, and bytes of their texts, that tasks hold at once. A larger benchmark is taken in blocks.
+BLOCK_ITEMS, BLOCK_BYTES = 20_000, 8 << 20
 #: Words of texts that a task looks up at once.
 BATCH_WORDS = 500_000
 
@@ -106,7 +106,8 @@ def build_index(rows: list[tuple[int, str]]) -> Index:
         index.grams[n], number = np.unique(every, return_inverse=True)
         item = np.repeat([i for i, _ in own], [c.size for c in codes]).astype(np.int64)
         place = np.concatenate([*(np.arange(c.size) for c in codes), np.empty(0, np.int64)])
-        index.places[n] = (number, item, place)
+        order = np.argsort(number, kind="stable")
+        index.places[n] = (number[order], item[order], place[order])
     return index
 
 
@@ -277,12 +278,13 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep_text: bool = False) -> Data
     and an item without words, leak nothing. An item id that stands for several texts
     can be reported several times. Every copy with at most ``EDITS`` of its words
     changed is found, and of others those that share a seed and reach ``SCORE``. A
-    benchmark of more than ``BLOCK_ITEMS`` items takes a pass over the texts for each
-    block.
+    benchmark of more than ``BLOCK_ITEMS`` items or ``BLOCK_BYTES`` bytes takes a pass over
+    the texts for each block.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     items = items.filter(F.col("text").isNotNull())
-    blocks = max(1, math.ceil(items.count() / BLOCK_ITEMS))
+    size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    blocks = max(1, math.ceil(size[0] / BLOCK_ITEMS), math.ceil(size[1] / BLOCK_BYTES))
     block = F.pmod(F.xxhash64("text"), F.lit(blocks))
     names = []
     for b in range(blocks):
