@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -369,7 +369,7 @@ def identify(docs: DataFrame, model: Model, keep_text: bool = False) -> DataFram
     return docs.mapInArrow(run, schema)
 
 
-def held_out(doc_id) -> F.col:
+def held_out(doc_id: Column) -> Column:
     """Whether a document is kept from training: CRC-32 of its id modulo 4 is 2."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -336,7 +336,7 @@ def round_trip(pages: DataFrame) -> DataFrame:
     return read_archives(spread, payload=False)
 
 
-def page_of(record_id) -> F.col:
+def page_of(record_id: Column) -> Column:
     """The page's id in a record id, NULL for a page without one."""
     number = F.regexp_extract(record_id, r"^<urn:page:(-?\d+)>$", 1)
     return F.when(number != "", number).cast("long")
