@@ -235,9 +235,12 @@ def gram_counts(docs: DataFrame, index: Index) -> dict[tuple[int, int], int]:
                     counts += np.bincount(index.found(words, n)[1], minlength=counts.size)
         for n, counts in total.items():
             some = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_pydict(
-                {"n": pa.array([n] * some.size, pa.int32()), "gram": pa.array(some, pa.int64()), "count": pa.array(counts[some], pa.int64())}
-            )
+            arrays = [
+                pa.array([n] * some.size, pa.int32()),
+                pa.array(some, pa.int64()),
+                pa.array(counts[some], pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=["n", "gram", "count"])
 
     found = docs.select("text").mapInArrow(run, "n int, gram long, count long")
     rows = found.groupBy("n", "gram").agg(F.sum("count").alias("count")).collect()

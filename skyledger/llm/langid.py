@@ -164,6 +164,11 @@ def packed(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 # ---- training ----
 
 
+def _summed(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """The sums of ``rows`` by the places ``at``, for places 0 to ``n`` - 1."""
+    return np.stack([np.bincount(at, column, n) for column in rows.T], axis=1)
+
+
 def fit(
     texts: list[str], langs: list[str], steps: int = 60, rate: float = 0.3, ridge: float = 1e-6
 ) -> Model:
@@ -218,11 +223,10 @@ def fit(
         scores[hit] += params[1][known[hit]]
         found, pairs = forward_backward(scores[ids], params[2], active)
         off = found - truth
-        by_word = np.stack([np.bincount(ids, off[:, j], len(unique)) for j in range(n)], axis=1)
-        spread = np.repeat(by_word, counts, axis=0)
+        by_word = _summed(ids, off, len(unique))
         slopes = [
-            np.stack([np.bincount(features, spread[:, j], FEATURES + 1) for j in range(n)], axis=1),
-            np.stack([np.bincount(known[hit], by_word[hit, j], max(1, len(lexicon))) for j in range(n)], axis=1),
+            _summed(features, np.repeat(by_word, counts, axis=0), FEATURES + 1),
+            _summed(known[hit], by_word[hit], max(1, len(lexicon))),
             pairs - wanted,
         ]
         for p, slope, mean, square in zip(params, slopes, means, squares, strict=True):
@@ -254,7 +258,8 @@ def train(docs: DataFrame) -> Model:
     for lang, n in counts.items():
         share = min(1.0, (2 * SAMPLE_TEXTS + 50) / n)
         bound = F.when(F.col("lang") == lang, F.lit(int(share * (1 << 40)))).otherwise(bound)
-    sample = sorted(tuple(r) for r in rows.filter(F.col("drawn") < bound).select("lang", "drawn", "text").collect())
+    drawn_rows = rows.filter(F.col("drawn") < bound).select("lang", "drawn", "text")
+    sample = sorted(tuple(r) for r in drawn_rows.collect())
     taken: dict[str, int] = {}
     texts, langs = [], []
     for lang, _, text in sample:

@@ -87,9 +87,11 @@ def measure(docs: DataFrame) -> DataFrame:
     again = F.sort_array(F.transform(F.filter("placed", found_again), lambda e: e["i"]))
     rows = rows.withColumn("again", again).drop("placed")
     # From one start to the next, but no further than a window reaches.
-    steps = F.transform(
-        "again", lambda p, k: F.least(F.coalesce(F.get(F.col("again"), k + 1) - p, F.lit(WINDOW)), F.lit(WINDOW))
-    )
+    def step(place: Column, k: Column) -> Column:
+        following = F.get(F.col("again"), k + 1) - place
+        return F.least(F.coalesce(following, F.lit(WINDOW)), F.lit(WINDOW))
+
+    steps = F.transform("again", step)
     total = F.aggregate(steps, F.lit(0).cast("long"), lambda total, step: total + step)
     return rows.withColumn("n_repeat_words", F.coalesce(total, F.lit(0).cast("long"))).drop("again")
 
