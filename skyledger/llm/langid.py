@@ -164,9 +164,9 @@ def packed(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 # ---- training ----
 
 
-def _summed(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """The sums of ``rows`` by the places ``at``, for places 0 to ``n`` - 1."""
-    return np.stack([np.bincount(at, column, n) for column in rows.T], axis=1)
+def _summed(at: np.ndarray, rows: np.ndarray, n: int, times: np.ndarray | int = 1) -> np.ndarray:
+    """The sums of ``rows``, each taken ``times``, by the places ``at``, for places 0 to ``n`` - 1."""
+    return np.stack([np.bincount(at, np.repeat(column, times), n) for column in rows.T], axis=1)
 
 
 def fit(
@@ -210,6 +210,7 @@ def fit(
     active = np.full(length, size)
     n, k = len(languages), len(words)
     features, starts = ngrams(list(unique))
+    features = features.astype(np.int32)
     counts = np.diff(np.r_[starts, features.size])
     known = np.fromiter((lexicon.get(w, -1) for w in unique), np.int64, len(unique))
     params = [np.zeros((FEATURES + 1, n)), np.zeros((max(1, len(lexicon)), n)), np.zeros((n, n))]
@@ -219,13 +220,16 @@ def fit(
     np.add.at(wanted, (labels[: size * (length - 1)], labels[size:]), 1)
     hit = known >= 0
     for step in range(1, steps + 1):
-        scores = np.add.reduceat(params[0][features], starts, axis=0)
+        # One language at a time: the features of all words are the largest arrays here.
+        scores = np.stack(
+            [np.add.reduceat(params[0][features, j], starts) for j in range(n)], axis=1
+        )
         scores[hit] += params[1][known[hit]]
         found, pairs = forward_backward(scores[ids], params[2], active)
         off = found - truth
         by_word = _summed(ids, off, len(unique))
         slopes = [
-            _summed(features, np.repeat(by_word, counts, axis=0), FEATURES + 1),
+            _summed(features, by_word, FEATURES + 1, counts),
             _summed(known[hit], by_word[hit], max(1, len(lexicon))),
             pairs - wanted,
         ]
