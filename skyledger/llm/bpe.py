@@ -16,6 +16,7 @@ import heapq
 import json
 import math
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +30,10 @@ from pyspark.sql import types as T
 from skyledger.llm.common import materialize
 
 #: The most words in the table, and the most bytes of a word in it.
-TABLE_WORDS = 250_000
+TABLE_WORDS = 400_000
 TABLE_BYTES = 48
+#: Tasks that merge the words of the table.
+TABLE_TASKS = 64
 #: Chunks of text whose ids a task keeps; beyond it the store begins anew.
 STORE = 500_000
 #: Buckets of the literal rank map. Spark looks a map's key up by reading all keys.
@@ -39,7 +42,8 @@ BUCKETS = 1 << 14
 NONE = (1 << 31) - 1
 
 # Unicode white space, by which text parts into chunks that the pattern never joins.
-SPACE = "\t-\r \x85\xa0  -     　"
+BLANKS = (0x1680, 0x2000, 0x2D, 0x200A, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)  # 0x2D: "to"
+SPACE = "\t-\r \x85\xa0" + "".join(map(chr, BLANKS))
 CHUNK = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
 
 
@@ -105,8 +109,9 @@ def merge_words(words: DataFrame, pieces: list[bytes]) -> DataFrame:
     """
     hexed = F.hex(F.coalesce(F.col("word").cast("binary"), F.lit(b"")))
     size = F.octet_length(F.coalesce(F.col("word"), F.lit("")))
-    parts = F.when(size > 0, F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.substring(hexed, 2 * i + 1, F.lit(2))))
-    parts = F.coalesce(parts, F.array().cast("array<string>"))
+    places = F.sequence(F.lit(0), size - 1)
+    parts = F.transform(places, lambda i: F.substring(hexed, 2 * i + 1, F.lit(2)))
+    parts = F.when(size > 0, parts).otherwise(F.array().cast("array<string>"))
     rows = words.select("word").distinct().withColumn("parts", parts)
 
     def fold(buckets: Column) -> Column:
@@ -207,14 +212,18 @@ def frequent_words(texts: DataFrame, pattern: str, most: int = TABLE_WORDS) -> D
     words = counts.select(F.explode(found).alias("word"), "n").groupBy("word")
     words = words.agg(F.sum("n").alias("n")).filter(F.octet_length("word") <= TABLE_BYTES)
     words = materialize(words, "words")
-    step = F.floor(F.log2("n") * 8).cast("int")
+    step = F.floor(F.log2("n") * 32).cast("int")
     room, least = most, math.inf
-    for row in words.groupBy(step.alias("step")).agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect():
+    steps = words.groupBy(step.alias("step")).agg(F.count("*").alias("n"))
+    for row in steps.orderBy(F.desc("step")).collect():
         room -= row["n"]
         if room < 0:
             break
         least = row["step"]
-    return words.filter(step >= least) if least < math.inf else words.limit(0)
+    if least == math.inf:
+        return words.select("word").limit(0)
+    # Few bytes, but much to do for each word.
+    return words.filter(step >= least).select("word").repartition(TABLE_TASKS, "word")
 
 
 def word_table(texts: DataFrame, pieces: list[bytes], pattern: str) -> dict[str, bytes]:
@@ -255,14 +264,15 @@ def encode(docs: DataFrame, path: str, pattern: str, keep_text: bool = False) ->
             for word in split(chunk):
                 known = words.get(word)
                 if known is None:
-                    known = np.array(merge(word.encode()), "<i4").tobytes()
+                    ids = merge(word.encode())
+                    known = struct.pack(f"<{len(ids)}I", *ids)
                 out.append(known)
             return b"".join(out)
 
         def encoded(text: str | None) -> bytes:
             out = []
             for chunk in CHUNK.findall(text or ""):
-                known = store.get(chunk)
+                known = words.get(chunk) or store.get(chunk)
                 if known is None:
                     known = ids_of(chunk)
                     if len(chunk) <= TABLE_BYTES:
