@@ -27,8 +27,8 @@ from skyledger.llm.decontam import words_of
 WORDS, CLASSES = 191, 64
 TOKENS = 1 + WORDS + CLASSES  # token 0 stands beyond the ends of a text
 SIDE, WIDTH, HIDDEN = 2, 12, 32
-#: Rounds of training; of each text every ``STRIDE``-th place is a training example, others in each round.
-ROUNDS, STRIDE = 2, 16
+#: Rounds of training, each on every ``STRIDE``-th place, others in each round: together on all of them.
+ROUNDS, STRIDE = 2, 2
 BATCH, RATE = 256, 0.1
 #: Words that a task counts before it hands the counts on, and places that it scores at once.
 COUNTED, SCORED = 300_000, 8192
@@ -99,8 +99,8 @@ def slopes(weights: Weights, around: np.ndarray, tokens: np.ndarray) -> Weights:
     out /= len(out)
     inner = (out @ w2.T) * (1 - hidden**2)
     back = (inner @ w1.T).reshape(len(around) * 2 * SIDE, WIDTH)
-    spread = np.zeros_like(table)
-    np.add.at(spread, around.ravel(), back)
+    cells = (around.reshape(-1, 1) * WIDTH + np.arange(WIDTH)).ravel()
+    spread = np.bincount(cells, back.ravel(), table.size).reshape(table.shape).astype(table.dtype)
     return [spread, seen.T @ inner, inner.sum(axis=0), hidden.T @ out, out.sum(axis=0)]
 
 
@@ -160,6 +160,11 @@ def vocabulary(docs: DataFrame) -> Vocabulary:
     return Vocabulary({bytes(r["word"]): i for i, r in enumerate(rows, 1)})
 
 
+def turn_places(n: int, turn: int) -> np.ndarray:
+    """Which of ``n`` places are learned from in round ``turn``; each is in one of ``ROUNDS``."""
+    return np.arange(turn * STRIDE // ROUNDS, n, STRIDE)
+
+
 def train_round(docs: DataFrame, vocab: Vocabulary, weights: Weights, turn: int) -> Weights:
     """The mean of what all tasks learn from ``weights``, by the places that each has seen.
 
@@ -174,7 +179,7 @@ def train_round(docs: DataFrame, vocab: Vocabulary, weights: Weights, turn: int)
             for start in range(0, batch.num_rows, 256):
                 texts = batch.column(0).slice(start, 256).cast(pa.binary())
                 around, tokens = contexts([vocab.tokens(x.as_py() or b"") for x in texts])
-                chosen = np.arange(turn * STRIDE // ROUNDS, len(tokens), STRIDE)
+                chosen = turn_places(len(tokens), turn)
                 trainer.learn(around[chosen], tokens[chosen])
         if trainer.places:
             flat = np.concatenate([w.ravel() for w in trainer.weights]).astype(np.float64)

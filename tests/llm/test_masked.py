@@ -76,6 +76,12 @@ def test_slopes_match_differences():
             assert (up - down) / 2e-5 == pytest.approx(slope[at], rel=1e-3, abs=1e-6)
 
 
+def test_every_place_is_learned_from_once():
+    for n in (0, 1, 2, 7, 15, 1000):
+        turns = [masked.turn_places(n, turn) for turn in range(masked.ROUNDS)]
+        assert sorted(np.concatenate(turns)) == list(range(n))
+
+
 def test_training_learns_what_stands_where(spark, monkeypatch):
     monkeypatch.setattr(masked, "STRIDE", 2)
     docs = documents(spark, corpus())
