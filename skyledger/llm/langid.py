@@ -22,7 +22,8 @@ from pyspark.sql import types as T
 
 from skyledger.llm.common import share
 
-#: The bound of the training sample: texts of each language, and bytes of a text in it.
+#: The bound of the training sample: texts of each language, and bytes of a text in it. Of a
+#: longer text its beginning is taken, up to the last end of a word in it.
 SAMPLE_TEXTS = 150
 SAMPLE_BYTES = 20_000
 #: Hashed n-gram features, and one more row that stays zero.
@@ -244,16 +245,27 @@ def fit(
     )
 
 
+def piece(text: Column) -> Column:
+    """``text``, or its beginning of whole words if it has more than ``SAMPLE_BYTES`` bytes."""
+    # No character has more than four bytes; the first characters hold the first bytes.
+    some = F.substring(text, 1, SAMPLE_BYTES)
+    for part in (SAMPLE_BYTES // 2, SAMPLE_BYTES // 3, SAMPLE_BYTES // 4):
+        some = F.when(F.octet_length(some) > SAMPLE_BYTES, F.substring(text, 1, part)).otherwise(some)
+    whole = F.regexp_replace(some, r"\p{L}+$", "")
+    return F.when(F.octet_length(text) <= SAMPLE_BYTES, text).otherwise(whole)
+
+
 def train(docs: DataFrame) -> Model:
     """A model of the labelled rows (``doc_id``, ``text``, ``lang``) of ``docs``.
 
-    From each language at most ``SAMPLE_TEXTS`` texts of at most ``SAMPLE_BYTES`` bytes
-    are taken, those with the smallest hash of their id. Only they reach the driver.
+    From each language at most ``SAMPLE_TEXTS`` texts are taken, those with the smallest
+    hash of their id, and of a text with more than ``SAMPLE_BYTES`` bytes its ``piece``. Only
+    they reach the driver.
     """
     drawn = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 40))
-    rows = docs.filter(
-        F.col("lang").isNotNull() & (F.octet_length("text") <= SAMPLE_BYTES) & F.col("text").rlike(r"\p{L}")
-    ).select("lang", "text", drawn.alias("drawn"))
+    rows = docs.filter(F.col("lang").isNotNull()).select(
+        "lang", piece(F.col("text")).alias("text"), drawn.alias("drawn")
+    ).filter(F.col("text").rlike(r"\p{L}"))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return fit([], [])

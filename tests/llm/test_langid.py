@@ -120,6 +120,21 @@ def test_training_sample(spark, monkeypatch):
     assert all(zlib.crc32(t.split()[-1].encode()) % 4 != 2 for t in texts)
 
 
+def test_a_language_of_long_texts_only_is_learned(spark):
+    long = {"de": "der die das und ", "el": "και το της είναι ", "th": "ที่ และ ใน ของ "}
+    rows = [(i, "the of and in " * 9, "en") for i in range(9)]
+    rows += [(50 + 9 * k + i, t * 2500, lang) for k, (lang, t) in enumerate(long.items()) for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.trained_on_rest(docs)
+    assert model.languages == ["de", "el", "en", "th"]
+    labeller = langid.Labeller(model)
+    assert [lang for lang, _ in labeller.languages([t * 9 for t in long.values()])] == list(long)
+    for text, cut in docs.select("text", langid.piece(F.col("text"))).collect():
+        assert text.startswith(cut) and len(cut.encode()) <= langid.SAMPLE_BYTES
+        assert len(cut.encode()) > langid.SAMPLE_BYTES / 4 or cut == text
+        assert set(cut.split()) <= set(text.split())
+
+
 def test_no_or_one_language(spark):
     docs = documents(spark, [(1, "word"), (2, "12")])
     for model, wanted in ((langid.fit([], []), "und"), (langid.fit(["a b"], ["en"]), "en")):
