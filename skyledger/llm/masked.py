@@ -2,14 +2,16 @@
 
 A token is a frequent word, or the class of a rarer one by its ending. A network
 sees ``SIDE`` tokens before and after a masked place and gives the distribution of
-the token there; the logarithms of what it gives to the tokens that do stand there
-add up to the score of a text. The network is trained over all texts: in each round
+the token there; a rarer word has a probability within its class, by its count over
+all texts and by its spelling. The logarithms of what both give to the words that do
+stand there add up to the score of a text. The network is trained over all texts: in each round
 every task goes on training from the same weights on its own texts, and the weights
 are averaged by the number of places that each task has seen.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,6 +34,10 @@ ROUNDS, STRIDE = 2, 2
 BATCH, RATE = 256, 0.1
 #: Words that a task counts before it hands the counts on, and places that it scores at once.
 COUNTED, SCORED = 300_000, 8192
+#: Rarer words with a count of their own; what a count lends to words that are only spelled.
+KNOWN, LENT = 200_000, 0.5
+#: Words whose probabilities a task keeps, and numbers of spellings that a task holds before it hands them on.
+STORE, SPELLED = 300_000, 300_000
 
 Weights = list[np.ndarray]
 
@@ -53,10 +59,81 @@ class Vocabulary:
 
     def tokens(self, data: bytes) -> np.ndarray:
         """The tokens of a text; a rarer word's class is that of its last three bytes."""
+        return self.tokens_of(words_of(data))
+
+    def tokens_of(self, words: list[bytes]) -> np.ndarray:
         get, crc, first = self.words.get, zlib.crc32, 1 + WORDS
-        return np.array(
-            [get(w) or first + crc(w[-3:]) % CLASSES for w in words_of(data)], np.int64
-        )
+        return np.array([get(w) or first + crc(w[-3:]) % CLASSES for w in words], np.int64)
+
+
+def class_of(word: bytes) -> int:
+    return zlib.crc32(word[-3:]) % CLASSES
+
+
+def steps_of(word: bytes) -> list[int]:
+    """The bytes before the last three from the last on, and the beginning, each with the two after it."""
+    if len(word) < 3:
+        return []
+    before = [256, *word[:-1]]
+    return [before[i] << 16 | word[i] << 8 | word[i + 1] for i in range(len(word) - 3, -1, -1)]
+
+
+@dataclass
+class Spelling:
+    """Probabilities of the rarer words within their classes.
+
+    A word with a count has its share of the class less ``LENT``; what all of them lend,
+    and the words without one, is spread over all words by their spelling: the ending,
+    and each byte before it given the two after it, as in the distinct words. The
+    probabilities of all words of a class add up to at most 1.
+    """
+
+    counts: dict[bytes, int]
+    totals: dict[int, int]  # occurrences by class
+    kinds: dict[int, int]  # distinct words by class
+    endings: dict[bytes, int]
+    steps: dict[int, int]
+
+    def __post_init__(self):
+        self.kept, self.after = dict.fromkeys(self.totals, 0.0), {}
+        for word, n in self.counts.items():
+            self.kept[class_of(word)] += n - LENT
+        for step, n in self.steps.items():
+            self.after[step & 0xFFFF] = self.after.get(step & 0xFFFF, 0) + n
+
+    def spelled(self, word: bytes) -> float:
+        ending, kinds = self.endings.get(word[-3:], 0), self.kinds.get(class_of(word), 0)
+        # There are about 2 ** 18 endings of each class.
+        total = math.log((ending or 2.0**-18) / (kinds + 1))
+        for step in steps_of(word):
+            n = self.after.get(step & 0xFFFF, 0)
+            total += math.log((self.steps.get(step, 0) + 1 / 257) / (n + 1))
+        return total
+
+    def log_probability(self, word: bytes) -> float:
+        spelled = self.spelled(word)
+        whole = self.totals.get(class_of(word), 0)
+        if not whole:
+            return spelled
+        kept = self.kept[class_of(word)]
+        lent = math.log((whole - kept) / whole) + spelled
+        n = self.counts.get(word, 0)
+        return float(np.logaddexp(math.log((n - LENT) / whole), lent)) if n else lent
+
+
+class Store(dict):
+    """Log-probabilities of words within their tokens, made when they are asked for."""
+
+    def __init__(self, spelling: Spelling, vocab: Vocabulary):
+        super().__init__()
+        self.spelling, self.vocab = spelling, vocab
+
+    def __missing__(self, word: bytes) -> float:
+        if len(self) > STORE:
+            self.clear()
+        found = 0.0 if word in self.vocab.words else self.spelling.log_probability(word)
+        self[word] = found
+        return found
 
 
 def contexts(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -155,11 +232,68 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 def vocabulary(docs: DataFrame) -> Vocabulary:
     """The ``WORDS`` most frequent words; of equally frequent ones those first in byte order."""
-    counts = materialize(word_counts(docs), "word-counts")
+    return most_frequent(materialize(word_counts(docs), "word-counts"))
+
+
+def most_frequent(counts: DataFrame) -> Vocabulary:
+    """As ``vocabulary``, of ``word_counts`` that are there."""
     rows = counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()
     return Vocabulary({bytes(r["word"]): i for i, r in enumerate(rows, 1)})
 
 
+def spelling(counts: DataFrame, vocab: Vocabulary) -> Spelling:
+    """How the words of ``word_counts`` that are not in ``vocab`` are distributed.
+
+    All of them take part. The driver gets at most ``KNOWN`` words with their counts, none
+    rarer than one that is left out, and the numbers of endings and steps.
+    """
+    cut, known = 1, 0
+    sizes = counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n"))
+    for row in sizes.collect():
+        known += row["words"]
+        if known > KNOWN + WORDS:
+            cut = row["n"] + 1
+            break
+    shared = share(counts.sparkSession, vocab)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, found = shared().words, {}
+
+        def given():
+            numbers = [(*key, n) for key, n in found.items()]
+            kinds = [pa.string(), pa.binary(), pa.int64()]
+            arrays = [pa.array([x[i] for x in numbers], k) for i, k in enumerate(kinds)]
+            return pa.RecordBatch.from_arrays(arrays, names=["kind", "key", "n"])
+
+        def add(kind: str, key: bytes, n: int = 1):
+            found[kind, key] = found.get((kind, key), 0) + n
+
+        for batch in batches:
+            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if word in words:
+                    continue
+                own = bytes([class_of(word)])
+                add("total", own, n)
+                add("kinds", own)
+                add("ending", word[-3:])
+                for step in steps_of(word):
+                    add("step", step.to_bytes(4))
+                if len(found) > SPELLED:
+                    yield given()
+                    found = {}
+        yield given()
+
+    parts = counts.select("word", "n").mapInArrow(run, "kind string, key binary, n long")
+    table = parts.groupBy("kind", "key").agg(F.sum("n").alias("n")).toArrow()
+    made: dict[str, dict] = {"total": {}, "kinds": {}, "ending": {}, "step": {}}
+    for kind, key, n in zip(*(table.column(i).to_pylist() for i in range(3)), strict=True):
+        made[kind][key if kind == "ending" else int.from_bytes(key)] = n
+    table = counts.filter(F.col("n") >= cut).select("word", "n").toArrow()
+    own = dict(zip(table.column(0).to_pylist(), table.column(1).to_pylist(), strict=True))
+    own = {w: n for w, n in own.items() if w not in vocab.words}
+    return Spelling(own, made["total"], made["kinds"], made["ending"], made["step"])
+
+
 def turn_places(n: int, turn: int) -> np.ndarray:
     """Which of ``n`` places are learned from in round ``turn``; each is in one of ``ROUNDS``."""
     return np.arange(turn * STRIDE // ROUNDS, n, STRIDE)
@@ -207,20 +341,34 @@ def train_round(docs: DataFrame, vocab: Vocabulary, weights: Weights, turn: int)
 
 def fit(docs: DataFrame) -> tuple[Vocabulary, Weights]:
     """A vocabulary and a network of all texts of ``docs``; NULL texts add nothing."""
-    docs = docs.select("text")
-    vocab, weights = vocabulary(docs), start_weights()
+    vocab = vocabulary(docs)
+    return vocab, train(docs, vocab)
+
+
+def fit_words(docs: DataFrame) -> tuple[Vocabulary, Weights, Spelling]:
+    """As ``fit``, and the probabilities of rarer words within their classes."""
+    counts = materialize(word_counts(docs), "word-counts")
+    vocab = most_frequent(counts)
+    return vocab, train(docs, vocab), spelling(counts, vocab)
+
+
+def train(docs: DataFrame, vocab: Vocabulary) -> Weights:
+    docs, weights = docs.select("text"), start_weights()
     for turn in range(ROUNDS):
         weights = train_round(docs, vocab, weights, turn)
-    return vocab, weights
+    return weights
 
 
-def score(docs: DataFrame, vocab: Vocabulary, weights: Weights) -> DataFrame:
+def score(
+    docs: DataFrame, vocab: Vocabulary, weights: Weights, spelling: Spelling | None = None
+) -> DataFrame:
     """``docs`` without ``text``, with ``__n_tokens`` and ``__log_likelihood``.
 
     ``__log_likelihood`` is the sum of the conditional log-probabilities of all tokens of
-    the whole text; 0 for a text without words, NULL among them. Rows stay where they are.
+    the whole text, with ``spelling`` of all its words; 0 for a text without words, NULL
+    among them. Rows stay where they are.
     """
-    shared = share(docs.sparkSession, (vocab, weights))
+    shared = share(docs.sparkSession, (vocab, weights, spelling))
     kept = [f for f in docs.schema.fields if f.name != "text"]
     schema = T.StructType(
         [
@@ -231,15 +379,19 @@ def score(docs: DataFrame, vocab: Vocabulary, weights: Weights) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, weights = shared()
+        vocab, weights, spelling = shared()
+        store = Store(spelling, vocab) if spelling else None
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 rows = batch.slice(start, 256)
                 column = rows.column(rows.schema.get_field_index("text")).cast(pa.binary())
-                texts = [vocab.tokens(x.as_py() or b"") for x in column]
+                words = [words_of(x.as_py() or b"") for x in column]
+                texts = [vocab.tokens_of(w) for w in words]
                 found = log_probabilities(weights, *contexts(texts)).astype(np.float64)
                 sizes = np.array([x.size for x in texts], np.int64)
                 total = np.bincount(np.repeat(np.arange(len(texts)), sizes), found, len(texts))
+                if store is not None:
+                    total += [math.fsum(map(store.__getitem__, w)) for w in words]
                 arrays = [rows.column(rows.schema.get_field_index(f.name)) for f in kept]
                 arrays += [pa.array(sizes, pa.int64()), pa.array(total, pa.float64())]
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.names)

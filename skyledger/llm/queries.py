@@ -244,9 +244,9 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's log-likelihood, and the mean probability that a token has."""
+    """Every document's log-likelihood, and the mean probability that a word has."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = masked.score(docs, *masked.fit(docs))
+    rows = masked.score(docs, *masked.fit_words(docs))
     mean = F.col("__log_likelihood") / F.col("__n_tokens")
     return rows.select(
         "doc_id",

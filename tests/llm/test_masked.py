@@ -109,6 +109,40 @@ def test_counts_and_the_vocabulary_cover_all_texts(spark, monkeypatch):
     assert list(masked.vocabulary(documents(spark, rows)).words) == first
 
 
+def test_words_of_a_class_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(masked, "KNOWN", 2)
+    monkeypatch.setattr(masked, "SPELLED", 50)
+    common = " ".join(f"w{i:03}" for i in range(masked.WORDS))
+    rare = ["station"] * 20 + ["ration"] * 9 + ["nation"] * 8 + ["motion", "potion", "qzion"]
+    rows = ODD + [(i, common) for i in range(1000, 1050)] + [(3000, " ".join(rare))]
+    fresh = [(1, "w000 station"), (2, "w000 nation"), (3, "w000 potion"), (4, "w000 xqzvkion"), (5, "w000")]
+    model = masked.fit_words(documents(spark, rows))
+    spelling = model[2]
+    assert len(spelling.counts) <= 2 and b"station" in spelling.counts
+    assert sum(spelling.totals.values()) == sum(
+        len([w for w in words_of((t or "").encode()) if w not in model[0].words]) for _, t in rows
+    )
+    plain = {r["doc_id"]: r["__log_likelihood"] for r in masked.score(documents(spark, fresh), *model[:2]).collect()}
+    found = {r["doc_id"]: r["__log_likelihood"] for r in masked.score(documents(spark, fresh), *model).collect()}
+    assert [plain[i] for i in (2, 3, 4)] == pytest.approx([plain[1]] * 3, abs=1e-4)
+    assert found[1] > found[2] > found[3] > found[4] and found[5] == pytest.approx(plain[5])
+    for i, t in fresh[:4]:
+        assert found[i] - plain[i] == pytest.approx(spelling.log_probability(t.split()[1].encode()), abs=1e-4)
+
+
+def test_probabilities_of_a_class_add_up_to_at_most_one():
+    words = {b"aion": 5, b"bion": 3, b"cion": 1, b"ion": 2}
+    steps: dict[int, int] = {}
+    for w in words:
+        for step in masked.steps_of(w):
+            steps[step] = steps.get(step, 0) + 1
+    own = masked.class_of(b"ion")
+    model = masked.Spelling({b"aion": 5, b"bion": 3}, {own: 11}, {own: 4}, {b"ion": 4}, steps)
+    short = sum(math.exp(model.log_probability(bytes([a]) + b"ion")) for a in range(256))
+    short += math.exp(model.log_probability(b"ion"))
+    assert 0.7 < short < 1 and model.log_probability(b"aion") > model.log_probability(b"cion")
+
+
 def test_empty_table(spark):
     docs = documents(spark, ODD).limit(0)
     vocab, weights = masked.fit(docs)
