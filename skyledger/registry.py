@@ -373,16 +373,21 @@ def ordered_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- streams ----
 
-# The registered streams read their table in so many files, one file per micro-batch.
-STREAM_FILES = 3
+# The registered streams read their table in so many micro-batches.
+STREAM_BATCHES = 3
 
 
-def _lines(spark: SparkSession, sf_dir: str, files: int = STREAM_FILES) -> DataFrame:
-    """``lineitem`` landed in ``files`` files, as a stream of as many micro-batches."""
+def _lines(spark: SparkSession, sf_dir: str, batches: int = STREAM_BATCHES) -> DataFrame:
+    """``lineitem`` landed in as many files as its scan has tasks, as a stream of ``batches``.
+
+    The number of files is rounded up to a multiple of ``batches``, so that each
+    micro-batch has equally many.
+    """
     folder = scratch_path(spark, "landed")
     lines = tables.table(spark, sf_dir, "lineitem")
-    lines.repartition(files).write.parquet(f"{folder}/lineitem.parquet")
-    return tables.table_stream(spark, folder, "lineitem", 1)
+    each = -(-lines.rdd.getNumPartitions() // batches)
+    lines.repartition(batches * max(1, each)).write.parquet(f"{folder}/lineitem.parquet")
+    return tables.table_stream(spark, folder, "lineitem", max(1, each))
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from skyledger import registry
 from skyledger.operators.clean import clean_messages
 from skyledger.operators.means import wide_state_columns
 from skyledger.plans import products
@@ -214,3 +215,24 @@ def test_two_runs_in_one_table_add_up(spark, monkeypatch):
     want = product.compute(spark.createDataFrame(whole, READING)).collect()
     assert runs.finish_table(spark, product, "t", {}).collect() == want
     assert [tuple(r) for r in want] == [(1990, 18.0)]
+
+
+def test_landing_spreads_with_the_input_in_three_batches(spark, monkeypatch):
+    landed, batches, given = [], [], tables.table_stream
+
+    def noted(spark, folder, name, files):
+        landed.append(len(spark.read.parquet(f"{folder}/{name}.parquet").inputFiles()))
+        return given(spark, folder, name, files)
+
+    monkeypatch.setattr(tables, "table_stream", noted)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+        whole = tables.table(spark, "/root/testdata/sf0.001", "lineitem")
+        tasks = whole.rdd.getNumPartitions()
+        rows = registry._lines(spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    runs.run_batches(rows, lambda b, e: batches.append(b.count()), scratch_path(spark, "checkpoint"))
+    assert 3 < tasks <= landed[0] < tasks + 3
+    assert len(batches) == 3 and sum(batches) == whole.count()
