@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, decontam, langid, licenses, lines, masked, passages, quality, simhash, warc
+from skyledger.llm import (
+    bpe,
+    decontam,
+    langid,
+    licenses,
+    lines,
+    masked,
+    passages,
+    quality,
+    repair,
+    simhash,
+    warc,
+)
 from skyledger.llm.common import digest, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -260,3 +272,32 @@ def op6_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of documents that stand, all but unchanged, in other documents."""
     return passages.near_passages(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with the faults that the digest of a row's name chooses; NULLs count as a space."""
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    role, text = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("role", "text")]
+    fault = F.crc32(name) % 20
+    rows = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), fault.alias("fault"))
+    fault = F.col("fault")
+    text = (
+        F.when(fault == 1, "")
+        .when(fault == 2, F.regexp_replace("text", "[.!?]", ""))
+        .otherwise(F.col("text"))
+    )
+    times = F.when(fault == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return rows.filter(fault != 0).select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, "user").otherwise(F.col("role")).alias("role"),
+        text.alias("text"),
+        F.explode(times).alias("time"),
+    )
+
+
+@query
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every damaged conversation's faults, and the cheapest edits that mend its structure."""
+    rows = read_table(spark, sf_dir, "conversations")
+    return repair.report(damaged(rows), every=rows)
