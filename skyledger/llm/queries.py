@@ -16,9 +16,11 @@ from skyledger.llm import (
     lines,
     masked,
     passages,
+    phrases,
     quality,
     repair,
     simhash,
+    trees,
     warc,
 )
 from skyledger.llm.common import digest, read_table
@@ -301,3 +303,69 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every damaged conversation's faults, and the cheapest edits that mend its structure."""
     rows = read_table(spark, sf_dir, "conversations")
     return repair.report(damaged(rows), every=rows)
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of each language."""
+    found = phrases.collocations(read_table(spark, sf_dir, "documents"))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+ORACLES["op12_collocations"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p
+), s AS (
+  SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w
+), g AS (
+  SELECT lang, k, array_to_string(ws[i : i + k - 1], ' ') AS phrase
+  FROM s, (SELECT unnest(range(1, 6)) AS k) WHERE i + k - 1 <= len(ws)
+), f AS MATERIALIZED (
+  SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL
+), t AS (
+  SELECT lang, sum(a) AS n FROM f WHERE k = 1 GROUP BY lang
+), c AS MATERIALIZED (
+  SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, a FROM f WHERE k > 1 AND a >= 100
+), e AS MATERIALIZED (
+  SELECT *, array_to_string(ws[1 : j], ' ') AS head, array_to_string(ws[j + 1 : k], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c)
+), u AS (
+  SELECT e.lang, e.phrase, e.a, t.n, j, l.a AS l, r.a AS r,
+         (1000::HUGEINT * e.a * t.n) // (l.a::HUGEINT * r.a) AS score
+  FROM e JOIN t ON e.lang = t.lang
+  JOIN f AS l ON l.lang = e.lang AND l.phrase = e.head
+  JOIN f AS r ON r.lang = e.lang AND r.phrase = e.tail
+), b AS (
+  SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), z AS (
+  SELECT lang, unnest([array_to_string(ws[1 : k - 1], ' '), array_to_string(ws[2 : k], ' ')]) AS phrase, a
+  FROM c WHERE k > 2
+), y AS (
+  SELECT lang, phrase, max(a) AS longer FROM z GROUP BY ALL
+), x AS (
+  SELECT b.* FROM b LEFT JOIN y ON y.lang = b.lang AND y.phrase = b.phrase
+  WHERE y.longer IS NULL OR y.longer < b.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM x QUALIFY rank <= 2000
+"""
+
+
+@query
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, by trees that learn from the labels that are not held out."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    forest = trees.trained(docs, read_table(spark, sf_dir, "labels"))
+    found = trees.score(docs, forest)
+    return found.select(
+        "doc_id",
+        trees.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("__score").alias("score"),
+        (F.col("__score") >= trees.ACCEPTED).cast("int").alias("predicted"),
+    )
