@@ -4,6 +4,8 @@
         --every "120 seconds" --seconds 7200 --per-trigger 5000000 \\
         --work s3a://shared/temp_gap --jdbc-url jdbc:... --table temp_gap
     python -m skyledger.jobs stations --input s3a://raw/stations.txt --output s3a://shared/stations
+    python -m skyledger.jobs regression --input s3a://shared/features --model s3a://shared/model --output ...
+    python -m skyledger.jobs score --input s3a://shared/features --model s3a://shared/model --output ...
     python -m skyledger.jobs clusters --input s3a://shared/stations --prefix CA --output ...
 
 Tables are Parquet folders, or SQL tables with ``--jdbc-url`` and ``--input-table``
@@ -38,7 +40,7 @@ PRODUCTS = (
     "ledger",
 )
 TABLES = ("stations", "inventory", "geography")
-MODELS = ("regression", "clusters")
+MODELS = ("regression", "score", "clusters")
 
 
 def connection(args: argparse.Namespace) -> dict[str, str]:
@@ -109,7 +111,7 @@ def product_result(spark: SparkSession, args: argparse.Namespace) -> DataFrame |
             connection(args),
             f"{args.work}/checkpoint",
             args.run_id,
-            Cadence(args.every, args.seconds),
+            Cadence(args.every, args.seconds, until_idle=args.until_idle),
             args.connections,
         )
         return None
@@ -118,7 +120,8 @@ def product_result(spark: SparkSession, args: argparse.Namespace) -> DataFrame |
         clean_messages(messages(spark, args)),
         args.work and f"{args.work}/states",
         args.work and f"{args.work}/checkpoint",
-        Cadence(args.every, args.seconds),
+        Cadence(args.every, args.seconds, until_idle=args.until_idle),
+        merged=True,
     )
 
 
@@ -142,7 +145,12 @@ def model_result(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.job == "regression":
         path = args.work and f"{args.work}/cases"
         cases = materialize(learning.complete_cases(rows), "cases", path)
+        if args.model:
+            train, _ = learning.split(cases, *products.LEDGER_KEYS)
+            learning.save_model(learning.fit_pipeline(train), args.model)
         return learning.regression_report(*learning.split(cases, *products.LEDGER_KEYS))
+    if args.job == "score":
+        return learning.score(learning.load_model(args.model), rows)
     if args.prefix:
         rows = rows.filter(F.col("station_id").startswith(args.prefix))
     positions = learning.complete_cases(rows.select("station_id", *learning.POSITION))
@@ -187,6 +195,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     source.add_argument("--mode", choices=("static", "dynamic"), default="dynamic")
     source.add_argument("--every", help="trigger interval; without it, what is there now")
     source.add_argument("--seconds", type=int, help="how long the stream runs")
+    source.add_argument("--until-idle", action="store_true", help="end as soon as no input is left")
     source.add_argument("--per-trigger", type=int, help="messages or files per micro-batch")
     source.add_argument("--work", help="shared folder for states and checkpoint")
     source.add_argument("--stations")
@@ -211,6 +220,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     other.add_argument("--no-header", action="store_true")
     other.add_argument("--prefix", help="keep the stations whose id starts like this")
     other.add_argument("--k", type=int, default=10, help="number of clusters")
+    other.add_argument("--model", help="folder of a regression: kept by regression, used by score")
     other.add_argument("--summary", help="folder for centres, sizes and cost of the clusters")
     sql = parser.add_argument_group("reading and writing a SQL table")
     sql.add_argument("--split-column", help="read ranges of this column in parallel")
@@ -232,6 +242,8 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
         parser.error("--partials needs --jdbc-url, and --run-id and --work or --merge")
     if args.partials and args.job not in PRODUCTS[:-1]:
         parser.error("--partials needs a product other than the ledger")
+    if args.job == "score" and not args.model:
+        parser.error("score needs --model")
     if not (args.output or args.jdbc_url):
         parser.error("--output or --jdbc-url is needed")
     if args.partials and args.merge:

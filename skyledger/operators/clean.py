@@ -38,6 +38,32 @@ def clean(raw: DataFrame) -> DataFrame:
     )
 
 
+def sorted_messages(messages: DataFrame) -> DataFrame:
+    """Every message with what becomes of it in ``status``, and its reading.
+
+    ``unparsable``: not JSON, or without station or variable; ``flagged``: it failed a quality
+    test; ``kept``: the rows of ``clean_messages``. The text stays in ``message`` for those
+    that are not kept. Each message is parsed once.
+    """
+    fields = T.StructType([READING[f] for f in CLEAN_FIELDS])
+    text = F.col("value").cast("string")
+    found = F.struct(text.alias("message"), F.from_json(text, fields).alias("reading"))
+    parsed = messages.select(F.inline(F.array(found))).select("message", "reading.*")
+    unparsable = F.col("StationId").isNull() | F.col("Variable").isNull()
+    status = F.when(unparsable, "unparsable").when(F.col("Q_Flag").isNotNull(), "flagged").otherwise("kept")
+    kept = status == "kept"
+    return parsed.select(
+        status.alias("status"),
+        F.when(~kept, F.col("message")).alias("message"),
+        *[F.when(kept, c).alias(n) for n, c in (
+            ("station_id", F.col("StationId")),
+            ("obs_date", parse_day(F.col("Date"))),
+            ("variable", F.col("Variable")),
+            ("value", F.col("Value")),
+        )],
+    )
+
+
 def clean_messages(messages: DataFrame) -> DataFrame:
     """Parse just the fields that cleaning needs, and clean."""
     return clean(parse_messages(messages, T.StructType([READING[f] for f in CLEAN_FIELDS])))

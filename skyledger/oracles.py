@@ -315,4 +315,62 @@ model AS (
           FROM stations WHERE elevation IS NOT NULL))""",
 }
 
+def _clusters(k: int, rounds: int) -> str:
+    """K-means unrolled: the farthest position ``k`` times, then rounds of assignment and means."""
+    axes = ("latitude", "longitude", "elevation")
+    apart = " + ".join(f"(z.{a} - c.{a}) * (z.{a} - c.{a})" for a in axes)
+    scaled = ", ".join(f"round({a} / (SELECT stddev_samp({a}) FROM placed), 6) AS {a}" for a in axes)
+    columns = ", ".join(axes)
+    parts = [
+        "placed AS (SELECT * FROM stations WHERE elevation IS NOT NULL)",
+        f"z AS MATERIALIZED (SELECT station_id, {scaled} FROM placed)",
+        f"c0 AS MATERIALIZED (SELECT 0 AS i, {columns} FROM z ORDER BY station_id LIMIT 1)",
+    ]
+    for n in range(1, k):
+        parts.append(f"""c{n} AS MATERIALIZED (
+  SELECT * FROM c{n - 1} UNION ALL SELECT {n}, {columns} FROM (
+    SELECT z.station_id, {', '.join(f'any_value(z.{a}) AS {a}' for a in axes)}, min({apart}) AS far
+    FROM z, c{n - 1} AS c GROUP BY z.station_id ORDER BY far DESC, z.station_id LIMIT 1))""")
+    centers = f"c{k - 1}"
+    for n in range(rounds + 1):
+        parts.append(f"""a{n} AS MATERIALIZED (
+  SELECT z.station_id, {', '.join(f'z.{a}' for a in axes)}, c.i AS cluster FROM z, {centers} AS c
+  QUALIFY row_number() OVER (PARTITION BY z.station_id ORDER BY {apart}, c.i) = 1)""")
+        means = ", ".join(f"coalesce(round(avg(a.{a}), 6), any_value(c.{a})) AS {a}" for a in axes)
+        parts.append(f"""m{n} AS MATERIALIZED (
+  SELECT c.i, {means} FROM {centers} AS c LEFT JOIN a{n} AS a ON a.cluster = c.i GROUP BY c.i)""")
+        centers = f"m{n}"
+    return ", " + ", ".join(parts) + f" SELECT station_id, CAST(cluster AS INTEGER) AS cluster FROM a{rounds}"
+
+
+_QUERIES |= {
+    "stream_update_gap": f"SELECT *, CAST(3 AS BIGINT) AS n_batches FROM ({TEMP_GAP})",
+    "stream_merged_features": FEATURES,
+    "stream_grouped_median": f"""
+  SELECT fips, variable, median(value) AS median, count(value) AS n FROM readings
+  WHERE variable IN {_CORE_LIST} AND value IS NOT NULL GROUP BY fips, variable""",
+    "stream_changing_stations": """
+, lines AS (
+  SELECT lpad(CAST(l_suppkey % 25 AS VARCHAR), 2, '0') || to_hex(l_suppkey + 4294967296) AS station_id,
+         40 * (l_orderkey % 3) AS rise, CASE WHEN l_tax > 0 THEN CAST(l_quantity AS INTEGER) * 3 END AS value
+  FROM lineitem WHERE l_linenumber = 1 AND l_discount <> 0)
+  SELECT elevation + rise AS elevation, avg(value) AS tmax, count(value) AS tmax_count
+  FROM lines JOIN stations USING (station_id) WHERE elevation IS NOT NULL GROUP BY elevation + rise""",
+    "stream_quarantine": """
+, counted AS (
+  SELECT count(*) AS n_lines, count(CASE WHEN q_flag IS NULL THEN 1 END) AS n_kept,
+         count(CASE WHEN q_flag IS NOT NULL THEN 1 END) AS n_flagged,
+         count(CASE WHEN value IS NULL THEN 1 END) AS n_unparsable
+  FROM raw)
+  SELECT n_lines + n_unparsable AS n_read, n_kept, n_flagged, n_unparsable,
+         n_kept AS rows_kept, n_flagged AS rows_flagged, n_unparsable AS rows_unparsable FROM counted""",
+    "stream_bytes_bound": """
+  SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_over, CAST(1 AS INTEGER) AS is_bound FROM lineitem""",
+    "stream_restart": _QUERIES["monthly_ledger"],
+    "stream_partitions": CONTINENT_PRCP,
+    "stream_linreg": _QUERIES["linreg_multi"],
+    "stream_saved_model": _QUERIES["linreg_predict"],
+    "kmeans_stations": _clusters(10, 10),
+}
+
 ORACLES = {key: BASE + body for key, body in _QUERIES.items()}

@@ -72,6 +72,10 @@ class Product:
     def partial(self, readings: DataFrame) -> DataFrame:
         return self._state(readings, self.grain)
 
+    def combine(self, states: DataFrame) -> DataFrame:
+        """Partial states added up: one per key of the grain."""
+        return merge_wide(states, self.grain, self.variables)
+
     def merge(self, states: DataFrame) -> DataFrame:
         """One state per key of the result."""
         if self.enrich is not None:
@@ -140,6 +144,9 @@ class Ledger:
         parts += [f"{v}_rows" for v in CORE_VARIABLES]
         return states.groupBy(*self.grain).agg(*[F.sum(c).alias(c) for c in parts])
 
+    def combine(self, states: DataFrame) -> DataFrame:
+        return self.finish(states)
+
     def compute(self, readings: DataFrame) -> DataFrame:
         return self.partial(readings)
 

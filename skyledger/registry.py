@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.columns import known_elevation, ratio
 from skyledger.operators.clean import clean_messages
+from skyledger.operators.counts import medians_of, merge_counts, value_counts
 from skyledger.operators.geography import (
     join_geography,
     one_row_per_code,
@@ -28,11 +29,12 @@ from skyledger.operators.means import (
 )
 from skyledger.operators.ranks import first_rows
 from skyledger.plans import learning, products
-from skyledger.schemas import CORE_VARIABLES, INVENTORY_FIELDS, STATION_FIELDS
+from skyledger.schemas import CORE_VARIABLES, INVENTORY_FIELDS, STATION_FIELDS, UNKNOWN_ELEVATION
 from skyledger.session import materialize, scratch_path
 from skyledger.sources import tables, text
 from skyledger.sources.files import write_ranges, write_single_csv
 from skyledger.sources.messages import read_topic_files
+from skyledger.sources.versions import VersionedTable
 from skyledger.streaming import runs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -476,6 +478,125 @@ def stream_static_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide_means(merged, keys, {"PRCP": "avg_prcp"})
 
 
+@query
+def stream_update_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The temperature gap in update mode: a batch hands over the years that it changes."""
+    rows = with_year(_stream(spark, sf_dir)).filter(F.col("variable").isin(*TEMPERATURES))
+    states = rows.groupBy("year").agg(*wide_state_columns(TEMPERATURES))
+    path, checkpoint = scratch_path(spark, "update"), scratch_path(spark, "checkpoint")
+    table = runs.run_update(states, ["year"], path, checkpoint, partitions=2)
+    n = F.lit(table.snapshot().high + 1).cast("bigint")
+    return products.temp_gap().present(table.read()).withColumn("n_batches", n)
+
+
+@query
+def stream_merged_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features from partial states that are merged between the micro-batches."""
+    product = PRODUCTS["ml_features"](spark, sf_dir)
+    path, checkpoint = scratch_path(spark, "merged"), scratch_path(spark, "checkpoint")
+    return product.finish(runs.run_merged(product, _stream(spark, sf_dir), path, checkpoint, fan=2).read())
+
+
+@query
+def stream_grouped_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact medians per country and variable from the value counts of micro-batches."""
+    rows = with_country_code(_stream(spark, sf_dir)).filter(F.col("variable").isin(*CORE_VARIABLES))
+    keys = ["fips", "variable"]
+    path, checkpoint = scratch_path(spark, "counts"), scratch_path(spark, "checkpoint")
+    table = runs.run_states(
+        rows, lambda batch: value_counts(batch, keys), lambda c: merge_counts(c, keys), path, checkpoint
+    )
+    return medians_of(table.read(), keys)
+
+
+@query
+def stream_changing_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TMAX by elevation while stations move up by 40 metres before each further batch."""
+    given = tables.stations(spark, sf_dir)
+    dimension = VersionedTable(spark, scratch_path(spark, "stations"))
+    folder, path = scratch_path(spark, "landed"), scratch_path(spark, "as_of")
+    checkpoint = scratch_path(spark, "checkpoint")
+    lines = tables.table(spark, sf_dir, "lineitem")
+    for i in range(STREAM_BATCHES):
+        dimension.publish(given.withColumn("elevation", F.when(
+            F.col("elevation") == UNKNOWN_ELEVATION, F.col("elevation")
+        ).otherwise(F.col("elevation") + 40 * i)))
+        due = lines.filter(F.col("l_orderkey") % STREAM_BATCHES == i)
+        due.write.mode("append").parquet(f"{folder}/lineitem.parquet")
+        found = runs.run_as_of(
+            lambda stations: products.station_var_mean(stations, "TMAX"),
+            dimension,
+            tables.readings_of(tables.table_stream(spark, folder, "lineitem")),
+            path,
+            checkpoint,
+        )
+    return found
+
+
+@query
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What becomes of all messages: as counted in the batches, and as written."""
+    path = scratch_path(spark, "sorted")
+    messages = tables.messages_of(_lines(spark, sf_dir))
+    runs.run_sorted(messages, path, scratch_path(spark, "checkpoint"))
+    counts = runs.message_counts(spark, path)
+    total = counts.agg(*[F.sum(c).alias(f"n_{c}") for c in ("read", *runs.OUTCOMES)])
+    rows = spark.read.parquet(f"{path}/messages")
+    written = rows.agg(*[
+        F.count(F.when(F.col("status") == s, 1)).alias(f"rows_{s}") for s in runs.OUTCOMES
+    ])
+    return total.crossJoin(written)  # one row each
+
+
+@query
+def stream_bytes_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro-batches bound by bytes: their rows by the progress, and how many are too large."""
+    folder = scratch_path(spark, "landed")
+    lines = tables.table(spark, sf_dir, "lineitem")
+    lines.repartition(2 * STREAM_BATCHES).write.parquet(f"{folder}/lineitem.parquet")
+    landed = spark.read.parquet(f"{folder}/lineitem.parquet")
+    sizes = landed.select("_metadata.file_path", "_metadata.file_size").distinct()
+    bound = 2 * sizes.agg(F.max("file_size")).first()[0]
+    stream = tables.table_stream(spark, folder, "lineitem", bytes_per_trigger=bound)
+    stream = stream.select("l_orderkey", "_metadata.file_path", "_metadata.file_size")
+    read: list[int] = []
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        files = batch.select("file_path", "file_size").distinct()
+        read.append(files.agg(F.sum("file_size")).first()[0] or 0)
+
+    progress = runs.run_batches(stream, write, scratch_path(spark, "checkpoint"))
+    rows = sum(p.numInputRows for p in progress)
+    found = (rows, sum(b > bound for b in read), int(len(read) >= STREAM_BATCHES))
+    return spark.createDataFrame([found], "n_rows long, n_over long, is_bound int")
+
+
+@query
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of a run that is stopped after its first batch, and of one that goes on.
+
+    Both are started by a trigger of time; the second ends when it finds no more input. The
+    ledger counts every reading, so each has been processed once.
+    """
+    rows = _stream(spark, sf_dir)
+    path, checkpoint = scratch_path(spark, "merged"), scratch_path(spark, "checkpoint")
+    stopped = runs.Cadence(every="0 seconds", batches=1)
+    table = runs.run_merged(products.Ledger(), rows, path, checkpoint, stopped)
+    if table.snapshot().high != 0:
+        raise RuntimeError("the first run has not stopped after its first batch")
+    going_on = runs.Cadence(every="0 seconds", until_idle=True)
+    return runs.run_merged(products.Ledger(), rows, path, checkpoint, going_on).read()
+
+
+@query
+def stream_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Precipitation in a folder per continent and year; batches write what they change."""
+    path, columns = scratch_path(spark, "partitions"), ("continent", "year")
+    product = PRODUCTS["continent_prcp"](spark, sf_dir)
+    runs.run_partitions(product, _stream(spark, sf_dir), path, scratch_path(spark, "checkpoint"), columns)
+    return spark.read.parquet(f"{path}/result").select("continent", "year", "avg_prcp")
+
+
 @query
 def stream_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream ends after a number of rows, in its second batch at 60,000 lines."""
@@ -550,6 +671,39 @@ def linreg_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(report, 6, *report.columns)
 
 
+def _feature_stream(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Rows of the feature table in three files, as a stream of as many batches."""
+    folder = scratch_path(spark, "landed")
+    rows.repartition(STREAM_BATCHES).write.parquet(f"{folder}/features.parquet")
+    return tables.table_stream(spark, folder, "features", 1)
+
+
+@query
+def stream_linreg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The regression of ``linreg_multi`` from the moments of micro-batches."""
+    rows = _feature_stream(spark, QUERIES["ml_features"](spark, sf_dir))
+    train = learning.drawn(0.8, *FEATURE_KEYS)
+    path, checkpoint = scratch_path(spark, "moments"), scratch_path(spark, "checkpoint")
+    table = runs.run_states(
+        rows, lambda batch: learning.moment_state(batch, train), learning.merge_moments, path, checkpoint
+    )
+    report = learning.regression_from_moments(table.read())
+    return _rounded(report, 6, *report.columns)
+
+
+@query
+def stream_saved_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model that is fitted, saved, loaded again and scores a stream."""
+    train, test = learning.split(_features(spark, sf_dir), *FEATURE_KEYS)
+    model, path = scratch_path(spark, "model"), scratch_path(spark, "scored")
+    learning.save_model(learning.fit_pipeline(learning.complete_cases(train)), model)
+    cases = _feature_stream(spark, learning.complete_cases(test))
+    scored = learning.score(learning.load_model(model), cases)
+    runs.run_append(scored, path, scratch_path(spark, "checkpoint"))
+    rows = spark.read.schema(scored.schema).parquet(path)
+    return _rounded(rows.select(*FEATURE_KEYS, "prediction"), 6, "prediction")
+
+
 @query
 def linreg_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = learning.complete_cases(_features(spark, sf_dir))
@@ -560,9 +714,9 @@ def linreg_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def kmeans_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ten clusters of the stations by scaled position."""
-    rows = learning.complete_cases(_known_positions(spark, sf_dir))
-    _, clustered = learning.fit_clusters(rows)
+    """Ten clusters of the stations by scaled position, from centers far apart."""
+    rows = materialize(learning.complete_cases(_known_positions(spark, sf_dir)), "positions")
+    _, clustered = learning.settled_clusters(rows)
     return clustered.select("station_id", "cluster")
 
 

@@ -16,6 +16,12 @@ def write_partitioned(df: DataFrame, path: str, *columns: str, fmt: str = "parqu
     balanced.write.mode("overwrite").format(fmt).partitionBy(*columns).save(path)
 
 
+def replace_partitions(df: DataFrame, path: str, *columns: str) -> None:
+    """Write the folders of the values that ``df`` has; the folders of other values stay."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*columns).parquet(path)
+
+
 def write_ranges(df: DataFrame, path: str, column: str, ranges: int = 4) -> None:
     """One folder per value, range-partitioned first; for small result tables."""
     (

@@ -58,15 +58,20 @@ def read_topic_files(
     stream: bool = False,
     files_per_trigger: int | None = None,
     report: bool = False,
+    bytes_per_trigger: int | None = None,
 ) -> DataFrame:
     """Text files under ``topic=<name>`` folders; files of other topics are not read.
 
+    A micro-batch has at most so many files, or so many bytes (but at least one file).
+
     A topic without messages is an error for a table, or a warning with ``report``. A
     stream may wait for it.
     """
     reader = (spark.readStream if stream else spark.read).schema(MESSAGE_FILE)
     if stream and files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if stream and bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     rows = reader.text(path).select("topic", "value")
     if topics is None:
         return rows

@@ -24,12 +24,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def table_stream(
-    spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    name: str,
+    files_per_trigger: int | None = None,
+    bytes_per_trigger: int | None = None,
 ) -> DataFrame:
-    """The files of a table as a stream; the pattern matches a file or a folder."""
+    """The files of a table as a stream; the pattern matches a file or a folder.
+
+    A micro-batch has at most so many files, or so many bytes (but at least one file).
+    """
     reader = spark.readStream.schema(table(spark, sf_dir, name).schema)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     return reader.parquet(f"{sf_dir}/{name}.parque[t]")
 
 

@@ -4,8 +4,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from skyledger.plans import learning
+from skyledger.session import scratch_path
 
 SCHEMA = "id long, snow_avg double, tmax_avg double, tmin_avg double, prcp_avg double"
 
@@ -115,3 +117,103 @@ def test_cluster_table(spark):
     rows = learning.cluster_table(model).collect()
     assert [r["cluster"] for r in rows] == [0, 1] and sum(r["size"] for r in rows) == 20
     assert rows[0]["cost"] == pytest.approx(0) and "center_latitude" in rows[0].asDict()
+
+
+def feature_rows(spark, n=300, seed=2):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        snow, tmax, tmin = rng.uniform(0, 90), rng.uniform(-20, 30), rng.uniform(-30, 20)
+        prcp = 3 + 0.5 * snow - 0.2 * tmax + 0.1 * tmin + rng.gauss(0, 1)
+        rows.append((f"EZ{i:09d}", 1990, 1, snow, tmax, tmin, prcp))
+    rows += [("EZ999999999", 1990, 2, None, 1.0, 1.0, 1.0), ("EZ999999998", 1990, 2, 1.0, 1.0, 1.0, None)]
+    return spark.createDataFrame(
+        rows, "station_id string, year int, month int, snow_avg double, tmax_avg double, tmin_avg double, prcp_avg double"
+    )
+
+
+KEYS = ("station_id", "year", "month")
+
+
+def test_moments_of_any_split_give_the_regression(spark):
+    rows = feature_rows(spark)
+    train = learning.drawn(0.8, *KEYS)
+    parts = [learning.moment_state(rows.filter(F.crc32("station_id") % 4 == i), train) for i in range(4)]
+    states = parts[0]
+    for p in [*parts[1:], learning.moment_state(rows.limit(0), train)]:
+        states = states.unionByName(p)
+    merged = learning.merge_moments(states)
+    assert merged.schema.names == states.schema.names and merged.dtypes == states.dtypes
+    cases = learning.complete_cases(rows)
+    want = learning.regression_report(*learning.split(cases, *KEYS)).first().asDict()
+    for given in (states, merged):
+        got = learning.regression_from_moments(given).first().asDict()
+        assert got == pytest.approx(want, rel=1e-7, abs=1e-9)
+
+
+def test_moments_without_rows(spark):
+    rows = feature_rows(spark)
+    nothing = learning.moment_state(rows.limit(0), F.lit(True))
+    assert set(learning.regression_from_moments(nothing).first()) == {None}
+    trained = learning.regression_from_moments(learning.moment_state(rows, F.lit(True))).first()
+    assert trained["rmse"] is None and trained["coef_snow_avg"] == pytest.approx(0.5, abs=0.02)
+    # A feature that is another one's double: the sum of both effects stays.
+    double = rows.withColumn("tmin_avg", 2 * F.col("tmax_avg"))
+    found = learning.regression_from_moments(learning.moment_state(double, F.lit(True))).first()
+    assert found["coef_tmax_avg"] + 2 * found["coef_tmin_avg"] == pytest.approx(-0.2, abs=0.02)
+
+
+def test_saved_model_scores_like_the_fitted_one(spark):
+    rows = feature_rows(spark)
+    train, test = learning.split(learning.complete_cases(rows), *KEYS)
+    path = scratch_path(spark, "model")
+    model = learning.fit_pipeline(train)
+    for _ in range(2):  # saving again replaces it
+        learning.save_model(model, path)
+    found = {r["station_id"]: r["prediction"] for r in learning.score(learning.load_model(path), rows).collect()}
+    assert len(found) == rows.count() - 1  # one lacks a feature; a label is not needed
+    for r in learning.predict(learning.fit_regression(train), test).collect():
+        assert found[r["station_id"]] == pytest.approx(r["prediction"], abs=1e-9)
+
+
+def brute_clusters(points, k, rounds):
+    def apart(p, c):
+        return sum((a - b) * (a - b) for a, b in zip(p, c, strict=True))
+
+    centers = [points[min(points)]]
+    while len(centers) < k:
+        far, _, chosen = min((-min(apart(p, c) for c in centers), key, key) for key, p in points.items())
+        if far == 0:
+            break
+        centers.append(points[chosen])
+    for _ in range(rounds + 1):
+        nearest = {key: min((apart(p, c), i) for i, c in enumerate(centers))[1] for key, p in points.items()}
+        last = centers
+        centers = [
+            tuple(round(sum(x) / len(x), 6) for x in zip(*[points[key] for key in points if nearest[key] == i], strict=True))
+            or c for i, c in enumerate(centers)
+        ]
+    return last, nearest
+
+
+@pytest.mark.parametrize("layout", [1, 7])
+def test_settled_clusters(spark, layout):
+    rng = random.Random(9)
+    # On a grid, so that many distances are equal.
+    rows = [(f"S{i:03d}", *(float(rng.randrange(6)) for _ in range(3))) for i in range(80)]
+    stations = spark.createDataFrame(rows, "station_id string, latitude double, longitude double, elevation double")
+    scaled = learning.scaled_positions(stations.repartition(layout))
+    points = {r[0]: tuple(r[1:]) for r in scaled.collect()}
+    centers, clustered = learning.settled_clusters(stations.repartition(layout), k=5, rounds=4)
+    want, nearest = brute_clusters(points, 5, 4)
+    assert centers == [pytest.approx(c) for c in want]
+    assert {r["station_id"]: r["cluster"] for r in clustered.collect()} == nearest
+
+
+def test_settled_clusters_of_few_positions(spark):
+    kinds = "station_id string, latitude double, longitude double, elevation double"
+    same = spark.createDataFrame([(f"S{i}", 1.0, 2.0, 3.0) for i in range(4)], kinds)
+    centers, clustered = learning.settled_clusters(same, k=3)
+    assert len(centers) == 1 and {r["cluster"] for r in clustered.collect()} == {0}
+    centers, clustered = learning.settled_clusters(same.limit(0), k=3)
+    assert centers == [] and clustered.count() == 0

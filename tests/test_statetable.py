@@ -1,0 +1,340 @@
+"""State tables: merging, replays, crashes, update mode, bounded and restarted runs."""
+
+from __future__ import annotations
+
+import datetime
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from skyledger.operators.counts import medians_of, merge_counts, value_counts
+from skyledger.operators.means import merge_wide, wide_state_columns
+from skyledger.plans import products
+from skyledger.session import scratch_path
+from skyledger.sources import notes
+from skyledger.sources.versions import VersionedTable
+from skyledger.streaming import runs
+from skyledger.streaming.statetable import StateTable, newest
+from tests.test_products import GEO, GEOGRAPHY, READING, ROWS, STATION, STATIONS
+
+VARIABLES = ("TMAX", "TMIN")
+
+
+@pytest.fixture(scope="module")
+def readings(spark):
+    return spark.createDataFrame(ROWS, READING)
+
+
+@pytest.fixture(scope="module")
+def source(spark, readings):
+    path = scratch_path(spark, "source")
+    readings.repartition(7).write.parquet(path)
+    return path
+
+
+def stream(spark, source, files=1):
+    return spark.readStream.schema(READING).option("maxFilesPerTrigger", files).parquet(source)
+
+
+def paths(spark):
+    return scratch_path(spark, "states"), scratch_path(spark, "checkpoint")
+
+
+def sums(df):
+    return df.groupBy("k").agg(F.sum("v").alias("v"))
+
+
+def table(spark, path, fan=2, run="run"):
+    schema = spark.createDataFrame([], "k long, v long").schema
+    return StateTable(spark, path, run, schema, sums, fan)
+
+
+def keyed(spark, *rows):
+    return spark.createDataFrame(list(rows), "k long, v long")
+
+
+def test_notes_are_whole_and_written_once(spark):
+    path = f"{scratch_path(spark, 'notes')}/a"
+    assert notes.read_note(spark, path) is None and notes.names_in(spark, path) == []
+    notes.write_note(spark, path, "é\n" * 5000)
+    assert notes.read_note(spark, path) == "é\n" * 5000
+    with pytest.raises(FileExistsError):
+        notes.write_note(spark, path, "other")
+    assert notes.names_in(spark, path.rpartition("/")[0]) == ["a"]
+    notes.remove(spark, path)
+    assert notes.read_note(spark, path) is None
+
+
+def test_parts_stay_few_and_add_up(spark):
+    rng, path, want = random.Random(3), scratch_path(spark, "states"), {}
+    for epoch in range(20):
+        rows = [(rng.randrange(50 + 20 * epoch), rng.randrange(9)) for _ in range(rng.choice([1, 5, 400]))]
+        table(spark, path).commit(epoch, sums(keyed(spark, *rows)))
+        for k, v in rows:
+            want[k] = want.get(k, 0) + v
+    now = table(spark, path).snapshot()
+    assert len(now.parts) <= 5
+    assert (now.parts[0].low, now.high) == (0, 19)
+    assert all(a.high + 1 == b.low for a, b in zip(now.parts, now.parts[1:]))
+    assert {r["k"]: r["v"] for r in table(spark, path).read().collect()} == want
+    assert len(notes.names_in(spark, f"{path}/manifest")) == 2
+    assert len(notes.names_in(spark, f"{path}/parts")) < 12
+
+
+def test_a_replayed_epoch_counts_once(spark):
+    path = scratch_path(spark, "states")
+    for epoch in (0, 1, 1, 2, 0, 2):
+        table(spark, path).commit(epoch, keyed(spark, (1, 10**epoch)))
+    assert table(spark, path).read().collect()[0]["v"] == 111
+    with pytest.raises(ValueError, match="another run"):
+        table(spark, path, run="other").commit(3, keyed(spark, (1, 1)))
+
+
+def test_a_crash_around_a_merge_loses_nothing(spark, monkeypatch):
+    path = scratch_path(spark, "states")
+    for epoch in range(3):
+        table(spark, path, fan=9).commit(epoch, keyed(spark, (epoch, 1), (7, 1)))
+    given = StateTable._publish
+
+    def crash(self, before, parts):
+        if len(parts) <= len(before.parts):  # the manifest of a merge
+            raise RuntimeError("lost before the commit")
+        return given(self, before, parts)
+
+    monkeypatch.setattr(StateTable, "_publish", crash)
+    with pytest.raises(RuntimeError):
+        table(spark, path).commit(3, keyed(spark, (3, 1), (7, 1)))
+    want = [(0, 1), (1, 1), (2, 1), (3, 1), (7, 4)]
+    assert sorted(map(tuple, table(spark, path).read().collect())) == want
+    monkeypatch.undo()
+    orphans = len(notes.names_in(spark, f"{path}/parts")) - len(table(spark, path).snapshot().parts)
+    assert orphans == 1
+    table(spark, path).commit(3, keyed(spark, (3, 1), (7, 1)))  # the replay
+    table(spark, path).commit(4, keyed(spark, (7, 1)))
+    assert sorted(map(tuple, table(spark, path).read().collect())) == [*want[:-1], (7, 5)]
+    assert len(table(spark, path).snapshot().parts) == 1
+
+
+def test_readers_of_the_last_manifest_are_not_disturbed(spark):
+    path = scratch_path(spark, "states")
+    table(spark, path).commit(0, keyed(spark, (1, 1)))
+    reading = table(spark, path).read()
+    table(spark, path).commit(1, keyed(spark, (1, 1)))  # merges
+    assert reading.collect()[0]["v"] == 1
+
+
+def test_newest(spark):
+    rows = [("a", 1, 0), ("a", None, 4), ("b", 2, 3), ("a", 9, 2)]
+    found = newest(["k"])(spark.createDataFrame(rows, "k string, v int, epoch long"))
+    assert sorted(map(tuple, found.collect())) == [("a", None, 4), ("b", 2, 3)]
+
+
+def yearly(rows):
+    rows = rows.filter(F.col("variable").isin(*VARIABLES) & F.col("obs_date").isNotNull())
+    return rows.groupBy(F.year("obs_date").alias("year")).agg(*wide_state_columns(VARIABLES))
+
+
+def test_update_mode_writes_changed_keys_and_survives_replays(spark, readings, source, monkeypatch):
+    path, checkpoint = paths(spark)
+    batches, given = [], StateTable.commit
+
+    def crashing(self, epoch, states):
+        batches.append((epoch, states.count()))
+        given(self, epoch, states)
+        if len(batches) == 3:
+            raise RuntimeError("lost after the commit")
+
+    monkeypatch.setattr(StateTable, "commit", crashing)
+    with pytest.raises(Exception, match="lost after the commit"):
+        runs.run_update(yearly(stream(spark, source)), ["year"], path, checkpoint, partitions=2)
+    found = runs.run_update(yearly(stream(spark, source)), ["year"], path, checkpoint, partitions=2)
+    assert [e for e, _ in batches] == [0, 1, 2, 2, 3, 4, 5, 6]
+    product = products.temp_gap()
+    assert product.present(found.read()).collect() == product.compute(readings).collect()
+    # A batch that touches one year writes one row.
+    day, late = datetime.date(1990, 5, 5), scratch_path(spark, "late")
+    spark.createDataFrame([("EZ000000001", day, "TMAX", 7)], READING).coalesce(1).write.parquet(late)
+    more = spark.read.parquet(late)
+    more.write.mode("append").parquet(source_copy := scratch_path(spark, "copy"))
+    path, checkpoint = paths(spark)
+    readings.coalesce(1).write.mode("append").parquet(source_copy)
+    batches.clear()
+    batches.append(None)
+    batches += [None] * 5  # no crash this time
+    runs.run_update(yearly(stream(spark, source_copy)), ["year"], path, checkpoint, partitions=2)
+    years = readings.filter(F.col("obs_date").isNotNull() & F.col("variable").isin(*VARIABLES))
+    counts = sorted(n for _, n in batches[6:])
+    assert counts[0] == 1 and counts[1] in (years.select(F.year("obs_date")).distinct().count(),)
+
+
+def every_product(spark):
+    geography, stations = spark.createDataFrame(GEOGRAPHY, GEO), spark.createDataFrame(STATIONS, STATION)
+    return [
+        products.continent_prcp(geography), products.elevation_snow(stations), products.ml_features(),
+        products.Ledger(),
+    ]
+
+
+def test_merged_run_equals_table(spark, readings, source):
+    for product in every_product(spark):
+        path, checkpoint = paths(spark)
+        found = runs.run(product, stream(spark, source), path, checkpoint, merged=True)
+        assert sorted(found.collect(), key=str) == sorted(product.compute(readings).collect(), key=str)
+        assert len(notes.names_in(spark, f"{path}/manifest")) == 2
+
+
+def test_merged_run_refuses_folders_of_another_kind(spark, source):
+    path, checkpoint = paths(spark)
+    runs.run_partials(products.temp_gap(), stream(spark, source, 9), path, checkpoint)
+    with pytest.raises(ValueError, match="one folder per batch"):
+        runs.run_merged(products.temp_gap(), stream(spark, source), path, checkpoint)
+
+
+def test_stop_after_a_batch_and_go_on_until_idle(spark, readings, source):
+    product = products.bonus_station_month()
+    path, checkpoint = paths(spark)
+    rows = stream(spark, source, 2)
+    for n in (1, 2):
+        stopped = runs.Cadence(every="0 seconds", batches=1)
+        table = runs.run_merged(product, rows, path, checkpoint, stopped)
+        assert table.snapshot().high + 1 == n
+    assert not spark.streams.active
+    going_on = runs.Cadence(every="0 seconds", until_idle=True, seconds=300)
+    table = runs.run_merged(product, rows, path, checkpoint, going_on)
+    assert table.snapshot().high + 1 == 4
+    found = product.finish(table.read())
+    assert sorted(found.collect(), key=str) == sorted(product.compute(readings).collect(), key=str)
+
+
+def test_grouped_medians_of_any_split(spark):
+    rng = random.Random(1)
+    rows = [(rng.choice("abc"), rng.choice([None, *range(6)])) for _ in range(400)]
+    rows += [("d", None), ("e", 3), ("f", 1), ("f", 2)] + [("hot", 5)] * 300
+    whole = spark.createDataFrame(rows, "g string, value int")
+    parts = [whole.filter(F.hash("g", "value") % 3 == i) for i in (-2, -1, 0, 1, 2)]
+    states = [value_counts(p, ["g"]) for p in parts]
+    merged = states[0]
+    for s in states[1:]:
+        merged = merged.unionByName(s)
+    found = medians_of(merge_counts(merged, ["g"]), ["g"])
+    want = whole.filter("value is not null").groupBy("g").agg(F.median("value"), F.count("*"))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+    assert medians_of(value_counts(whole.limit(0), ["g"]), ["g"]).count() == 0
+
+
+def test_dimension_of_a_batch_stays_its_own(spark):
+    """Versions change between batches, and while a batch is done again."""
+    day, path = datetime.date(1990, 1, 1), scratch_path(spark, "lines")
+    dimension = VersionedTable(spark, scratch_path(spark, "stations"))
+    with pytest.raises(ValueError, match="nothing has been published"):
+        dimension.read()
+
+    def stations(elevation):
+        return spark.createDataFrame([("EZ000000001", float(elevation))], "station_id string, elevation double")
+
+    def run():
+        return runs.run_as_of(
+            lambda s: products.station_var_mean(s, "TMAX"), dimension,
+            spark.readStream.schema(READING).parquet(path), work, checkpoint,
+        )
+
+    work, checkpoint = paths(spark)
+    given, crash = StateTable.commit, [False]
+
+    def commit(self, epoch, states):
+        if crash[0]:
+            states.count()
+            raise RuntimeError("lost before the commit")
+        given(self, epoch, states)
+
+    StateTable.commit = commit
+    try:
+        for i, value in enumerate((10, 20, 60)):
+            dimension.publish(stations(100 * i))
+            row = [("EZ000000001", day, "TMAX", value)]
+            spark.createDataFrame(row, READING).coalesce(1).write.mode("append").parquet(path)
+            if i == 1:
+                crash[0] = True
+                with pytest.raises(Exception, match="lost before the commit"):
+                    run()
+                crash[0] = False
+                dimension.publish(stations(900))  # newer than the batch that is done again
+            found = run()
+    finally:
+        StateTable.commit = given
+    assert [tuple(r) for r in found.collect()] == [(0.0, 10.0, 1), (100.0, 20.0, 1), (200.0, 60.0, 1)]
+    assert dimension.versions() == [0, 1, 2, 3]
+    assert dimension.read(1).first()["elevation"] == 100.0
+
+
+def test_only_changed_partitions_are_written(spark, readings):
+    product = products.continent_prcp(spark.createDataFrame(GEOGRAPHY, GEO), None, None, None)
+    source = scratch_path(spark, "source")
+    path, checkpoint = paths(spark)
+
+    def run():
+        rows = spark.readStream.schema(READING).parquet(source)
+        runs.run_partitions(product, rows, path, checkpoint, ("continent", "year"))
+        result = spark.read.parquet(f"{path}/result")
+        files = {f for f in result.inputFiles()}
+        return sorted(map(tuple, result.select("continent", "year", "avg_prcp").collect())), files
+
+    readings.coalesce(1).write.parquet(source)
+    first, files = run()
+    assert first == sorted(map(tuple, product.compute(readings).select("continent", "year", "avg_prcp").collect()))
+    station, day = next((r[0], r[1]) for r in ROWS if r[2] == "PRCP" and r[3] is not None and r[1] and r[0][:2] == "US")
+    more = spark.createDataFrame([(station, day, "PRCP", 5000)], READING)
+    more.coalesce(1).write.mode("append").parquet(source)
+    second, after = run()
+    whole = product.compute(readings.unionByName(more)).select("continent", "year", "avg_prcp")
+    assert second == sorted(map(tuple, whole.collect())) and second != first
+    assert len(files - after) == 1 and len(after - files) == 1
+
+
+def test_messages_are_sorted_and_counted(spark):
+    good = '{{"StationId":"EZ000000001","Date":{0},"Variable":"TMAX","Value":{1}}}'
+    lines = [good.format(19870101, i) for i in range(5)] + [good.format(19879999, 7)]
+    lines += ["junk", "", "{}", '{"StationId":"EZ000000001"}', '{"StationId":"EZ0', "[1, 2]", None]
+    lines += ['{"StationId":"EZ000000001","Date":19870101,"Variable":"TMAX","Value":1,"Q_Flag":"X"}'] * 2
+    source = scratch_path(spark, "messages")
+    rows = spark.createDataFrame([("EZ", x) for x in lines], "topic string, value string")
+    rows.repartition(3).write.parquet(source)
+    messages = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    path, checkpoint = paths(spark)
+    runs.run_sorted(messages, path, checkpoint)
+    counts = runs.message_counts(spark, path)
+    assert counts.count() == 3
+    total = counts.agg(*[F.sum(c) for c in ("read", *runs.OUTCOMES)]).first()
+    assert tuple(total) == (len(lines), 6, 2, 7)
+    found = spark.read.parquet(f"{path}/messages")
+    quarantine = found.filter("status = 'unparsable'")
+    assert {r["message"] for r in quarantine.collect()} == {*lines[6:12], None}
+    assert {r["message"] for r in found.filter("status = 'kept'").collect()} == {None}
+    kept = found.filter("status = 'kept'").select("station_id", "obs_date", "variable", "value")
+    day = datetime.date(1987, 1, 1)
+    want = [("EZ000000001", day, "TMAX", i) for i in range(5)] + [("EZ000000001", None, "TMAX", 7)]
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(want, key=str)
+
+
+def test_batches_are_bound_by_bytes(spark, source):
+    sizes = [notes.bytes_of(spark, f) for f in spark.read.parquet(source).inputFiles()]
+    reader = spark.readStream.schema(READING).option("maxBytesPerTrigger", max(sizes) * 2 + 1)
+    rows = []
+    progress = runs.run_batches(
+        reader.parquet(source), lambda b, e: rows.append(b.count()), scratch_path(spark, "checkpoint")
+    )
+    assert 3 < len(rows) <= 7 and sum(rows) == len(ROWS)
+    assert [p.numInputRows for p in progress if p.numInputRows] == [n for n in rows if n]
+
+
+def test_states_of_any_split_merge(spark, readings):
+    product = products.ml_features()
+    parts = [product.partial(readings.filter(F.hash("station_id", "obs_date", "value") % 3 == i)) for i in range(-2, 3)]
+    states = parts[0]
+    for p in parts[1:]:
+        states = states.unionByName(p)
+    once = product.combine(states)
+    assert sorted(product.finish(once).collect(), key=str) == sorted(product.compute(readings).collect(), key=str)
+    again = merge_wide(once, product.grain, product.variables)
+    assert sorted(again.collect(), key=str) == sorted(once.collect(), key=str)
