@@ -231,7 +231,8 @@ def word_table(texts: DataFrame, pieces: list[bytes], pattern: str) -> dict[str,
 
     At most ``TABLE_WORDS`` words of at most ``TABLE_BYTES`` bytes.
     """
-    rows = merge_words(frequent_words(texts, pattern), pieces)
+    # Written first, by many tasks at once: an iterator runs a job for each partition in turn.
+    rows = materialize(merge_words(frequent_words(texts, pattern), pieces), "merged")
     return {r["word"]: np.array(r["ids"], "<i4").tobytes() for r in rows.toLocalIterator()}
 
 

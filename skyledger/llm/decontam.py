@@ -58,7 +58,7 @@ def seed_size(length: int) -> tuple[int, int]:
 class Index:
     """The items of a block: their words as numbers, and where their n-grams stand."""
 
-    ids: list[int]
+    ids: list[list[int | None]]  # of the items with this text
     vocabulary: dict[bytes, int]
     items: list[np.ndarray]
     grams: dict[int, np.ndarray]  # by n: sorted codes, each once
@@ -87,14 +87,17 @@ class Index:
         return at[hit], number[hit]
 
 
-def build_index(rows: list[tuple[int, str]]) -> Index:
-    """Of items as (id, text); items without a word are left out."""
+def build_index(rows: list[tuple[int | None, str]], least_words: int = 1) -> Index:
+    """Of items as (id, text); equal texts are one item, shorter ones than ``least_words`` none."""
     vocabulary: dict[bytes, int] = {}
     ids, items = [], []
+    texts: dict[str, list[int | None]] = {}
     for item_id, text in rows:
+        texts.setdefault(text, []).append(item_id)
+    for text, own in texts.items():
         words = words_of(text.encode())
-        if words:
-            ids.append(item_id)
+        if len(words) >= least_words:
+            ids.append(own)
             items.append(
                 np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words], np.int64)
             )
@@ -113,14 +116,13 @@ def build_index(rows: list[tuple[int, str]]) -> Index:
 
 def choose_seeds(index: Index, counts: dict[tuple[int, int], int]) -> None:
     """Leaves only the rarest n-grams of each item, as many as ``seed_size`` says."""
+    most = np.array([seed_size(x.size)[1] for x in index.items], np.int64)
     for n, (number, item, place) in index.places.items():
         rarity = np.array([counts.get((n, g), 0) for g in range(index.grams[n].size)], np.int64)
-        kept = []
         order = np.lexsort((number, rarity[number], item)) if number.size else number
-        for i in np.unique(item):
-            rows = order[np.searchsorted(item[order], i) : np.searchsorted(item[order], i, "right")]
-            kept.append(rows[: seed_size(index.items[i].size)[1]])
-        rows = np.concatenate([*kept, np.empty(0, np.int64)]).astype(np.int64)
+        own = item[order]
+        nth = np.arange(own.size) - np.searchsorted(own, own)  # among the n-grams of its item
+        rows = order[nth < most[own]] if own.size else order
         rows = rows[np.argsort(number[rows], kind="stable")]
         used, again = np.unique(number[rows], return_inverse=True)
         index.grams[n] = index.grams[n][used]
@@ -128,27 +130,34 @@ def choose_seeds(index: Index, counts: dict[tuple[int, int], int]) -> None:
 
 
 def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
-    """Smith-Waterman: the best score of ``item`` in ``words``, and the first and last word of it."""
-    table = np.zeros((item.size + 1, words.size + 1), np.int32)
-    across = np.arange(words.size + 1, dtype=np.int32) * -GAP
-    for i, word in enumerate(item, 1):
-        row = table[i]
-        step = np.where(words == word, MATCH, MISMATCH)
-        np.maximum(table[i - 1, :-1] + step, table[i - 1, 1:] + GAP, out=row[1:])
+    """Smith-Waterman: the best score of ``item`` in ``words``, and the first and last word of it.
+
+    Memory grows with ``words`` only: beside each score of a row stands the place where its
+    alignment began. A match or mismatch goes before a gap in ``words``, that before a gap in
+    ``item``; of equal scores the first counts.
+    """
+    places = np.arange(words.size + 1)
+    across = places * -GAP
+    score, start = np.zeros(words.size + 1, np.int64), places.copy()
+    best, found = 0, (0, -1)
+    for word in item:
+        step = score[:-1] + np.where(words == word, MATCH, MISMATCH)
+        gap = score[1:] + GAP
+        row, begin = np.zeros_like(score), places.copy()
+        np.maximum(step, gap, out=row[1:])
+        begin[1:] = np.where(step >= gap, start[:-1], start[1:])
         np.maximum(row, 0, out=row)
         # A gap in the item: the best of all words before, less the way.
-        np.maximum(row, np.maximum.accumulate(row + across) - across, out=row)
-    i, j = np.unravel_index(int(table.argmax()), table.shape)
-    best, last = int(table[i, j]), int(j) - 1
-    while table[i, j] > 0:
-        step = MATCH if words[j - 1] == item[i - 1] else MISMATCH
-        if table[i, j] == table[i - 1, j - 1] + step:
-            i, j = i - 1, j - 1
-        elif table[i, j] == table[i - 1, j] + GAP:
-            i -= 1
-        else:
-            j -= 1
-    return best, int(j), last
+        reach = row + across
+        most = np.maximum.accumulate(reach)
+        origin = np.maximum.accumulate(np.where(reach == most, places, 0))
+        row = most - across
+        start = np.where(row > 0, begin[origin], places)
+        score = row
+        at = int(row.argmax())
+        if row[at] > best:
+            best, found = int(row[at]), (int(start[at]), at - 1)
+    return best, *found
 
 
 def _windows(index: Index, words: np.ndarray) -> list[tuple[int, int, int]]:
@@ -192,8 +201,9 @@ def leaks(index: Index, words: np.ndarray) -> list[dict]:
             found = (score / (MATCH * item.size), -(low + first), -(low + last))
             best[i] = max(best.get(i, found), found)
     rows = [
-        {"item_id": index.ids[i], "score": s, "first_word": -a, "last_word": -b}
+        {"item_id": item_id, "score": s, "first_word": -a, "last_word": -b}
         for i, (s, a, b) in best.items()
+        for item_id in index.ids[i]
     ]
     return sorted(rows, key=lambda r: (r["item_id"] is None, r["item_id"]))
 
@@ -274,27 +284,43 @@ def _scan_block(docs: DataFrame, index: Index, name: str, keep_text: bool) -> Da
     return docs.mapInArrow(run, schema)
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, keep_text: bool = False) -> DataFrame:
+def too_short(benchmark: DataFrame, least_words: int) -> DataFrame:
+    """The items that a scan with ``least_words`` passes over: ``item_id`` and ``n_words``."""
+    # Blanks, and ASCII that is neither letter nor digit, part words, as in ``words_of``.
+    parted = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", " ")
+    n_words = F.size(F.filter(F.split(parted, " "), lambda w: w != ""))
+    rows = benchmark.select("item_id", n_words.cast("long").alias("n_words"))
+    return rows.filter(F.col("n_words") < least_words)
+
+
+def scan(
+    docs: DataFrame, benchmark: DataFrame, keep_text: bool = False, least_words: int = 1
+) -> DataFrame:
     """``docs`` with ``__leaks``, the items of ``benchmark`` (``item_id``, ``text``) that each text has.
 
     Rows stay where they are; ``text`` goes unless ``keep_text``. A NULL or empty text,
-    and an item without words, leak nothing. An item id that stands for several texts
-    can be reported several times. Every copy with at most ``EDITS`` of its words
-    changed is found, and of others those that share a seed and reach ``SCORE``. A
-    benchmark of more than ``BLOCK_ITEMS`` items or ``BLOCK_BYTES`` bytes takes a pass over
-    the texts for each block.
+    and an item with fewer than ``least_words`` words (see ``too_short``), leak nothing. Items
+    with the same text are looked for once and all reported. Every copy with at most ``EDITS``
+    of its words changed is found, and of others those that share a seed and reach ``SCORE``.
+    Texts and items may be of any length: an alignment holds a few rows as long as the
+    surroundings of the item, not a table. A benchmark of more than ``BLOCK_ITEMS`` different
+    texts or ``BLOCK_BYTES`` bytes takes a pass over the texts for each block.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     items = items.filter(F.col("text").isNotNull())
-    size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    texts = items.select("text").distinct()
+    size = texts.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     blocks = max(1, math.ceil(size[0] / BLOCK_ITEMS), math.ceil(size[1] / BLOCK_BYTES))
     block = F.pmod(F.xxhash64("text"), F.lit(blocks))
     names = []
     for b in range(blocks):
-        rows = sorted(
-            (tuple(r) for r in items.filter(block == b).collect()), key=lambda r: (r[0] is None, r)
-        )
-        index = build_index(rows)
+        own = items.filter(block == b).groupBy("text").agg(F.collect_list("item_id").alias("ids"), F.count("*").alias("n"))
+        rows = []
+        for r in own.collect():
+            unnamed = [None] * (r["n"] - len(r["ids"]))
+            rows += [(i, r["text"]) for i in (*r["ids"], *unnamed)]
+        rows.sort(key=lambda r: (r[0] is None, r))
+        index = build_index(rows, least_words)
         choose_seeds(index, gram_counts(docs, index))
         names.append("__leaks" if b == 0 else f"__leaks_{b}")
         docs = _scan_block(docs, index, names[-1], keep_text or b < blocks - 1)

@@ -170,6 +170,17 @@ def _summed(at: np.ndarray, rows: np.ndarray, n: int, times: np.ndarray | int =
     return np.stack([np.bincount(at, np.repeat(column, times), n) for column in rows.T], axis=1)
 
 
+def _features(words: list[str], at_once: int = 10_000) -> tuple[np.ndarray, np.ndarray]:
+    """``ngrams`` of many words, in small numbers and without its large intermediate arrays."""
+    ids, starts, n = [], [], 0
+    for i in range(0, len(words), at_once):
+        some, begin = ngrams(words[i : i + at_once])
+        ids.append(some.astype(np.int32))
+        starts.append(begin + n)
+        n += some.size
+    return np.concatenate(ids), np.concatenate(starts)
+
+
 def fit(
     texts: list[str], langs: list[str], steps: int = 60, rate: float = 0.3, ridge: float = 1e-6
 ) -> Model:
@@ -210,8 +221,7 @@ def fit(
     labels = labels.reshape(size, length).T.ravel()
     active = np.full(length, size)
     n, k = len(languages), len(words)
-    features, starts = ngrams(list(unique))
-    features = features.astype(np.int32)
+    features, starts = _features(list(unique))
     counts = np.diff(np.r_[starts, features.size])
     known = np.fromiter((lexicon.get(w, -1) for w in unique), np.int64, len(unique))
     params = [np.zeros((FEATURES + 1, n)), np.zeros((max(1, len(lexicon)), n)), np.zeros((n, n))]
@@ -246,12 +256,16 @@ def fit(
 
 
 def piece(text: Column) -> Column:
-    """``text``, or its beginning of whole words if it has more than ``SAMPLE_BYTES`` bytes."""
+    """``text``, or its beginning of whole words if it has more than ``SAMPLE_BYTES`` bytes.
+
+    Where that has no whole word, as in scripts without blanks, a word is cut.
+    """
     # No character has more than four bytes; the first characters hold the first bytes.
     some = F.substring(text, 1, SAMPLE_BYTES)
     for part in (SAMPLE_BYTES // 2, SAMPLE_BYTES // 3, SAMPLE_BYTES // 4):
         some = F.when(F.octet_length(some) > SAMPLE_BYTES, F.substring(text, 1, part)).otherwise(some)
     whole = F.regexp_replace(some, r"\p{L}+$", "")
+    whole = F.when(whole.rlike(r"\p{L}"), whole).otherwise(some)
     return F.when(F.octet_length(text) <= SAMPLE_BYTES, text).otherwise(whole)
 
 

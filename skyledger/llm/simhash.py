@@ -234,7 +234,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     NULL ids come last; of rows with the same id, the one with the smallest digest
     of its text stays, and of rows that agree in both just one.
     """
-    found = components(fingerprints(docs)).groupBy("root", "doc_id", "digest")
+    return keep_first(docs, components(fingerprints(docs)))
+
+
+def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The row of ``docs`` that stays of each ``root``; ``found`` has ``root``, ``doc_id``, ``digest``."""
+    found = found.groupBy("root", "doc_id", "digest")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest", "n")
     first = found.agg(F.count("*").alias("n")).groupBy("root").agg(F.min(order).alias("o"))
     first = first.select(

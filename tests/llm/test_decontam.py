@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import random
+import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -32,6 +34,86 @@ def test_alignment_matches_the_textbook_table():
             assert brute_align(item, words[first : last + 1]) == score
 
 
+def textbook_path(item, words):
+    """The best score and its place, by the whole table and the way back through it."""
+    table = [[0] * (len(words) + 1) for _ in range(len(item) + 1)]
+    for i in range(1, len(item) + 1):
+        for j in range(1, len(words) + 1):
+            same = decontam.MATCH if item[i - 1] == words[j - 1] else decontam.MISMATCH
+            table[i][j] = max(0, table[i - 1][j - 1] + same, table[i - 1][j] - 1, table[i][j - 1] - 1)
+    best = max(map(max, table))
+    i, j = next((i, j) for i, row in enumerate(table) for j, x in enumerate(row) if x == best)
+    last = j - 1
+    while table[i][j] > 0:
+        same = decontam.MATCH if item[i - 1] == words[j - 1] else decontam.MISMATCH
+        if table[i][j] == table[i - 1][j - 1] + same:
+            i, j = i - 1, j - 1
+        elif table[i][j] == table[i - 1][j] - 1:
+            i -= 1
+        else:
+            j -= 1
+    return best, j, last
+
+
+def test_alignment_without_a_table_finds_the_same_place():
+    rng = random.Random(21)
+    for _ in range(400):
+        item = rng.choices(range(5), k=rng.randint(1, 25))
+        words = rng.choices(range(-1, 5), k=rng.randint(1, 50))
+        got = decontam.align(np.array(item), np.array(words))
+        assert got == textbook_path(item, words)
+
+
+def test_a_long_item_takes_bounded_memory():
+    rng = np.random.default_rng(5)
+    item = rng.integers(0, 5000, 8_000)
+    words = np.concatenate([rng.integers(0, 5000, 12_000), item, rng.integers(0, 5000, 12_000)])
+    words[15_000] = -1
+    tracemalloc.start()
+    assert decontam.align(item, words) == (8_000 * 2 - 3, 12_000, 19_999)
+    assert tracemalloc.get_traced_memory()[1] < 20 << 20
+    tracemalloc.stop()
+
+
+def test_seeds_of_many_items_are_chosen_at_once():
+    rng = random.Random(3)
+    rows = [(i, " ".join(f"v{rng.randrange(3000)}" for _ in range(50))) for i in range(8_000)]
+    index = decontam.build_index(rows)
+    counts = {(3, g): rng.randrange(9) for g in range(index.grams[3].size)}
+    before = index.places[3]
+    start = time.perf_counter()
+    decontam.choose_seeds(index, counts)
+    assert time.perf_counter() - start < 5
+    _, item, place = index.places[3]
+    for i in (0, 17, 7_999):
+        own = sorted((counts[3, g], g, p) for g, j, p in zip(*(x.tolist() for x in before)) if j == i)
+        wanted = [p for _, _, p in own[: decontam.seed_size(50)[1]]]
+        assert sorted(place[item == i].tolist()) == sorted(wanted)
+
+
+def test_equal_and_short_items(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "BLOCK_ITEMS", 3)
+    docs = documents(spark, [(1, "a b c d e f g h i j and more"), (2, "yes"), (3, "k l m n o p q r"), (4, None)])
+    items = [(i, "a b c d e f g h i j") for i in range(40)] + [(None, "a b c d e f g h i j")] * 2
+    items += [(50, "Yes"), (51, "k l m n o p q r"), (52, ""), (53, None), (54, "!? --")]
+    found = decontam.pairs(decontam.scan(docs, table(spark, items), least_words=8)).collect()
+    got = sorted((r["doc_id"], -1 if r["item_id"] is None else r["item_id"]) for r in found)
+    assert got == sorted([(1, i) for i in range(40)] + [(1, -1)] * 2 + [(3, 51)])
+    short = decontam.too_short(table(spark, items), 8).collect()
+    assert sorted(map(tuple, short)) == [(50, 1), (52, 0), (53, 0), (54, 0)]
+    whole = decontam.pairs(decontam.scan(docs, table(spark, items))).collect()
+    assert (2, 50) in {(r["doc_id"], r["item_id"]) for r in whole}
+
+
+def test_very_long_texts_and_items(spark):
+    rng = random.Random(9)
+    item = " ".join(f"v{rng.randrange(4000)}" for _ in range(3_000))
+    text = " ".join(f"u{rng.randrange(4000)}" for _ in range(200_000))
+    docs = documents(spark, [(1, text), (2, f"{text} {item} {text}"), (3, "x" * 3_000_000)])
+    (row,) = decontam.pairs(decontam.scan(docs, table(spark, [(5, item)]))).collect()
+    assert (row["doc_id"], row["score"], row["first_word"], row["last_word"]) == (2, 1.0, 200_000, 202_999)
+
+
 def edited(rng: random.Random, words: list[str], edits: int) -> list[str]:
     out = list(words)
     for at in sorted(rng.sample(range(len(words)), edits), reverse=True):

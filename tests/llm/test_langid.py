@@ -116,8 +116,9 @@ def test_training_sample(spark, monkeypatch):
     monkeypatch.setattr(langid, "fit", lambda texts, langs: kept.append((texts, langs)))
     langid.trained_on_rest(docs)
     texts, langs = kept[0]
-    assert langs == ["de"] * 3 + ["en"] * 3
-    assert all(zlib.crc32(t.split()[-1].encode()) % 4 != 2 for t in texts)
+    assert langs == ["de"] * 3 + ["en"] * 3 + ["xx"]
+    assert all(zlib.crc32(t.split()[-1].encode()) % 4 != 2 for t in texts[:6])
+    assert texts[6] == "x" * langid.SAMPLE_BYTES  # one word: it is cut, and its language learned
 
 
 def test_a_language_of_long_texts_only_is_learned(spark):
