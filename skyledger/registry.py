@@ -585,7 +585,7 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     if table.snapshot().high != 0:
         raise RuntimeError("the first run has not stopped after its first batch")
     going_on = runs.Cadence(every="0 seconds", until_idle=True)
-    return runs.run_merged(products.Ledger(), rows, path, checkpoint, going_on).read()
+    return _filled(runs.run_merged(products.Ledger(), rows, path, checkpoint, going_on).read())
 
 
 @query

@@ -154,3 +154,20 @@ def test_folders_per_value(spark):
     df = spark.range(30).selectExpr("id % 3 AS k", "id")
     jobs.publish(df, jobs.arguments(["geography", "--input", "i", "--output", out, "--partition-by", "k"]))
     assert spark.read.parquet(f"{out}/k=2").count() == 10
+
+
+def test_a_kept_model_scores_later(spark):
+    rows = queries()["ml_features"](spark, SF_DIR)
+    features, model = scratch_path(spark, "features"), scratch_path(spark, "model")
+    rows.write.parquet(features)
+    outputs = [scratch_path(spark, "output") for _ in range(2)]
+    for job, output in zip(("regression", "score"), outputs, strict=True):
+        jobs.execute(spark, jobs.arguments([job, "--input", features, "--model", model, "--output", output]))
+    scored = spark.read.parquet(outputs[1])
+    assert scored.count() == rows.na.drop("any", subset=["snow_avg", "tmax_avg", "tmin_avg"]).count() > 0
+    report = spark.read.parquet(outputs[0]).first()
+    for r in scored.limit(20).collect():
+        want = report["intercept"] + sum(report[f"coef_{f}"] * r[f] for f in ("snow_avg", "tmax_avg", "tmin_avg"))
+        assert r["prediction"] == pytest.approx(want, abs=1e-6)
+    with pytest.raises(SystemExit):
+        jobs.arguments(["score", "--input", features, "--output", "o"])
