@@ -180,9 +180,10 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _license_sql() -> str:
-    """The scan with every line against every template."""
+    """The scan with every window of words against every template."""
     rows = ", ".join(
-        f"('{label}', {words}, {need})" for _, label, words, need in licenses.templates()
+        f"({i}, '{t.label}', {t.words}, {t.own}, {t.need}, {t.length})"
+        for i, t in enumerate(licenses.templates())
     )
     found = "regexp_extract_all(translate({}, '{}', '{}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
     words = found.replace("'{}', '{}'", f"'{licenses.UPPER}', '{licenses.UPPER.lower()}'")
@@ -192,22 +193,25 @@ def _license_sql() -> str:
         for phrase, label in licenses.PHRASES.items()
     )
     return f"""
-WITH t(label, ws, need) AS (VALUES {rows}), d AS (
-  SELECT doc_id, coalesce(text, '') AS text, {words.format("coalesce(text, '')")} AS ws FROM documents
+WITH t(t, label, words, own, need, length) AS (VALUES {rows}), d AS (
+  SELECT doc_id, {words.format("coalesce(text, '')")} AS ws FROM documents
+), s AS (
+  SELECT doc_id, i, ws[i] AS w, ws[i : i + 40] AS ws FROM (
+    SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM d)
 ), p AS (
-  SELECT doc_id, i - 1 AS place, CASE {phrases} END AS label
-  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM d)
+  SELECT doc_id, i - 1 AS place, CASE {phrases.replace("ws[i + ", "ws[1 + ")} END AS label FROM s
 ), b AS (
   SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
          list(label) AS labels
   FROM p WHERE label IS NOT NULL GROUP BY doc_id
-), l AS (
-  SELECT doc_id, list_distinct({words.format("line")}) AS ws
-  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+), v AS (
+  SELECT t, label, own, need, length, words, unnest(words) AS w FROM t
+), x AS (
+  SELECT doc_id, label, len(words) AS n, own, need, list_intersect(words, s.ws[1 : length]) AS shared
+  FROM s JOIN v ON s.w = v.w
 ), m AS (
-  SELECT doc_id, list(t.label) AS labels,
-         max(len(list_intersect(l.ws, t.ws)) / len(t.ws)) AS score
-  FROM l, t WHERE len(list_intersect(l.ws, t.ws)) >= t.need GROUP BY doc_id
+  SELECT doc_id, list(label) AS labels, max(len(shared) / n) AS score
+  FROM x WHERE len(shared) >= need AND len(list_intersect(own, shared)) = len(own) GROUP BY doc_id
 )
 SELECT d.doc_id, len(d.ws) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
        array_to_string(list_sort(list_distinct(coalesce(b.labels, []))), ',') AS base_labels,
