@@ -457,7 +457,7 @@ def stream_temp_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = with_year(_stream(spark, sf_dir)).filter(F.col("variable").isin(*TEMPERATURES))
     states = rows.groupBy("year").agg(*wide_state_columns(TEMPERATURES))
     path = scratch_path(spark, "complete")
-    runs.run_complete(states, path, scratch_path(spark, "checkpoint"))
+    runs.run_complete(states, path, scratch_path(spark, "checkpoint"), partitions=2)
     return products.temp_gap().present(runs.read_latest(spark, path, states.schema))
 
 
@@ -472,7 +472,7 @@ def stream_static_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     states = rows.groupBy("fips", "year").agg(*wide_state_columns(["PRCP"]))
     joined = join_geography(states, tables.geography(spark, sf_dir))
     path = scratch_path(spark, "complete")
-    runs.run_complete(joined, path, scratch_path(spark, "checkpoint"))
+    runs.run_complete(joined, path, scratch_path(spark, "checkpoint"), partitions=4)
     keys = ["continent", "year"]
     merged = merge_wide(runs.read_latest(spark, path, joined.schema), keys, ["PRCP"])
     return wide_means(merged, keys, {"PRCP": "avg_prcp"})
