@@ -9,14 +9,16 @@ becomes lower case; everything is counted per language (NULL: ``und``). A phrase
    are not frequent are abandoned by two bit maps of fixed size. A bit that is set in vain
    costs work and changes no result.
 3. *Suffixes.* A suffix begins at each place and ends before the first abandoned pair, after
-   ``LONGEST`` words at most. Tasks combine equal ones. They are routed by their leading
-   words to ranges of about equal size, so that a word or pair with a third of all places
-   spreads over many tasks.
+   ``LONGEST`` words at most. Tasks combine equal ones and route them by a hash of the leading
+   word, or of the leading pair if the word has ``HOT`` places or more; those of a pair with so
+   many are routed one by one in the order of their words. Routes are dealt to ranges of about
+   equal size, so that a word or pair with a third of all places spreads over many tasks.
 4. *Quicksort.* Each range holds an array of suffix pointers, which is parted by the word at
    depth 0 into smaller, equal and greater; the equal part, whose size is the count of the
    phrase up to there, is parted again by the next word, down to the greatest depth. Parts
-   below ``least`` are abandoned, but for those with the first or last suffix of the range:
-   their phrases may go on in the next range, and the counts are summed afterwards.
+   below ``least`` are abandoned, but for those with the first or last suffix of a range that
+   was routed by itself: their phrases may go on in the next range, and the counts are summed
+   afterwards.
 5. *Scores.* The cut of a candidate with the lowest ``floor(1000 a n / (l r))`` counts, in
    decimals of 38 digits: exact as long as a language has fewer than 9e15 words.
 
@@ -43,13 +45,17 @@ LONGEST = 5
 #: The phrases of each language in the result.
 TOP = 2000
 
-#: Bits of the maps of frequent words and of frequent pairs: 1 MB and 4 MB.
+#: Places from which a leading word or pair is split further, and the least number of routes.
+HOT = 200_000
+ROUTES = 512
+#: Bits of the maps of words and of pairs: 1 MB and 4 MB. There is one each for those that are
+#: frequent and for those that are hot.
 WORD_BITS = 23
 PAIR_BITS = 25
 #: Bits in one row of a map.
 ROW_BITS = 15
 #: Places that a task holds at once, and suffixes that one range should have.
-PLACES = 1 << 20
+PLACES = 1 << 19
 RANGE_ROWS = 400_000
 
 #: A-Z in lower case, and all that ends a piece as a line end.
@@ -151,23 +157,34 @@ def is_set(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def pairs_of(numbers: np.ndarray, digests: np.ndarray, word_map: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def mixed(own: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Digests of pairs from the digests of their words."""
+    both = (own * np.uint64(0x9E3779B97F4A7C15)) ^ (after * np.uint64(0xC2B2AE3D27D4EB4F))
+    return (both ^ (both >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def word_bits(digests: np.ndarray) -> np.ndarray:
+    return digests & np.uint64((1 << WORD_BITS) - 1)
+
+
+def pair_bits(pairs: np.ndarray) -> np.ndarray:
+    return pairs >> np.uint64(64 - PAIR_BITS)
+
+
+def pairs_of(numbers: np.ndarray, digests: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Whether a place and the next one, of the same piece, both have a frequent word; and a
     digest of the two."""
-    good = is_set(word_map, digests & np.uint64((1 << WORD_BITS) - 1))[numbers] & (numbers >= 0)
+    good = is_set(frequent, word_bits(digests))[numbers] & (numbers >= 0)
     own = digests[numbers]
-    after = np.append(own[1:], np.uint64(0))
-    mixed = (own * np.uint64(0x9E3779B97F4A7C15)) ^ (after * np.uint64(0xC2B2AE3D27D4EB4F))
-    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return good & np.append(good[1:], False), mixed
+    return good & np.append(good[1:], False), mixed(own, np.append(own[1:], np.uint64(0)))
 
 
-def pair_counter(word_map):
+def pair_counter(word_maps):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = word_map()
+        frequent, _ = word_maps()
         for lang, words, places in blocks(batches):
             numbers, different = numbered(words)
-            good, pairs = pairs_of(numbers, digests_of(lang, different), bits)
+            good, pairs = pairs_of(numbers, digests_of(lang, different), frequent)
             found, n = np.unique(pairs[:places][good[:places]], return_counts=True)
             columns = [pa.array(found.view(np.int64)), pa.array(n, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["pair", "n"])
@@ -195,18 +212,53 @@ def suffixes(numbers: np.ndarray, good: np.ndarray, places: int) -> tuple[np.nda
     return table[at], np.diff(np.append(at, len(table)))
 
 
-def suffix_maker(word_map, pair_map):
+#: How suffixes are routed: by their first word, by two, or each by itself.
+ONE, TWO, ALL = range(3)
+
+
+def routing(
+    table: np.ndarray, digests: np.ndarray, hot_words: np.ndarray, hot_pairs: np.ndarray, routes: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The kind and the number of the route of each suffix: the same in all tasks."""
+    first = digests[table[:, 0]]
+    pair = mixed(first, digests[table[:, 1]])
+    hot = is_set(hot_words, word_bits(first))
+    kind = np.where(hot & is_set(hot_pairs, pair_bits(pair)), ALL, np.where(hot, TWO, ONE))
+    number = np.where(hot, pair >> np.uint64(8), mixed(first, first) >> np.uint64(8)) % np.uint64(routes)
+    return kind, np.where(kind == ALL, 0, number.astype(np.int64))
+
+
+def suffix_maker(word_maps, pair_maps, routes: int):
+    """Rows of suffixes of a route, joined by line ends, which no word contains."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word_bits, pair_bits = word_map(), pair_map()
+        (frequent, hot_words), (frequent_pairs, hot_pairs) = word_maps(), pair_maps()
         for lang, words, places in blocks(batches):
             numbers, different = numbered(words)
-            good, pairs = pairs_of(numbers, digests_of(lang, different), word_bits)
-            good &= is_set(pair_bits, pairs >> np.uint64(64 - PAIR_BITS))
+            digests = digests_of(lang, different)
+            good, pairs = pairs_of(numbers, digests, frequent)
+            good &= is_set(frequent_pairs, pair_bits(pairs))
             table, n = suffixes(numbers, good, places)
+            kind, route = routing(table, digests, hot_words, hot_pairs, routes)
+            order = np.lexsort((route, kind))
+            table, n, kind, route = table[order], n[order], kind[order], route[order]
+            new = np.ones(len(table), bool)
+            new[1:] = (kind[1:] != kind[:-1]) | (route[1:] != route[:-1]) | (kind[1:] == ALL)
+            starts = np.append(np.flatnonzero(new), len(table)).tolist()
             keys = [*map(escaped, different), b""]  # the last one for -1
             found = [b"".join([keys[k] for k in row]) for row in table.tolist()]
-            columns = [pa.array([lang] * len(found), pa.string()), pa.array(found, pa.binary()), pa.array(n, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "suffix", "n"])
+            names = [
+                b"\2" + found[a] if kind[a] == ALL else b"%c%c%c%c%c" % (kind[a], *int(route[a]).to_bytes(4))
+                for a in starts[:-1]
+            ]
+            joined = [b"\n".join(found[a:b]) for a, b in zip(starts, starts[1:])]
+            columns = [
+                pa.array([lang] * len(names), pa.string()),
+                pa.array(names, pa.binary()),
+                pa.array(joined, pa.binary()),
+                pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(n, pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "route", "suffixes", "n"])
 
     return run
 
@@ -214,21 +266,16 @@ def suffix_maker(word_map, pair_map):
 # ---- the quicksort of a range ----
 
 
-def quicksort(table: np.ndarray, weight: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
+def quicksort(
+    table: np.ndarray, weight: np.ndarray, border: np.ndarray, least: int
+) -> Iterator[tuple[int, int, int]]:
     """A row, length and count of each phrase that begins at least ``least`` suffixes.
 
-    ``table``: suffix x word number, -1 after the end; numbers are in the order of words. Also
-    phrases that begin the first or the last suffix are given, with the counts that they have.
+    ``table``: suffix x word number, -1 after the end. Phrases that begin a suffix of ``border``
+    are given as well, with the counts that they have.
     """
     if not len(table):
         return
-    border = np.zeros(len(table), bool)
-    for sign in (1, -1):
-        at = np.arange(len(table))
-        for depth in range(table.shape[1]):
-            column = sign * table[at, depth]
-            at = at[column == column.min()]
-        border[at[0]] = True
     parts = [(np.arange(len(table)), 0)]
     while parts:
         pointers, depth = parts.pop()
@@ -250,23 +297,28 @@ def quicksort(table: np.ndarray, weight: np.ndarray, least: int) -> Iterator[tup
 
 def phrase_counter(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, tuple[list, list]] = {}
+        held: dict[str, tuple[list, list, list]] = {}
         for batch in batches:
-            for lang, suffix, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found, weight = held.setdefault(lang, ([], []))
-                found.append(suffix)
-                weight.append(n)
-        for lang, (found, weight) in held.items():
+            for lang, route, suffixes, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found, weight, alone = held.setdefault(lang, ([], [], []))
+                if route[0] == ALL:
+                    alone.append((route, len(found)))
+                found += suffixes.split(b"\n")
+                weight += n
+        for lang, (found, weight, alone) in held.items():
+            border = np.zeros(len(found), bool)
+            if alone:
+                border[[min(alone)[1], max(alone)[1]]] = True
             words = b"".join(found).split(b"\0")[:-1]
             lengths = np.fromiter((s.count(b"\0") for s in found), np.int64, len(found))
             column = np.empty(len(words), object)
             column[:] = words
-            numbers, different = pd.factorize(column, sort=True)
+            numbers, different = pd.factorize(column)
             table = np.full((len(found), LONGEST), -1, np.int64)
             row = np.repeat(np.arange(len(found)), lengths)
             start = np.cumsum(lengths) - lengths
             table[row, np.arange(len(words)) - start[row]] = numbers
-            rows = list(quicksort(table, np.array(weight, np.int64), least))
+            rows = list(quicksort(table, np.array(weight, np.int64), border, least))
             raw = list(map(plain, different.tolist()))
             rows = [r for r in rows if r[1] > 1]
             phrases = [[raw[w] for w in table[row, :length]] for row, length, _ in rows]
@@ -283,17 +335,23 @@ def phrase_counter(least: int):
 # ---- tables ----
 
 
-def bit_map(bits_set: DataFrame, bits: int) -> np.ndarray:
-    """A map of the numbers ``bit`` of a table, from at most ``2 ** (bits - ROW_BITS)`` rows of 4 KB."""
+def bit_maps(bits_set: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Maps of the numbers ``bit`` of a table, of all and of those of ``HOT`` places (``n``) or more.
+
+    They come from at most ``2 ** (bits - ROW_BITS)`` rows of two times 4 KB.
+    """
+    at = F.col("bit") % (1 << ROW_BITS)
     rows = bits_set.groupBy(F.shiftright("bit", ROW_BITS).alias("row")).agg(
-        F.bitmap_construct_agg(F.col("bit") % (1 << ROW_BITS)).alias("bits")
+        F.bitmap_construct_agg(at).alias("all"),
+        F.bitmap_construct_agg(F.when(F.col("n") >= HOT, at)).alias("hot"),
     )
     width = 1 << (ROW_BITS - 3)
-    found = np.zeros(1 << (bits - 3), np.uint8)
+    maps = np.zeros((2, 1 << (bits - 3)), np.uint8)
     for row in rows.collect():
-        part = np.frombuffer(row["bits"], np.uint8)
-        found[row["row"] * width : (row["row"] + 1) * width] = part[:width]
-    return found
+        for found, name in zip(maps, ("all", "hot"), strict=True):
+            part = np.frombuffer(row[name], np.uint8)
+            found[row["row"] * width : (row["row"] + 1) * width] = part[:width]
+    return maps[0], maps[1]
 
 
 def counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
@@ -307,16 +365,21 @@ def counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     words = words.groupBy("lang", "word").agg(F.sum("a").alias("a"))
     words = materialize(words.filter((F.col("a") >= least) | F.col("word").isNull()), "words")
     digest = F.crc32(F.concat(F.col("lang").cast("binary"), F.col("word")))
-    frequent = words.filter("word is not null").select((digest % (1 << WORD_BITS)).alias("bit"))
-    word_map = share(spark, bit_map(frequent, WORD_BITS))
-    pairs = texts.mapInArrow(pair_counter(word_map), "pair long, n long")
+    bits = words.filter("word is not null").select((digest % (1 << WORD_BITS)).alias("bit"), F.col("a").alias("n"))
+    word_maps = share(spark, bit_maps(bits, WORD_BITS))
+    pairs = texts.mapInArrow(pair_counter(word_maps), "pair long, n long")
     pairs = pairs.groupBy("pair").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    frequent = pairs.select(F.shiftrightunsigned("pair", 64 - PAIR_BITS).alias("bit"))
-    pair_map = share(spark, bit_map(frequent, PAIR_BITS))
-    routed = texts.mapInArrow(suffix_maker(word_map, pair_map), "lang string, suffix binary, n long")
+    bits = pairs.select(F.shiftrightunsigned("pair", 64 - PAIR_BITS).alias("bit"), "n")
+    pair_maps = share(spark, bit_maps(bits, PAIR_BITS))
+    places = words.filter("word is null").agg(F.coalesce(F.sum("a"), F.lit(0))).first()[0]
+    routes = max(ROUTES, 2 * (places // RANGE_ROWS))
+    routed = texts.mapInArrow(
+        suffix_maker(word_maps, pair_maps, routes), "lang string, route binary, suffixes binary, n array<long>"
+    )
     routed = materialize(routed, "suffixes")
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), routed.count() // RANGE_ROWS + 1)
-    phrases = routed.repartitionByRange(ranges, "lang", "suffix").mapInArrow(
+    size = routed.agg(F.coalesce(F.sum(F.size("n")), F.lit(0))).first()[0]
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // RANGE_ROWS + 1)
+    phrases = routed.repartitionByRange(ranges, "lang", "route").mapInArrow(
         phrase_counter(least), "lang string, words array<binary>, a long"
     )
     phrases = phrases.groupBy("lang", "words").agg(F.sum("a").alias("a"))

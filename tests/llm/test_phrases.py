@@ -70,11 +70,14 @@ def test_matches_brute_force(spark, least):
     assert found(spark, rows, least=least) == sorted(brute([r[1:] for r in rows], least))
 
 
-def test_many_ranges_and_small_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("hot", [1, 30, 10**6])
+def test_many_ranges_and_small_blocks(spark, monkeypatch, hot):
     """Phrases that go over the borders of ranges and of blocks of a text are counted whole."""
     monkeypatch.setattr(phrases, "PLACES", 40)
     monkeypatch.setattr(phrases, "TEXT_BYTES", 100)
     monkeypatch.setattr(phrases, "RANGE_ROWS", 25)
+    monkeypatch.setattr(phrases, "HOT", hot)
+    monkeypatch.setattr(phrases, "ROUTES", 7)
     rows = corpus(4) + [(5000, "a common pair " * 800, "en"), (5001, "long " * 3000, "fr")]
     assert found(spark, rows, least=4, top=50) == sorted(brute([r[1:] for r in rows], 4, 50))
 
@@ -109,13 +112,15 @@ def test_quicksort_counts_and_abandons():
     for row, n in zip(table.tolist(), weight.tolist(), strict=True):
         for k in range(1, row.index(-1) + 1 if -1 in row else 6):
             wanted[tuple(row[:k])] += n
-    got = {tuple(table[r, :k].tolist()): n for r, k, n in phrases.quicksort(table, weight, 30)}
-    low, high = min(table.tolist()), max(table.tolist())
+    border = np.zeros(len(table), bool)
+    border[[5, 1234]] = True
+    got = {tuple(table[r, :k].tolist()): n for r, k, n in phrases.quicksort(table, weight, border, 30)}
+    kept = [table[5].tolist(), table[1234].tolist()]
     for phrase, n in got.items():
-        phrase = tuple(w for w in phrase if w >= 0)
         assert wanted[phrase] == n
-        assert n >= 30 or phrase in (tuple(low[: len(phrase)]), tuple(high[: len(phrase)]))
+        assert n >= 30 or any(list(phrase) == row[: len(phrase)] for row in kept)
     assert {p for p, n in wanted.items() if n >= 30} <= set(got)
+    assert all(tuple(w for w in row[:k] if w >= 0) in got for row in kept for k in range(1, 6))
 
 
 def test_maps_only_save_work(spark, monkeypatch):
