@@ -28,8 +28,13 @@ WORDS = 50
 SIMILARITY = 0.8
 #: Hash functions, and under how many of them two places must meet.
 HASHES, ENOUGH = 4, 2
-#: Windows that a task links among themselves before they are shuffled.
+#: Windows or pairs that a task holds before it hands them on.
 LOCAL = 500_000
+#: Windows of a key that are all paired at once. Keys with more are linked first, and then paired
+#: where they stand in several classes, at most two blocks of them in a task.
+FEW, BLOCK = 16, 2048
+#: Words of 64 bits of the sketch of a window, and sketches that a task holds before it hands them on.
+SKETCH, HELD = 32, 10_000
 
 SPAN = WORDS - SHINGLE + 1
 _TURNS = np.random.default_rng(0).integers(1, 1 << 63, HASHES, dtype=np.uint64) | np.uint64(1)
@@ -122,6 +127,15 @@ def _linked(rows: np.ndarray, prior: np.ndarray):
     return pairs[pairs[:, 1] != pairs[:, 3]], rows, head
 
 
+def _all_pairs(rows: np.ndarray) -> np.ndarray:
+    """All pairs of rows with equal key of ``rows`` sorted by key, with at most ``FEW`` of a key."""
+    found = [np.empty((0, 5), np.int64)]
+    for apart in range(1, FEW):
+        low = np.flatnonzero((rows[apart:, 0] == rows[:-apart, 0]) & (rows[apart:, 1] != rows[:-apart, 1]))
+        found.append(np.column_stack([rows[low + apart], rows[low][:, 1:]]))
+    return np.concatenate(found)
+
+
 def _batch(pairs: np.ndarray, alone: np.ndarray) -> pa.RecordBatch:
     """Pairs, and rows without another one, as a batch of ``PAIR``."""
     missing = np.r_[np.zeros(len(pairs), bool), np.ones(len(alone), bool)]
@@ -132,49 +146,83 @@ def _batch(pairs: np.ndarray, alone: np.ndarray) -> pa.RecordBatch:
 
 
 def _make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows of the texts; those with the same key in a task are linked at once, and one goes on."""
+    """Windows of the texts; a text that comes again among the same ``LOCAL`` windows adds none."""
 
     def given(held: list[np.ndarray]) -> pa.RecordBatch:
         rows = np.concatenate(held)
-        rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
-        pairs, _, head = _linked(rows, rows[:0])
-        return _batch(pairs, rows[head == np.arange(len(rows))])
+        return pa.RecordBatch.from_arrays([pa.array(rows[:, i]) for i in range(3)], names=COLUMNS)
 
-    held, size = [], 0
+    held, size, seen = [], 0, set()
     for batch in batches:
         for text_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+            if text_id in seen:
+                continue
             found = _text_windows(text.as_py())
             if len(found):
+                seen.add(text_id)
                 ids = np.full(len(found), text_id)
                 held.append(np.column_stack([found[:, 0], ids, (found[:, 1] << 32) | found[:, 2]]))
                 size += len(found)
             if size >= LOCAL:
                 yield given(held)
-                held, size = [], 0
+                held, size, seen = [], 0, set()
     if held:
         yield given(held)
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a partition sorted by key and text; pairs that exist already pass through.
+    """Pairs of a partition sorted by key, text and place; the windows of keys with more than ``FEW``.
 
-    Only the first and the last row of a key are held, whatever its size.
+    Of such a key each window is paired with the first and the previous one, and given
+    alone, for ``apart``; of other keys all pairs are made. Only the first and the last row of
+    a large key are held, whatever its size.
     """
-    prior = np.empty((0, len(COLUMNS)), np.int64)
+
+    def once(rows: np.ndarray) -> np.ndarray:
+        """Without the windows of a text that several tasks have made."""
+        return rows[np.r_[True, (rows[1:] != rows[:-1]).any(axis=1)]] if len(rows) else rows
+
+    def whole(rows: np.ndarray) -> pa.RecordBatch:
+        starts = np.flatnonzero(np.r_[True, rows[1:, 0] != rows[:-1, 0]])
+        sizes = np.diff(np.r_[starts, len(rows)])
+        large = np.repeat(sizes > FEW, sizes)
+        few, many = rows[~large & np.repeat(sizes > 1, sizes)], rows[large]
+        if not len(many):
+            return _batch(_all_pairs(few), many)
+        return _batch(np.concatenate([_all_pairs(few), _linked(many, none)[0]]), many)
+
+    none = np.empty((0, len(COLUMNS)), np.int64)
+    held, prior = none, none
     for batch in batches:
-        done = ~np.asarray(batch.column(3).is_null())
-        if done.any():
-            yield batch.filter(pa.array(done))
-        rows = np.column_stack([batch.column(i).to_numpy() for i in range(3)])[~done]
+        rows = np.column_stack([batch.column(i).to_numpy() for i in range(3)])
+        if len(prior):
+            rows = once(np.concatenate([prior[-1:], rows]))[1:]
+            end = int(np.searchsorted(rows[:, 0], prior[0, 0], side="right"))
+            if end:
+                pairs, more, _ = _linked(rows[:end], prior)
+                yield _batch(pairs, rows[:end])
+                prior = more[[0, -1]]
+            rows = rows[end:]
+            if len(rows):
+                prior = none
+        rows = once(np.concatenate([held, rows]))
         if not len(rows):
             continue
-        pairs, rows, head = _linked(rows, prior)
-        prior = rows[sorted({int(head[-1]), len(rows) - 1})]
-        yield _batch(pairs, rows[:0])
-
-
-def _regions(meets: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int]]:
-    """Where the windows (function, l, r, o_l, o_r) of two texts overlap in both, under ``ENOUGH`` functions.
+        end = int(np.searchsorted(rows[:, 0], rows[-1, 0]))  # the last key may go on
+        if end:
+            yield whole(rows[:end])
+        held = rows[end:]
+        if len(held) > FEW:
+            yield whole(held)
+            held, prior = none, held[[0, -1]]
+    if len(held):
+        yield whole(held)
+
+
+def _regions(
+    meets: list[tuple[int, int, int, int, int]], enough: int = ENOUGH
+) -> list[tuple[int, int, int, int]]:
+    """Where the windows (function, l, r, o_l, o_r) of two texts overlap in both, under ``enough`` functions.
 
     Windows that overlap in both texts make one region, l to r and o_l to o_r included.
     """
@@ -189,14 +237,14 @@ def _regions(meets: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int
                 whole[4] | x[4],
             ]
         out.append(whole)
-    return [tuple(x[:4]) for x in out if len(x[4]) >= ENOUGH]
+    return [tuple(x[:4]) for x in out if len(x[4]) >= enough]
 
 
 PAIRED = ["text_id", "o_text_id"]
 REGION = "struct<l:int,r:int,o_l:int,o_r:int>"
 
 
-def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _overlap(batches: Iterator[pa.RecordBatch], enough: int) -> Iterator[pa.RecordBatch]:
     """The interval join of the windows of each pair of texts."""
     kind = pa.list_(pa.struct([(n, pa.int32()) for n in ("l", "r", "o_l", "o_r")]))
     low = (1 << 32) - 1
@@ -207,7 +255,7 @@ def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 (m["f"], m["at"] >> 32, m["at"] & low, m["o_at"] >> 32, m["o_at"] & low)
                 for m in meets.as_py()
             }
-            regions = _regions(list(rows))
+            regions = _regions(list(rows), enough)
             found.append([dict(zip(("l", "r", "o_l", "o_r"), x, strict=True)) for x in regions])
         some = pa.array([bool(x) for x in found])
         out = pa.RecordBatch.from_arrays(
@@ -216,16 +264,18 @@ def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out.filter(some)
 
 
-def candidates(texts: DataFrame) -> DataFrame:
-    """``text_id``, ``o_text_id`` and ``regions``: where two of ``texts`` meet under ``ENOUGH`` functions.
+def meetings(texts: DataFrame) -> DataFrame:
+    """Rows of ``PAIR``: windows of ``texts`` that meet, and alone those of keys with more than ``FEW``.
 
-    Texts with one ``text_id`` are the same text. Windows of a key are linked with the
-    first of them and with the one before, so a passage that stands in m texts makes
-    fewer than 2 m links under a function, not the square of m.
+    Texts with one ``text_id`` are the same text.
     """
-    made = texts.select("text_id", "text").mapInArrow(_make, PAIR)
+    made = texts.select("text_id", "text").mapInArrow(_make, ROW)
     dealt = made.repartition("key").sortWithinPartitions("key", "text_id", "at")
-    pairs = dealt.mapInArrow(_meet, PAIR)
+    return dealt.mapInArrow(_meet, PAIR)
+
+
+def regions(pairs: DataFrame, enough: int = ENOUGH) -> DataFrame:
+    """``text_id``, ``o_text_id`` and ``regions``: where the ``pairs`` meet under ``enough`` functions."""
     swapped = F.col("text_id") < F.col("o_text_id")  # one direction: the larger id first
 
     def either(one: str, two: str):
@@ -241,9 +291,150 @@ def candidates(texts: DataFrame) -> DataFrame:
         ).alias("meet"),
     )
     met = rows.groupBy(*PAIRED).agg(F.collect_list("meet").alias("meets"))
-    return met.filter(F.size("meets") >= ENOUGH).mapInArrow(
-        _overlap, f"text_id long, o_text_id long, regions array<{REGION}>"
+    return met.filter(F.size("meets") >= enough).mapInArrow(
+        lambda batches: _overlap(batches, enough), f"text_id long, o_text_id long, regions array<{REGION}>"
+    )
+
+
+def candidates(texts: DataFrame) -> DataFrame:
+    """``text_id``, ``o_text_id`` and ``regions``: where two of ``texts`` meet under ``ENOUGH`` functions.
+
+    Windows of a key with more than ``FEW`` are linked with the first of them and with the one
+    before, so a passage that stands in m texts makes fewer than 2 m links under a function,
+    not the square of m. What that leaves out is found by ``apart``.
+    """
+    return regions(meetings(texts).filter(F.col("o_text_id").isNotNull()))
+
+
+# ---- pairs that the links of large keys leave out ----
+
+
+def _sketch(tokens: np.ndarray) -> tuple[bytes, int]:
+    """A bit for each of ``tokens``, in ``SKETCH`` words of 64, and how many an alike passage has in common.
+
+    So few bits, the most frequent ones, are of ``SIMILARITY * SPAN`` tokens.
+    """
+    counts = np.bincount(((tokens >> np.uint64(20)) % np.uint64(64 * SKETCH)).view(np.int64), minlength=64 * SKETCH)
+    most = np.cumsum(-np.sort(-counts))
+    return np.packbits(counts > 0).tobytes(), int(np.searchsorted(most, SIMILARITY * SPAN)) + 1
+
+
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of each text with a sketch of up to ``2 * SPAN`` - 1 shingles either side of the smallest.
+
+    ``least`` is the number of bits that a window shares at least with one that holds an alike
+    passage. Windows of a text with the same key and sketch are given once.
+    """
+    low = (1 << 32) - 1
+    names = ["key", "text_id", "class", "size", "at", "least", "sketch"]
+    kinds = [pa.int64()] * 6 + [pa.binary()]
+
+    def given(rows: list[tuple]) -> pa.RecordBatch:
+        arrays = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names=names)
+
+    rows: list[tuple] = []
+    for batch in batches:
+        for text_id, of, text, windows in zip(
+            batch.column(0).to_pylist(),
+            batch.column(1).to_pylist(),
+            batch.column(2).cast(pa.binary()),
+            batch.column(3),
+            strict=True,
+        ):
+            tokens, seen = shingles(words_of(text.as_py())), set()
+            by = [hashed(tokens, function) for function in range(HASHES)]
+            for w in windows.as_py():
+                l, r = w["at"] >> 32, w["at"] & low
+                same = np.flatnonzero((tokens[l : r + 1].view(np.int64) & ~np.int64(3)) == w["key"] & ~3)
+                values = by[w["key"] & 3][l : r + 1]
+                same = same[values[same] == values.min()]
+                c = l + int(same[np.abs(same - (r + 1 - l) // 2).argmin()])
+                around = tokens[max(l, c - 2 * SPAN + 2) : min(r, c + 2 * SPAN - 2) + 1]
+                sketch, least = _sketch(around)
+                if (w["key"], sketch) not in seen:
+                    seen.add((w["key"], sketch))
+                    rows.append((w["key"], text_id, of, w["size"], w["at"], least, sketch))
+                if len(rows) >= HELD:
+                    yield given(rows)
+                    rows = []
+    if rows:
+        yield given(rows)
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of the sketched windows of one key and two classes that share enough bits, as ``PAIR``."""
+
+    def pairs(numbers: np.ndarray, sketches: np.ndarray) -> Iterator[np.ndarray]:
+        """Of the rows of one ``dealt`` key; those of two blocks are paired across."""
+        _, key, text_id, of, at, least, part = numbers
+        if of.min() == of.max():
+            return
+        two_parts = part.min() != part.max()
+        step = max(1, (1 << 21) // sketches.size)
+        for first in range(0, len(key), step):
+            one = slice(first, first + step)
+            hit = of[one][:, None] < of
+            if two_parts:
+                hit &= part[one][:, None] != part
+            shared = np.bitwise_count(sketches[one][:, None, :] & sketches).sum(axis=2, dtype=np.int32)
+            hit &= shared >= np.maximum(least[one][:, None], least)
+            a, b = np.nonzero(hit)
+            a += first
+            if len(a):
+                yield np.column_stack([key[a], text_id[a], at[a], text_id[b], at[b]])
+
+    def out(numbers: np.ndarray, sketches: np.ndarray) -> Iterator[pa.RecordBatch]:
+        starts = np.flatnonzero(np.r_[True, numbers[0, 1:] != numbers[0, :-1]])
+        for start, end in zip(starts, np.r_[starts[1:], numbers.shape[1]], strict=True):
+            for found in pairs(numbers[:, start:end], sketches[start:end]):
+                yield _batch(found, found[:0, :3])
+
+    numbers, sketches = np.empty((7, 0), np.int64), np.empty((0, SKETCH), np.uint64)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        made = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint64).reshape(-1, SKETCH)
+        numbers = np.concatenate([numbers, np.stack([batch.column(i).to_numpy() for i in range(7)])], axis=1)
+        sketches = np.concatenate([sketches, made])
+        end = int(np.searchsorted(numbers[0], numbers[0, -1]))  # the last key may go on
+        if end:
+            yield from out(numbers[:, :end], sketches[:end])
+        numbers, sketches = numbers[:, end:], sketches[end:]
+    if numbers.shape[1]:
+        yield from out(numbers, sketches)
+
+
+def apart(met: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs of windows of large keys in texts of different classes, as ``PAIR``.
+
+    ``met`` are the ``meetings`` of ``texts``, of which the verified pairs ``found`` make classes.
+    Of a key that stands in one class only no link is lost. In the others each window is
+    compared with all windows of other classes by sketches of their shingles: a passage that is
+    alike has a stretch of ``SPAN`` to ``2 * SPAN`` - 1 shingles that is, of which at least
+    ``SIMILARITY * SPAN`` stand in the other one. Windows of a key are dealt to pairs of blocks.
+    """
+    roots = materialize(connected(found.select(F.col("text_id").alias("a"), F.col("o_text_id").alias("b"))), "roots")
+    roots = roots.select(F.col("node").alias("text_id"), F.col("root").alias("class"))
+    large = met.filter(F.col("o_text_id").isNull()).select(*COLUMNS)
+    large = large.join(roots, "text_id", "left").withColumn("class", F.coalesce("class", "text_id"))
+    large = materialize(large, "large")
+    keys = large.groupBy("key").agg(
+        F.count("*").alias("size"), F.min("class").alias("low"), F.max("class").alias("high")
     )
+    large = large.join(keys.filter("low < high").select("key", "size"), "key")
+    listed = large.groupBy("text_id", "class").agg(F.collect_list(F.struct("key", "at", "size")).alias("windows"))
+    listed = materialize(listed, "mixed")
+    whole = texts.join(listed, "text_id").dropDuplicates(["text_id"]).select("text_id", "class", "text", "windows")
+    rows = whole.mapInArrow(
+        _sketched, "key long, text_id long, class long, size long, at long, least long, sketch binary"
+    )
+    parts = F.ceil(F.col("size") / BLOCK)
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("text_id"), parts))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    dealt = F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("dealt")
+    rows = rows.select(dealt, "key", "text_id", "class", "at", "least", "part", "sketch")
+    return rows.repartition("dealt").sortWithinPartitions("dealt").mapInArrow(_across, PAIR)
 
 
 # ---- verification ----
@@ -395,21 +586,23 @@ def near_passages(docs: DataFrame) -> DataFrame:
     the Jaccard similarity of their shingles; ``class_id`` is the smallest id that can be
     reached through such pairs. Texts are compared once: of equal texts the document
     with the smallest id stands for the others, and each other one has a row that
-    links its whole text with that document's. A passage in many texts links each of
-    them with the first and the previous, not all pairs. Rows without an id or text
+    links its whole text with that document's. Of texts that share a key with more than
+    ``FEW`` others those are compared that no other pair has put into one class, so a passage
+    in many texts does not make all pairs of them. Rows without an id or text
     take no part; rows that agree in id and text are one document; shorter texts have
     no passage. Texts are told apart by a 64-bit hash.
     """
     named = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("text_id"), "text"
     )
-    blank = r"[\x20\x09-\x0D]+"
-    size = F.size(F.split(F.btrim(F.col("text"), F.lit(" \t\n\x0b\x0c\r")), blank))
-    owners = named.select("doc", "text_id", size.cast("long").alias("n_words"))
-    owners = materialize(owners.filter(F.col("n_words") >= WORDS), "owners")
+    owners = materialize(named.select("doc", "text_id"), "owners")
     first = owners.groupBy("text_id").agg(F.min("doc").alias("least"))
-    met = materialize(candidates(named), "met")
-    found = materialize(verified(met, named, first), "passages")
+    met = materialize(meetings(named), "meetings")
+    linked = materialize(regions(met.filter(F.col("o_text_id").isNotNull())), "met")
+    found = materialize(verified(linked, named, first), "passages")
+    if not met.filter(F.col("o_text_id").isNull()).isEmpty():
+        more = materialize(regions(apart(met, found, named), 1), "met")
+        found = found.unionByName(materialize(verified(more, named, first), "passages"))
 
     def owner(text_id: str, name: str) -> DataFrame:
         return first.select(F.col("text_id").alias(text_id), F.col("least").alias(name))
@@ -419,6 +612,12 @@ def near_passages(docs: DataFrame) -> DataFrame:
     )
     between = between.select("doc", "start", "end", "o_doc", "o_start", "o_end", "similarity")
     copies = owners.join(first, "text_id").filter(F.col("doc") != F.col("least")).distinct()
+    # The words of a text are counted where it has copies, in the copy that stands for it.
+    blank = r"[\x20\x09-\x0D]+"
+    size = F.size(F.split(F.btrim(F.col("text"), F.lit(" \t\n\x0b\x0c\r")), blank))
+    copied = copies.select("text_id", F.col("least").alias("doc")).distinct()
+    sizes = named.join(copied, ["text_id", "doc"]).select("text_id", size.cast("long").alias("n_words"))
+    copies = copies.join(sizes.distinct(), "text_id").filter(F.col("n_words") >= WORDS)
     zero = F.lit(0).cast("long")
     copies = copies.select(
         "doc", zero.alias("start"), F.col("n_words").alias("end"), F.col("least").alias("o_doc"),

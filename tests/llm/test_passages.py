@@ -156,3 +156,33 @@ def test_recall_among_stock_sentences_and_version_chains(spark, stock):
     named = classes(found)
     linked = [named.get(a, -1) == named.get(b, -2) for g in ids for a, b in zip(g, g[1:])]
     assert np.mean(linked) >= 0.9
+
+
+@pytest.mark.parametrize("block", [7, 2048])
+def test_no_link_is_lost_among_texts_with_a_common_phrase(spark, monkeypatch, block):
+    """The smallest shingles of most passages are those of a phrase that a hundred other texts have."""
+    monkeypatch.setattr(passages, "BLOCK", block)
+    rng = random.Random(41)
+    phrase = words(rng, 40)  # too short for a passage of its own
+
+    def around(middle: list[str]) -> str:
+        return " ".join(words(rng, 30) + middle + words(rng, 30))
+
+    texts = [around(phrase) for _ in range(100)]
+    for _ in range(12):
+        passage = words(rng, 8) + phrase + words(rng, 8)
+        texts += [around(passage), around(passage)]
+    named = classes(passages.near_passages(documents(spark, list(enumerate(texts)))).collect())
+    assert named == {i: i - i % 2 for i in range(100, 124)}
+
+
+def test_sketches_of_alike_passages_share_enough_bits(monkeypatch):
+    monkeypatch.setattr(passages, "SKETCH", 4)
+    rng = np.random.default_rng(5)
+    for values in (3, 40, 10**9):
+        both = rng.integers(0, values, 37).astype(np.uint64) << np.uint64(20)
+        one, two = (
+            passages._sketch(np.r_[rng.integers(0, 1 << 60, 100, np.uint64), both]) for _ in range(2)
+        )
+        shared = int.from_bytes(one[0]) & int.from_bytes(two[0])
+        assert shared.bit_count() >= max(one[1], two[1])
