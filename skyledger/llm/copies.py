@@ -12,6 +12,11 @@ to most of them, so it is the one that they are linked to. An entry with more th
 fingerprints is compared in parts; one of each group that is connected in its part is indexed
 again by the bits that the entry leaves open, cut into five segments again.
 
+That connects fingerprints, not texts: a text may be a copy of another one than that to which
+it is linked. So when the links are decided, texts that are near by their fingerprints and not
+in one component yet are compared as well, all of them, by the same index; entries with more
+than ``ENTRY`` texts are dealt to pairs of blocks.
+
 A link counts if the two texts share at least ``LEAST`` of their distinct five-word shingles,
 by 32-bit hashes of all shingles of the whole texts. Of each component of such links one
 document stays.
@@ -47,8 +52,8 @@ LEAST = (4, 5)
 WIDTHS = (12, 9, 7, 6, 5)
 #: Fingerprints of an entry that are compared at once. Larger entries go to the next level.
 ENTRY = 4096
-#: Fingerprints that are compared with all others of an entry at once.
-SQUARE = 512
+#: Fingerprints that are compared with all others of an entry at once, and links that a task holds.
+SQUARE, HELD = 512, 200_000
 
 
 def word_print(data: bytes) -> int:
@@ -243,6 +248,77 @@ def candidates(texts: DataFrame) -> DataFrame:
     return found.distinct()
 
 
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between texts of one ``dealt`` entry that are near and have different roots.
+
+    The rows of two blocks are compared across, as each block is an entry of its own too.
+    """
+    names = ["dealt", "node", "fp", "root", "part"]
+
+    def compared(rows: np.ndarray) -> Iterator[np.ndarray]:
+        _, node, fp, root, part = rows
+        two_parts = part.min() != part.max()
+        for low in range(0, node.size, SQUARE):
+            one = slice(low, low + SQUARE)
+            hit = np.bitwise_count(fp[one][:, None] ^ fp) <= MAX_BITS
+            hit &= root[one][:, None] < root
+            if two_parts:
+                hit &= part[one][:, None] != part
+            a, b = np.nonzero(hit)
+            if a.size:
+                yield np.sort(np.stack([node[a + low], node[b]]), axis=0)
+
+    def out(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        starts = np.flatnonzero(np.r_[True, rows[0, 1:] != rows[0, :-1]])
+        ends = np.r_[starts[1:], rows.shape[1]]
+        mixed = np.maximum.reduceat(rows[3], starts) != np.minimum.reduceat(rows[3], starts)
+        held, size = [], 0
+        for start, end in zip(starts[mixed], ends[mixed], strict=True):
+            for found in compared(rows[:, start:end]):
+                held.append(found)
+                size += found.shape[1]
+                if size >= HELD:
+                    yield given(held)
+                    held, size = [], 0
+        if held:
+            yield given(held)
+
+    def given(held: list[np.ndarray]) -> pa.RecordBatch:
+        # The same link comes from several entries.
+        a, b = np.unique(np.concatenate(held, axis=1), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    rows = np.empty((len(names), 0), np.int64)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        more = np.stack([batch.column(n).to_numpy(zero_copy_only=False) for n in names])
+        rows = np.concatenate([rows, more], axis=1)
+        cut = int(np.searchsorted(rows[0], rows[0, -1]))  # the last entry may go on
+        if cut:
+            yield from out(rows[:, :cut])
+        rows = rows[:, cut:]
+    if rows.shape[1]:
+        yield from out(rows)
+
+
+def apart(texts: DataFrame) -> DataFrame:
+    """All pairs ``a``, ``b`` of the rows ``node``, ``fp``, ``root`` that are near and differ in ``root``."""
+    prior = F.lit(0).cast("long")
+    entries = texts.select("node", "fp", "root", _entries(0, F.col("fp"), prior).alias("e"))
+    entries = entries.select("node", "fp", "root", "e.key")
+    # The first level has at most 2 ** 12 * 13 * 5 entries, whatever the number of texts.
+    large = texts.select(_entries(0, F.col("fp"), prior).alias("e")).groupBy("e.key").agg(F.count("*").alias("size"))
+    large = materialize(large.filter(F.col("size") > ENTRY), "large-entries")
+    parts = F.coalesce(F.ceil(F.col("size") / ENTRY), F.lit(1).cast("long"))
+    rows = entries.join(F.broadcast(large), "key", "left").withColumn("parts", parts)
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), "parts"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    dealt = F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("dealt")
+    rows = rows.select(dealt, "node", "fp", "root", "part").repartition("dealt").sortWithinPartitions("dealt")
+    return rows.mapInArrow(_across, "a long, b long").distinct()
+
+
 # ---- links and components ----
 
 
@@ -264,9 +340,19 @@ def components(docs: DataFrame) -> DataFrame:
     texts = prints.groupBy("digest").agg(F.min("place").alias("node"), F.min("fp").alias("fp"))
     texts = materialize(texts, "texts")
     sets = prints.select(F.col("place").alias("node"), "shingles")
-    links = similar(candidates(texts), sets)
-    roots = materialize(connected(links), "roots")
-    rooted = texts.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
+    tried = materialize(candidates(texts), "candidates")
+    links = materialize(similar(tried, sets), "similar")
+
+    def with_roots(links: DataFrame) -> DataFrame:
+        roots = texts.join(connected(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        return materialize(roots, "roots")
+
+    roots = with_roots(links)
+    more = apart(roots).join(tried, ["a", "b"], "left_anti")
+    more = materialize(similar(more, sets), "similar")
+    if not more.isEmpty():
+        roots = with_roots(links.unionByName(more))
+    rooted = roots.select("digest", "root")
     return prints.select("doc_id", "digest").join(rooted, "digest")
 
 

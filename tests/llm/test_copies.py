@@ -169,3 +169,18 @@ def test_hot_copies_stay_once(spark):
     rows = [(i, " ".join(words)) for i in range(500)] + near + [(5000 + i, f"other text number {i} here") for i in range(9)]
     kept = {r["doc_id"] for r in copies.keep_one(documents(spark, rows)).select("doc_id").collect()}
     assert kept == {0, *range(5000, 5009)}
+
+
+@pytest.mark.parametrize("entry", [7, 4096])
+def test_no_link_is_lost_beside_a_text_with_near_fingerprints(spark, monkeypatch, entry):
+    """Pairs whose words stand in many other texts too, in another order: their prints are equal."""
+    monkeypatch.setattr(copies, "ENTRY", entry)
+    rng = random.Random(51)
+    words = [f"w{i}" for i in range(100)]
+    texts = []
+    for _ in range(30):
+        rng.shuffle(words)
+        texts += [" ".join(words), " ".join([*words, words[0]])]
+    assert len({copies.word_print(t.encode()) for t in texts}) == 1
+    found = grouped(spark, list(enumerate(texts)))
+    assert sorted(sorted(i for i, _ in g) for g in found.values()) == [[i, i + 1] for i in range(0, 60, 2)]
