@@ -378,18 +378,26 @@ def ordered_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The registered streams read their table in so many micro-batches.
 STREAM_BATCHES = 3
 
+#: Rows of a landed file, about.
+LANDED_ROWS = 500_000
+
+
+def _landed_files(lines: DataFrame, least: int, batches: int = STREAM_BATCHES) -> int:
+    """Files of each of ``batches``, ``least`` at least, so that none has many more than ``LANDED_ROWS``."""
+    return max(least, -(-lines.count() // (batches * LANDED_ROWS)))
+
 
 def _lines(spark: SparkSession, sf_dir: str, batches: int = STREAM_BATCHES) -> DataFrame:
     """``lineitem`` landed in as many files as its scan has tasks, as a stream of ``batches``.
 
-    The number of files is rounded up to a multiple of ``batches``, so that each
+    There are more where these would have more than ``LANDED_ROWS``. The number of files is rounded up to a multiple of ``batches``, so that each
     micro-batch has equally many.
     """
     folder = scratch_path(spark, "landed")
     lines = tables.table(spark, sf_dir, "lineitem")
-    each = -(-lines.rdd.getNumPartitions() // batches)
-    lines.repartition(batches * max(1, each)).write.parquet(f"{folder}/lineitem.parquet")
-    return tables.table_stream(spark, folder, "lineitem", max(1, each))
+    each = _landed_files(lines, max(1, -(-lines.rdd.getNumPartitions() // batches)), batches)
+    lines.repartition(batches * each).write.parquet(f"{folder}/lineitem.parquet")
+    return tables.table_stream(spark, folder, "lineitem", each)
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -553,10 +561,11 @@ def stream_bytes_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Micro-batches bound by bytes: their rows by the progress, and how many are too large."""
     folder = scratch_path(spark, "landed")
     lines = tables.table(spark, sf_dir, "lineitem")
-    lines.repartition(2 * STREAM_BATCHES).write.parquet(f"{folder}/lineitem.parquet")
+    each = _landed_files(lines, 2)
+    lines.repartition(each * STREAM_BATCHES).write.parquet(f"{folder}/lineitem.parquet")
     landed = spark.read.parquet(f"{folder}/lineitem.parquet")
     sizes = landed.select("_metadata.file_path", "_metadata.file_size").distinct()
-    bound = 2 * sizes.agg(F.max("file_size")).first()[0]
+    bound = each * sizes.agg(F.max("file_size")).first()[0]
     stream = tables.table_stream(spark, folder, "lineitem", bytes_per_trigger=bound)
     stream = stream.select("l_orderkey", "_metadata.file_path", "_metadata.file_size")
     read: list[int] = []

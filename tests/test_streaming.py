@@ -236,3 +236,22 @@ def test_landing_spreads_with_the_input_in_three_batches(spark, monkeypatch):
     runs.run_batches(rows, lambda b, e: batches.append(b.count()), scratch_path(spark, "checkpoint"))
     assert 3 < tasks <= landed[0] < tasks + 3
     assert len(batches) == 3 and sum(batches) == whole.count()
+
+
+@pytest.mark.parametrize("name", ["stream_bytes_bound", "stream_partials_merge"])
+def test_landed_files_do_not_grow_with_the_table(spark, monkeypatch, name):
+    monkeypatch.setattr(registry, "LANDED_ROWS", 500, raising=False)
+    folders = []
+    stream = tables.table_stream
+
+    def noted(spark, folder, *args, **kwargs):
+        folders.append(folder)
+        return stream(spark, folder, *args, **kwargs)
+
+    monkeypatch.setattr(tables, "table_stream", noted)
+    found = registry.QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+    landed = spark.read.parquet(f"{folders[0]}/lineitem.parquet")
+    sizes = landed.groupBy(F.input_file_name()).count().collect()
+    assert len(sizes) >= 12 and max(r["count"] for r in sizes) <= 550
+    if name == "stream_bytes_bound":
+        assert [tuple(r) for r in found] == [(landed.count(), 0, 1)]
