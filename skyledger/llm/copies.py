@@ -15,7 +15,9 @@ again by the bits that the entry leaves open, cut into five segments again.
 That connects fingerprints, not texts: a text may be a copy of another one than that to which
 it is linked. So when the links are decided, texts that are near by their fingerprints and not
 in one component yet are compared as well, all of them, by the same index; entries with more
-than ``ENTRY`` texts are dealt to pairs of blocks.
+than ``ENTRY`` texts are dealt to pairs of blocks. Pairs are not listed: those that may be alike
+by the odd buckets of their shingles make groups, and the texts of a group are compared in one
+place, or in pairs of parts, where a link that joins no components is left out.
 
 A link counts if the two texts share at least ``LEAST`` of their distinct five-word shingles,
 by 32-bit hashes of all shingles of the whole texts. Of each component of such links one
@@ -54,6 +56,9 @@ WIDTHS = (12, 9, 7, 6, 5)
 ENTRY = 4096
 #: Fingerprints that are compared with all others of an entry at once, and links that a task holds.
 SQUARE, HELD = 512, 200_000
+#: Bits by which texts with near fingerprints are told apart before their shingles are compared, and
+#: shingles of a part of a group that is compared in parts.
+ODD, PART = 1024, 1_000_000
 
 
 def word_print(data: bytes) -> int:
@@ -248,75 +253,222 @@ def candidates(texts: DataFrame) -> DataFrame:
     return found.distinct()
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links between texts of one ``dealt`` entry that are near and have different roots.
+def _groups(batches: Iterator[pa.RecordBatch], names: list[str], wide: str | None = None):
+    """The columns ``names`` of each ``dealt`` entry of a sorted partition, and of ``wide`` the words of 64 bits.
+
+    Entries with one root are passed over.
+    """
+
+    def whole(rows: np.ndarray, bits: np.ndarray):
+        starts = np.flatnonzero(np.r_[True, rows[0, 1:] != rows[0, :-1]])
+        ends = np.r_[starts[1:], rows.shape[1]]
+        root = rows[names.index("root")]
+        mixed = np.maximum.reduceat(root, starts) != np.minimum.reduceat(root, starts)
+        for start, end in zip(starts[mixed], ends[mixed], strict=True):
+            yield rows[:, start:end], bits[start:end]
+
+    rows, bits = np.empty((len(names), 0), np.int64), np.empty((0, ODD // 64 if wide else 0), np.uint64)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        more = np.stack([batch.column(n).to_numpy(zero_copy_only=False) for n in names])
+        rows = np.concatenate([rows, more], axis=1)
+        made = np.frombuffer(b"".join(batch.column(wide).to_pylist()) if wide else b"", np.uint64)
+        bits = np.concatenate([bits, made.reshape(batch.num_rows, -1)])
+        cut = int(np.searchsorted(rows[0], rows[0, -1]))  # the last entry may go on
+        if cut:
+            yield from whole(rows[:, :cut], bits[:cut])
+        rows, bits = rows[:, cut:], bits[cut:]
+    if rows.shape[1]:
+        yield from whole(rows, bits)
+
+
+def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts that are near one with another root in an entry.
 
     The rows of two blocks are compared across, as each block is an entry of its own too.
     """
-    names = ["dealt", "node", "fp", "root", "part"]
 
-    def compared(rows: np.ndarray) -> Iterator[np.ndarray]:
+    def found(rows: np.ndarray) -> np.ndarray:
         _, node, fp, root, part = rows
-        two_parts = part.min() != part.max()
+        two_parts, some = part.min() != part.max(), np.zeros(node.size, bool)
         for low in range(0, node.size, SQUARE):
             one = slice(low, low + SQUARE)
             hit = np.bitwise_count(fp[one][:, None] ^ fp) <= MAX_BITS
-            hit &= root[one][:, None] < root
+            hit &= root[one][:, None] != root
             if two_parts:
                 hit &= part[one][:, None] != part
-            a, b = np.nonzero(hit)
-            if a.size:
-                yield np.sort(np.stack([node[a + low], node[b]]), axis=0)
+            some |= hit.any(axis=0)
+        return node[some]
 
-    def out(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        starts = np.flatnonzero(np.r_[True, rows[0, 1:] != rows[0, :-1]])
-        ends = np.r_[starts[1:], rows.shape[1]]
-        mixed = np.maximum.reduceat(rows[3], starts) != np.minimum.reduceat(rows[3], starts)
-        held, size = [], 0
-        for start, end in zip(starts[mixed], ends[mixed], strict=True):
-            for found in compared(rows[:, start:end]):
-                held.append(found)
-                size += found.shape[1]
-                if size >= HELD:
-                    yield given(held)
-                    held, size = [], 0
-        if held:
+    def given(held: list[np.ndarray]) -> pa.RecordBatch:
+        # The same text comes from several entries.
+        return pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(held)))], names=["node"])
+
+    held, size = [], 0
+    for rows, _ in _groups(batches, ["dealt", "node", "fp", "root", "part"]):
+        held.append(found(rows))
+        size += held[-1].size
+        if size >= HELD:
             yield given(held)
+            held, size = [], 0
+    if held:
+        yield given(held)
+
+
+def odd_bits(hashes: np.ndarray) -> bytes:
+    """Of each of ``ODD`` buckets whether an odd number of ``hashes`` is in it.
+
+    Two sets differ in at least as many members as these bits do.
+    """
+    counts = np.bincount(hashes.view(np.uint32) % np.uint32(ODD), minlength=ODD)
+    return np.packbits((counts & 1).astype(bool)).tobytes()
+
+
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The number of ``shingles`` and their ``odd_bits`` in their place."""
+    for batch in batches:
+        column = batch.column("shingles")
+        ends, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+        odd = pa.array([odd_bits(values[a:b]) for a, b in zip(ends, ends[1:])], pa.binary())
+        arrays = [*(batch.column(n) for n in ("node", "fp", "root")), pa.array(np.diff(ends), pa.int64()), odd]
+        yield pa.RecordBatch.from_arrays(arrays, names=["node", "fp", "root", "size", "odd"])
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links that connect the texts of an entry that are near, have different roots and may be alike.
+
+    Of texts that share ``LEAST`` of all their shingles few enough are in one of them only. Links
+    span the groups that such pairs connect; they are not all pairs.
+    """
+    more, less = LEAST[1] - LEAST[0], LEAST[1] + LEAST[0]
 
     def given(held: list[np.ndarray]) -> pa.RecordBatch:
-        # The same link comes from several entries.
         a, b = np.unique(np.concatenate(held, axis=1), axis=1)
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    rows = np.empty((len(names), 0), np.int64)
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        more = np.stack([batch.column(n).to_numpy(zero_copy_only=False) for n in names])
-        rows = np.concatenate([rows, more], axis=1)
-        cut = int(np.searchsorted(rows[0], rows[0, -1]))  # the last entry may go on
-        if cut:
-            yield from out(rows[:, :cut])
-        rows = rows[:, cut:]
-    if rows.shape[1]:
-        yield from out(rows)
+    held, size = [], 0
+    for rows, bits in _groups(batches, ["dealt", "node", "fp", "root", "size"], "odd"):
+        _, node, fp, root, n = rows
+        left = np.arange(node.size)
+        while left.size > 1:
+            reached, left = [left[0]], left[1:]
+            while reached and left.size:
+                x = reached.pop()
+                hits = left[(np.bitwise_count(fp[left] ^ fp[x]) <= MAX_BITS) & (root[left] != root[x])]
+                if hits.size:
+                    apart = np.bitwise_count(bits[hits] ^ bits[x]).sum(axis=1, dtype=np.int64)
+                    hits = hits[less * np.maximum(apart, abs(n[hits] - n[x])) <= more * (n[hits] + n[x])]
+                if hits.size:
+                    held.append(np.sort(np.stack([np.full(hits.size, node[x]), node[hits]]), axis=0))
+                    size += hits.size
+                    reached.extend(hits)
+                    left = left[~np.isin(left, hits, assume_unique=True)]
+        if size >= HELD:
+            yield given(held)
+            held, size = [], 0
+    if held:
+        yield given(held)
 
 
-def apart(texts: DataFrame) -> DataFrame:
-    """All pairs ``a``, ``b`` of the rows ``node``, ``fp``, ``root`` that are near and differ in ``root``."""
+def _dealt(texts: DataFrame, *more: str) -> DataFrame:
+    """The rows ``node``, ``fp``, ``root`` of ``texts`` by ``dealt``, in pairs of blocks of their index entries."""
     prior = F.lit(0).cast("long")
-    entries = texts.select("node", "fp", "root", _entries(0, F.col("fp"), prior).alias("e"))
-    entries = entries.select("node", "fp", "root", "e.key")
+    entries = texts.select("node", "fp", "root", *more, _entries(0, F.col("fp"), prior).alias("e"))
+    entries = entries.select("node", "fp", "root", *more, "e.key")
     # The first level has at most 2 ** 12 * 13 * 5 entries, whatever the number of texts.
-    large = texts.select(_entries(0, F.col("fp"), prior).alias("e")).groupBy("e.key").agg(F.count("*").alias("size"))
-    large = materialize(large.filter(F.col("size") > ENTRY), "large-entries")
-    parts = F.coalesce(F.ceil(F.col("size") / ENTRY), F.lit(1).cast("long"))
+    large = texts.select(_entries(0, F.col("fp"), prior).alias("e")).groupBy("e.key").agg(F.count("*").alias("many"))
+    large = materialize(large.filter(F.col("many") > ENTRY), "large-entries")
+    parts = F.coalesce(F.ceil(F.col("many") / ENTRY), F.lit(1).cast("long"))
     rows = entries.join(F.broadcast(large), "key", "left").withColumn("parts", parts)
     rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), "parts"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     dealt = F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("dealt")
-    rows = rows.select(dealt, "node", "fp", "root", "part").repartition("dealt").sortWithinPartitions("dealt")
-    return rows.mapInArrow(_across, "a long, b long").distinct()
+    rows = rows.select(dealt, "node", "fp", "root", "part", *more)
+    return rows.repartition("dealt").sortWithinPartitions("dealt")
+
+
+def alike(root: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links between places of ``sets`` that share ``LEAST`` of their members and have different roots.
+
+    As many as connect whom all such links, and equal roots, connect.
+    """
+    sizes = np.array([s.size for s in sets], np.int64)
+    _, ids, many = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(sizes.size), sizes)
+    several = many[ids] > 1  # the others are shared by none
+    ids, owner = ids[several], owner[several]
+    order = np.argsort(ids, kind="stable")
+    holders, starts = owner[order], np.r_[0, np.cumsum(np.bincount(ids, minlength=many.size))]
+    ends = np.searchsorted(owner, np.arange(sizes.size + 1))
+    _, of = np.unique(root, return_inverse=True)
+    links = []
+    for x in range(sizes.size):
+        own = ids[ends[x] : ends[x + 1]]
+        held = starts[own + 1] - starts[own]
+        at = np.repeat(starts[own] - np.cumsum(held) + held, held) + np.arange(int(held.sum()))
+        shared = np.bincount(holders[at], minlength=sizes.size)
+        hit = (shared * LEAST[1] >= (sizes + sizes[x] - shared) * LEAST[0]) & (of != of[x])
+        for y in np.flatnonzero(hit):
+            if of[y] != of[x]:
+                links.append((x, int(y)))
+                of[of == of[y]] = of[x]
+    return links
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of ``alike`` of each ``dealt`` part of a partition sorted by it."""
+
+    def out(rows: list[np.ndarray], sets: list[np.ndarray]) -> pa.RecordBatch:
+        node = rows[1]
+        links = np.array(alike(rows[2], sets), np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(node[links[:, i]]) for i in range(2)], names=["a", "b"])
+
+    rows, sets = [np.empty(0, np.int64)] * 3, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        more = [batch.column(n).to_numpy(zero_copy_only=False) for n in ("dealt", "node", "root")]
+        column = batch.column("shingles")
+        ends, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+        rows = [np.concatenate(x) for x in zip(rows, more, strict=True)]
+        sets += [values[a:b].copy() for a, b in zip(ends, ends[1:])]
+        starts = np.flatnonzero(np.r_[True, rows[0][1:] != rows[0][:-1]])
+        for a, b in zip(starts, starts[1:]):  # the last part may go on
+            yield out([c[a:b] for c in rows], sets[a:b])
+        rows, sets = [c[starts[-1] :] for c in rows], sets[starts[-1] :]
+    if sets:
+        yield out(rows, sets)
+
+
+def apart(texts: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links ``a``, ``b`` that join the components of all texts that are near and alike.
+
+    ``texts`` have ``node``, ``fp`` and ``root``, ``sets`` the ``shingles`` of each ``node``. First
+    the texts are found that are near one with another root. Among these, pairs whose shingles may
+    agree make groups, and the texts of a group are compared with each other on all shingles.
+    Of both only links that span what they connect are given.
+    """
+    some = _dealt(texts).mapInArrow(_beside, "node long").distinct()
+    some = materialize(texts.join(some, "node").join(sets, "node"), "beside")
+    if some.isEmpty():
+        return texts.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    marked = some.select("node", "fp", "root", "shingles").mapInArrow(
+        _marked, "node long, fp long, root long, size long, odd binary"
+    )
+    marked = materialize(marked, "marked")
+    links = _dealt(marked, "size", "odd").mapInArrow(_joined, "a long, b long").distinct()
+    cells = materialize(connected(links).withColumnRenamed("root", "cell"), "cells")
+    held = some.select("node", "root", "shingles").join(cells, "node")
+    parts = held.groupBy("cell").agg(F.ceil(F.sum(F.size("shingles")) / PART).alias("parts"))
+    rows = held.join(parts, "cell").withColumn("parts", F.greatest("parts", F.lit(1).cast("long")))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), "parts"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    # Two parts meet once; each of several is compared with itself there too.
+    alone = (F.col("part") != F.col("other")) | (F.col("parts") == 1)
+    dealt = F.xxhash64("cell", F.least("part", "other"), F.greatest("part", "other")).alias("dealt")
+    rows = rows.filter(alone).select(dealt, "node", "root", "shingles")
+    return rows.repartition("dealt").sortWithinPartitions("dealt").mapInArrow(_compared, "a long, b long")
 
 
 # ---- links and components ----
@@ -348,8 +500,7 @@ def components(docs: DataFrame) -> DataFrame:
         return materialize(roots, "roots")
 
     roots = with_roots(links)
-    more = apart(roots).join(tried, ["a", "b"], "left_anti")
-    more = materialize(similar(more, sets), "similar")
+    more = materialize(apart(roots, sets), "similar")
     if not more.isEmpty():
         roots = with_roots(links.unionByName(more))
     rooted = roots.select("digest", "root")

@@ -184,3 +184,34 @@ def test_no_link_is_lost_beside_a_text_with_near_fingerprints(spark, monkeypatch
     assert len({copies.word_print(t.encode()) for t in texts}) == 1
     found = grouped(spark, list(enumerate(texts)))
     assert sorted(sorted(i for i, _ in g) for g in found.values()) == [[i, i + 1] for i in range(0, 60, 2)]
+
+
+@pytest.mark.parametrize("part", [200, 1_000_000])
+def test_texts_with_near_fingerprints_make_links_in_proportion(spark, monkeypatch, part):
+    """Texts of the same words in other orders, and edited copies of some of them."""
+    monkeypatch.setattr(copies, "PART", part)
+    rng = random.Random(52)
+    words = [f"w{i}" for i in range(120)]
+    texts = []
+    for n in range(60):
+        rng.shuffle(words)
+        texts += [" ".join(words)] + [edited(rng, words, 0.01) for _ in range(12 if n < 2 else 0)]
+    nodes = [(i, copies.word_print(t.encode()), i, copies.shingles(t.encode()).view(np.int32).tolist()) for i, t in enumerate(texts)]
+    table = spark.createDataFrame(nodes, "node long, fp long, root long, shingles array<int>")
+    sets = table.select("node", "shingles")
+    found = [(r["a"], r["b"]) for r in copies.apart(table.drop("shingles"), sets).collect()]
+    links = brute_links(set(texts))
+    groups = brute_groups(texts, [(texts[a], texts[b]) for a, b in found])
+    assert all(tuple(sorted((texts[a], texts[b]))) in links for a, b in found)
+    assert all(groups[a] == groups[b] for a, b in links)
+    # As rows of pairs there would be one for each two of all texts.
+    assert len(found) <= (len(texts) if part > 200 else len(links)) and len(links) > 100
+
+
+def test_odd_buckets_never_differ_more_than_the_sets():
+    rng = np.random.default_rng(53)
+    for n, m in [(0, 0), (5, 3), (300, 40), (3000, 500)]:
+        both, one, two = (np.unique(rng.integers(0, 1 << 31, k)).astype(np.int32) for k in (n, m, m))
+        a, b = np.union1d(both, one), np.union1d(both, two)
+        bits = int.from_bytes(copies.odd_bits(a)) ^ int.from_bytes(copies.odd_bits(b))
+        assert bits.bit_count() <= np.setxor1d(a, b).size
