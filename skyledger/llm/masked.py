@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,12 +34,14 @@ SIDE, WIDTH, HIDDEN = 2, 12, 32
 ROUNDS, STRIDE = 2, 2
 BATCH, RATE = 256, 0.1
 #: Words that a task counts before it hands the counts on, and places that it scores at once.
-COUNTED, SCORED = 300_000, 8192
+COUNTED, SCORED = 300_000, 1024
 #: Rarer words with a count of their own; what a count lends to words that are only spelled.
 KNOWN, LENT = 200_000, 0.5
 #: Words whose probabilities a task keeps, and numbers of spellings that a task holds before it hands them on.
 STORE, SPELLED = 300_000, 300_000
 
+_CELLS = np.arange(TOKENS * WIDTH).reshape(TOKENS, WIDTH)
+
 Weights = list[np.ndarray]
 
 
@@ -53,17 +56,30 @@ def start_weights() -> Weights:
     ]
 
 
+class Endings(dict):
+    """The tokens of classes by the last three bytes of a word, made when they are asked for."""
+
+    def __missing__(self, ending: bytes) -> int:
+        if len(self) > STORE:
+            self.clear()
+        token = self[ending] = 1 + WORDS + zlib.crc32(ending) % CLASSES
+        return token
+
+
 @dataclass
 class Vocabulary:
     words: dict[bytes, int]
 
+    def __post_init__(self):
+        self.ends = Endings()
+
     def tokens(self, data: bytes) -> np.ndarray:
         """The tokens of a text; a rarer word's class is that of its last three bytes."""
         return self.tokens_of(words_of(data))
 
     def tokens_of(self, words: list[bytes]) -> np.ndarray:
-        get, crc, first = self.words.get, zlib.crc32, 1 + WORDS
-        return np.array([get(w) or first + crc(w[-3:]) % CLASSES for w in words], np.int64)
+        get, ends = self.words.get, self.ends
+        return np.fromiter([get(w) or ends[w[-3:]] for w in words], np.int64, len(words))
 
 
 def class_of(word: bytes) -> int:
@@ -100,6 +116,16 @@ class Spelling:
             self.kept[class_of(word)] += n - LENT
         for step, n in self.steps.items():
             self.after[step & 0xFFFF] = self.after.get(step & 0xFFFF, 0) + n
+        # The same in arrays: by class, by the two bytes of a step, and by step.
+        self.by_class = np.zeros((3, CLASSES))
+        for row, numbers in zip(self.by_class, (self.kinds, self.totals, self.kept), strict=True):
+            for i, n in numbers.items():
+                row[i] = n
+        self.by_pair = np.zeros(1 << 16)
+        for pair, n in self.after.items():
+            self.by_pair[pair] = n
+        keys = np.array(sorted(self.steps) or [-1], np.int64)
+        self.by_step = keys, np.array([self.steps.get(k, 0) for k in keys.tolist()], np.float64)
 
     def spelled(self, word: bytes) -> float:
         ending, kinds = self.endings.get(word[-3:], 0), self.kinds.get(class_of(word), 0)
@@ -120,20 +146,55 @@ class Spelling:
         n = self.counts.get(word, 0)
         return float(np.logaddexp(math.log((n - LENT) / whole), lent)) if n else lent
 
+    def log_probabilities(self, words: list[bytes]) -> np.ndarray:
+        """``log_probability`` of each of ``words``, which may not be empty."""
+        n = len(words)
+        classes = np.fromiter(map(class_of, words), np.int64, n)
+        endings = np.fromiter((self.endings.get(w[-3:], 0) for w in words), np.float64, n)
+        counts = np.fromiter((self.counts.get(w, 0) for w in words), np.float64, n)
+        total = np.log(np.where(endings > 0, endings, 2.0**-18) / (self.by_class[0][classes] + 1))
+        # The steps of all words: each place but the last two of a word.
+        line = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+        sizes = np.fromiter(map(len, words), np.int64, n)
+        ends = np.cumsum(sizes)
+        inside = np.ones(line.size, bool)
+        inside[ends - 1] = False
+        inside[(ends - 2)[sizes > 1]] = False
+        before = np.r_[256, line[:-1]]
+        before[(ends - sizes)] = 256
+        at = np.flatnonzero(inside)
+        after = line[at] << 8 | line[at + 1]
+        step = before[at] << 16 | after
+        keys, found = self.by_step
+        place = np.minimum(np.searchsorted(keys, step), keys.size - 1)
+        seen = np.where(keys[place] == step, found[place], 0)
+        parts = np.log((seen + 1 / 257) / (self.by_pair[after] + 1))
+        of = np.repeat(np.arange(n), np.maximum(sizes - 2, 0))
+        total += np.bincount(of, parts, n)
+        whole, kept = self.by_class[1][classes], self.by_class[2][classes]
+        some = whole > 0
+        total[some] += np.log((whole - kept)[some] / whole[some])
+        known = some & (counts > 0)
+        total[known] = np.logaddexp(np.log((counts[known] - LENT) / whole[known]), total[known])
+        return total
+
 
 class Store(dict):
-    """Log-probabilities of words within their tokens, made when they are asked for."""
+    """Log-probabilities of words within their tokens; ``learn`` must have seen the words that are asked for."""
 
     def __init__(self, spelling: Spelling, vocab: Vocabulary):
         super().__init__()
         self.spelling, self.vocab = spelling, vocab
 
-    def __missing__(self, word: bytes) -> float:
+    def learn(self, texts: list[list[bytes]]) -> None:
         if len(self) > STORE:
             self.clear()
-        found = 0.0 if word in self.vocab.words else self.spelling.log_probability(word)
-        self[word] = found
-        return found
+        new = list({w for words in texts for w in words if w not in self})
+        own = [w for w in new if w not in self.vocab.words]
+        self.update(dict.fromkeys(new, 0.0))
+        for i in range(0, len(own), SPELLED):
+            part = own[i : i + SPELLED]
+            self.update(zip(part, self.spelling.log_probabilities(part).tolist(), strict=True))
 
 
 def contexts(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -148,21 +209,28 @@ def contexts(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _forward(weights: Weights, around: np.ndarray):
+    """What the network sees and makes of it; the outputs have any number added to a whole row."""
     table, w1, b1, w2, b2 = weights
-    seen = table[around].reshape(len(around), -1)
-    hidden = np.tanh(seen @ w1 + b1)
-    out = hidden @ w2 + b2
-    out -= out.max(axis=1, keepdims=True)
+    seen = table.take(around.ravel(), axis=0).reshape(len(around), -1)
+    inner = seen @ w1
+    inner += b1
+    hidden = np.ones((len(around), HIDDEN + 1), inner.dtype)  # the last column is for ``b2``
+    np.tanh(inner, out=hidden[:, :-1])
+    last = np.concatenate([w2, b2[None]])
+    out = hidden @ last
+    # What is hidden is at most 1. Only large weights can make outputs whose exponentials overflow or vanish.
+    if np.abs(last).sum(axis=0).max() > 60:
+        out -= out.max(axis=1, keepdims=True)
     return seen, hidden, out
 
 
 def log_probabilities(weights: Weights, around: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """Of each token given the tokens around it."""
-    parts = [np.empty(0, np.float32)]
+    parts, ones = [np.empty(0, np.float32)], np.ones(TOKENS, weights[3].dtype)
     for i in range(0, len(tokens), SCORED):
         _, _, out = _forward(weights, around[i : i + SCORED])
         own = out[np.arange(len(out)), tokens[i : i + SCORED]]
-        parts.append(own - np.log(np.exp(out, out=out).sum(axis=1)))
+        parts.append(own - np.log(np.exp(out, out=out) @ ones))
     return np.concatenate(parts)
 
 
@@ -171,34 +239,38 @@ def slopes(weights: Weights, around: np.ndarray, tokens: np.ndarray) -> Weights:
     table, w1, _, w2, _ = weights
     seen, hidden, out = _forward(weights, around)
     np.exp(out, out=out)
-    out /= out.sum(axis=1, keepdims=True)
-    out[np.arange(len(out)), tokens] -= 1
-    out /= len(out)
-    inner = (out @ w2.T) * (1 - hidden**2)
-    back = (inner @ w1.T).reshape(len(around) * 2 * SIDE, WIDTH)
-    cells = (around.reshape(-1, 1) * WIDTH + np.arange(WIDTH)).ravel()
-    spread = np.bincount(cells, back.ravel(), table.size).reshape(table.shape).astype(table.dtype)
-    return [spread, seen.T @ inner, inner.sum(axis=0), hidden.T @ out, out.sum(axis=0)]
+    total = out @ np.ones(TOKENS, out.dtype)
+    out[np.arange(len(out)), tokens] -= total
+    # Rows of ``out`` times ``scale`` are the slopes; the smaller factors are scaled in their place.
+    scale = (1 / (total * len(out)))[:, None]
+    inner = out @ w2.T
+    inner *= scale * (1 - hidden[:, :-1] ** 2)
+    back = (inner @ w1.T).ravel()
+    spread = np.bincount(_CELLS.take(around.ravel(), axis=0).ravel(), back, table.size).reshape(table.shape).astype(table.dtype)
+    hidden *= scale
+    last = out.T @ hidden
+    return [spread, seen.T @ inner, inner.sum(axis=0), last[:, :-1].T, last[:, -1]]
 
 
 class Trainer:
     """Adagrad from given weights."""
 
     def __init__(self, weights: Weights):
-        self.weights = [w.copy() for w in weights]
-        self.squares = [np.full_like(w, 1e-6) for w in weights]
+        self.flat = np.concatenate([w.ravel() for w in weights])
+        ends = np.cumsum([w.size for w in weights])
+        parts = np.split(self.flat, ends[:-1])
+        self.weights = [part.reshape(w.shape) for part, w in zip(parts, weights, strict=True)]
+        self.squares = np.full_like(self.flat, 1e-6)
         self.places = 0
 
     def learn(self, around: np.ndarray, tokens: np.ndarray) -> None:
         for i in range(0, len(tokens), BATCH):
-            for w, square, slope in zip(
-                self.weights,
-                self.squares,
-                slopes(self.weights, around[i : i + BATCH], tokens[i : i + BATCH]),
-                strict=True,
-            ):
-                square += slope**2
-                w -= RATE * slope / np.sqrt(square)
+            made = slopes(self.weights, around[i : i + BATCH], tokens[i : i + BATCH])
+            slope = np.concatenate([x.ravel() for x in made])
+            self.squares += slope * slope
+            slope /= np.sqrt(self.squares)
+            slope *= RATE
+            self.flat -= slope
         self.places += len(tokens)
 
 
@@ -209,7 +281,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """``word`` (binary) and ``n`` of all words of all texts, counted in the tasks first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[bytes, int] = {}
+        counts: Counter[bytes] = Counter()
 
         def given():
             return pa.RecordBatch.from_arrays(
@@ -219,11 +291,10 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text in batch.column(0).cast(pa.binary()):
-                for w in words_of(text.as_py() or b""):
-                    counts[w] = counts.get(w, 0) + 1
+                counts.update(words_of(text.as_py() or b""))
                 if len(counts) > COUNTED:
                     yield given()
-                    counts = {}
+                    counts = Counter()
         yield given()
 
     counted = docs.select("text").mapInArrow(run, "word binary, n long")
@@ -391,7 +462,8 @@ def score(
                 sizes = np.array([x.size for x in texts], np.int64)
                 total = np.bincount(np.repeat(np.arange(len(texts)), sizes), found, len(texts))
                 if store is not None:
-                    total += [math.fsum(map(store.__getitem__, w)) for w in words]
+                    store.learn(words)
+                    total += [sum(map(store.__getitem__, w)) for w in words]
                 arrays = [rows.column(rows.schema.get_field_index(f.name)) for f in kept]
                 arrays += [pa.array(sizes, pa.int64()), pa.array(total, pa.float64())]
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.names)

@@ -148,3 +148,36 @@ def test_empty_table(spark):
     vocab, weights = masked.fit(docs)
     assert masked.score(docs, vocab, weights).count() == 0
     assert all((a == b).all() for a, b in zip(weights, masked.start_weights(), strict=True))
+
+
+def test_spellings_of_many_words_are_those_of_each(spark, monkeypatch):
+    monkeypatch.setattr(masked, "STORE", 3)
+    rng = random.Random(61)
+    words = ["".join(rng.choice("abcé") for _ in range(rng.randint(1, 9))) for _ in range(300)]
+    common = " ".join(f"w{i:03}" for i in range(masked.WORDS))
+    rows = ODD + [(i, common) for i in range(1000, 1050)] + [(3000, " ".join(words))]
+    vocab, _, spelling = masked.fit_words(documents(spark, rows))
+    asked = [w.encode() for w in [*words[:150], "x", "xy", "xyz", "unseen", "été", "w001"]]
+    wanted = [spelling.log_probability(w) for w in asked]
+    assert spelling.log_probabilities(asked).tolist() == pytest.approx(wanted, abs=1e-9)
+    store = masked.Store(spelling, vocab)
+    for text in (asked[:100], asked[100:], asked, []):
+        store.learn([text, text])
+        assert [store[w] for w in text] == pytest.approx(
+            [0.0 if w in vocab.words else spelling.log_probability(w) for w in text], abs=1e-9
+        )
+    nothing = masked.Spelling({}, {}, {}, {}, {})
+    assert nothing.log_probabilities([b"one"])[0] == pytest.approx(nothing.log_probability(b"one"))
+
+
+def test_large_weights_neither_overflow_nor_vanish():
+    rng = np.random.default_rng(62)
+    around = rng.integers(0, masked.TOKENS, (40, 2 * masked.SIDE))
+    tokens = rng.integers(0, masked.TOKENS, 40)
+    for times in (1, 300):
+        weights = [w * np.float32(times) for w in masked.start_weights()]
+        double = [w.astype(np.float64) for w in weights]
+        found = masked.log_probabilities(weights, around, tokens)
+        assert found == pytest.approx(masked.log_probabilities(double, around, tokens), rel=1e-3, abs=1e-3)
+        for a, b in zip(masked.slopes(weights, around, tokens), masked.slopes(double, around, tokens), strict=True):
+            assert np.isfinite(a).all() and a.shape == b.shape
