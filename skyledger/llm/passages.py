@@ -314,19 +314,20 @@ def _sketch(tokens: np.ndarray) -> tuple[bytes, int]:
 
     So few bits, the most frequent ones, are of ``SIMILARITY * SPAN`` tokens.
     """
-    counts = np.bincount(((tokens >> np.uint64(20)) % np.uint64(64 * SKETCH)).view(np.int64), minlength=64 * SKETCH)
+    kind = tokens.dtype.type
+    counts = np.bincount(((tokens >> kind(20)) % kind(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH)
     most = np.cumsum(-np.sort(-counts))
     return np.packbits(counts > 0).tobytes(), int(np.searchsorted(most, SIMILARITY * SPAN)) + 1
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The windows of each text with a sketch of up to ``2 * SPAN`` - 1 shingles either side of the smallest.
+    """The windows of each text with the shingles of a stretch of up to ``2 * SPAN`` - 1 either side of the smallest.
 
-    ``least`` is the number of bits that a window shares at least with one that holds an alike
-    passage. Windows of a text with the same key and sketch are given once.
+    The stretch is given by ``near``, as ``at``, and by 32 bits of each shingle. Windows of a text
+    with the same key and stretch of shingles are given once.
     """
     low = (1 << 32) - 1
-    names = ["key", "text_id", "class", "size", "at", "least", "sketch"]
+    names = ["key", "text_id", "class", "size", "at", "near", "stretch"]
     kinds = [pa.int64()] * 6 + [pa.binary()]
 
     def given(rows: list[tuple]) -> pa.RecordBatch:
@@ -350,11 +351,11 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 values = by[w["key"] & 3][l : r + 1]
                 same = same[values[same] == values.min()]
                 c = l + int(same[np.abs(same - (r + 1 - l) // 2).argmin()])
-                around = tokens[max(l, c - 2 * SPAN + 2) : min(r, c + 2 * SPAN - 2) + 1]
-                sketch, least = _sketch(around)
-                if (w["key"], sketch) not in seen:
-                    seen.add((w["key"], sketch))
-                    rows.append((w["key"], text_id, of, w["size"], w["at"], least, sketch))
+                n_l, n_r = max(l, c - 2 * SPAN + 2), min(r, c + 2 * SPAN - 2)
+                stretch = (tokens[n_l : n_r + 1] >> np.uint64(20)).astype(np.uint32).tobytes()
+                if (w["key"], stretch) not in seen:
+                    seen.add((w["key"], stretch))
+                    rows.append((w["key"], text_id, of, w["size"], w["at"], n_l << 32 | n_r, stretch))
                 if len(rows) >= HELD:
                     yield given(rows)
                     rows = []
@@ -362,57 +363,75 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield given(rows)
 
 
+LINK = "text_id long, at long, near long, o_text_id long, o_at long, o_near long"
+
+
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of the sketched windows of one key and two classes that share enough bits, as ``PAIR``."""
+    """Links between the windows of one key and two classes whose stretches hold an alike passage.
+
+    Stretches are compared if their sketches share enough bits. A pair that an earlier link has
+    put into one class is passed over, so a task makes fewer links of a key than there are classes.
+    """
 
-    def pairs(numbers: np.ndarray, sketches: np.ndarray) -> Iterator[np.ndarray]:
+    def links(numbers: np.ndarray, stretches: list[bytes]) -> Iterator[tuple]:
         """Of the rows of one ``dealt`` key; those of two blocks are paired across."""
-        _, key, text_id, of, at, least, part = numbers
+        _, _, text_id, of, at, near, part = numbers
         if of.min() == of.max():
             return
         two_parts = part.min() != part.max()
+        tokens = [np.frombuffer(x, np.uint32) for x in stretches]
+        made = [_sketch(x) for x in tokens]
+        sketches = np.frombuffer(b"".join(x for x, _ in made), np.uint64).reshape(-1, SKETCH)
+        least = np.array([x for _, x in made])
+        _, of = np.unique(of, return_inverse=True)
+        root = np.arange(int(of.max()) + 1)
         step = max(1, (1 << 21) // sketches.size)
-        for first in range(0, len(key), step):
+        for first in range(0, len(tokens), step):
             one = slice(first, first + step)
             hit = of[one][:, None] < of
+            hit &= root[of[one]][:, None] != root[of]
             if two_parts:
                 hit &= part[one][:, None] != part
             shared = np.bitwise_count(sketches[one][:, None, :] & sketches).sum(axis=2, dtype=np.int32)
             hit &= shared >= np.maximum(least[one][:, None], least)
-            a, b = np.nonzero(hit)
-            a += first
-            if len(a):
-                yield np.column_stack([key[a], text_id[a], at[a], text_id[b], at[b]])
-
-    def out(numbers: np.ndarray, sketches: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for a, b in np.argwhere(hit).tolist():
+                a += first
+                if text_id[a] < text_id[b]:  # the larger id first, as in ``regions``
+                    a, b = b, a
+                if root[of[a]] != root[of[b]] and compare(tokens[a], tokens[b]):
+                    root[root == root[of[b]]] = root[of[a]]
+                    yield text_id[a], at[a], near[a], text_id[b], at[b], near[b]
+
+    def out(numbers: np.ndarray, stretches: list[bytes]) -> Iterator[pa.RecordBatch]:
         starts = np.flatnonzero(np.r_[True, numbers[0, 1:] != numbers[0, :-1]])
         for start, end in zip(starts, np.r_[starts[1:], numbers.shape[1]], strict=True):
-            for found in pairs(numbers[:, start:end], sketches[start:end]):
-                yield _batch(found, found[:0, :3])
+            found = np.array(list(links(numbers[:, start:end], stretches[start:end])), np.int64).reshape(-1, 6)
+            if len(found):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found.T], names=[x.split()[0] for x in LINK.split(", ")])
 
-    numbers, sketches = np.empty((7, 0), np.int64), np.empty((0, SKETCH), np.uint64)
+    numbers, stretches = np.empty((7, 0), np.int64), []
     for batch in batches:
         if not batch.num_rows:
             continue
-        made = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint64).reshape(-1, SKETCH)
         numbers = np.concatenate([numbers, np.stack([batch.column(i).to_numpy() for i in range(7)])], axis=1)
-        sketches = np.concatenate([sketches, made])
+        stretches += batch.column(7).to_pylist()
         end = int(np.searchsorted(numbers[0], numbers[0, -1]))  # the last key may go on
         if end:
-            yield from out(numbers[:, :end], sketches[:end])
-        numbers, sketches = numbers[:, end:], sketches[end:]
+            yield from out(numbers[:, :end], stretches[:end])
+        numbers, stretches = numbers[:, end:], stretches[end:]
     if numbers.shape[1]:
-        yield from out(numbers, sketches)
+        yield from out(numbers, stretches)
 
 
 def apart(met: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs of windows of large keys in texts of different classes, as ``PAIR``.
+    """Links of windows of large keys in texts of different classes, as ``LINK``.
 
     ``met`` are the ``meetings`` of ``texts``, of which the verified pairs ``found`` make classes.
     Of a key that stands in one class only no link is lost. In the others each window is
     compared with all windows of other classes by sketches of their shingles: a passage that is
     alike has a stretch of ``SPAN`` to ``2 * SPAN`` - 1 shingles that is, of which at least
-    ``SIMILARITY * SPAN`` stand in the other one. Windows of a key are dealt to pairs of blocks.
+    ``SIMILARITY * SPAN`` stand in the other one. What passes is compared where it is. Windows of
+    a key are dealt to pairs of blocks.
     """
     roots = materialize(connected(found.select(F.col("text_id").alias("a"), F.col("o_text_id").alias("b"))), "roots")
     roots = roots.select(F.col("node").alias("text_id"), F.col("root").alias("class"))
@@ -427,14 +446,14 @@ def apart(met: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
     listed = materialize(listed, "mixed")
     whole = texts.join(listed, "text_id").dropDuplicates(["text_id"]).select("text_id", "class", "text", "windows")
     rows = whole.mapInArrow(
-        _sketched, "key long, text_id long, class long, size long, at long, least long, sketch binary"
+        _sketched, "key long, text_id long, class long, size long, at long, near long, stretch binary"
     )
     parts = F.ceil(F.col("size") / BLOCK)
     rows = rows.withColumn("part", F.pmod(F.xxhash64("text_id"), parts))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
     dealt = F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("dealt")
-    rows = rows.select(dealt, "key", "text_id", "class", "at", "least", "part", "sketch")
-    return rows.repartition("dealt").sortWithinPartitions("dealt").mapInArrow(_across, PAIR)
+    rows = rows.select(dealt, "key", "text_id", "class", "at", "near", "part", "stretch")
+    return rows.repartition("dealt").sortWithinPartitions("dealt").mapInArrow(_across, LINK)
 
 
 # ---- verification ----
@@ -601,8 +620,19 @@ def near_passages(docs: DataFrame) -> DataFrame:
     linked = materialize(regions(met.filter(F.col("o_text_id").isNotNull())), "met")
     found = materialize(verified(linked, named, first), "passages")
     if not met.filter(F.col("o_text_id").isNull()).isEmpty():
-        more = materialize(regions(apart(met, found, named), 1), "met")
-        found = found.unionByName(materialize(verified(more, named, first), "passages"))
+        links = materialize(apart(met, found, named), "links")
+
+        def passages(links: DataFrame, at: str, o_at: str) -> DataFrame:
+            pairs = links.select(F.lit(0).alias("key"), "text_id", F.col(at).alias("at"), "o_text_id", F.col(o_at).alias("o_at"))
+            return materialize(verified(materialize(regions(pairs, 1), "met"), named, first), "passages")
+
+        if not links.isEmpty():
+            more = passages(links, "at", "o_at")
+            found = found.unionByName(more)
+            # Whole windows may hide what the stretches in them have shown.
+            hidden = materialize(links.join(more, PAIRED, "left_anti"), "hidden")
+            if not hidden.isEmpty():
+                found = found.unionByName(passages(hidden, "near", "o_near"))
 
     def owner(text_id: str, name: str) -> DataFrame:
         return first.select(F.col("text_id").alias(text_id), F.col("least").alias(name))

@@ -186,3 +186,20 @@ def test_sketches_of_alike_passages_share_enough_bits(monkeypatch):
         )
         shared = int.from_bytes(one[0]) & int.from_bytes(two[0])
         assert shared.bit_count() >= max(one[1], two[1])
+
+
+def test_a_task_links_alike_windows_of_a_key_in_proportion():
+    """Of a hundred classes that are alike, and as many that only share a phrase, links span the former."""
+    rng = np.random.default_rng(71)
+    phrase, rest = (rng.integers(0, 1 << 32, n, np.uint32) for n in (40, 60))
+    rows = []
+    for i in range(200):
+        end = rest if i % 2 else rng.integers(0, 1 << 32, 60, np.uint32)
+        rows.append((5, 7, i, i, 99, 99, 0, np.r_[phrase, end].tobytes()))
+    names = ["dealt", "key", "text_id", "class", "at", "near", "part", "stretch"]
+    arrays = [pa.array(c, pa.int64()) for c in list(zip(*rows))[:7]] + [pa.array([r[7] for r in rows], pa.binary())]
+    whole = pa.RecordBatch.from_arrays(arrays, names=names)
+    for size in (30, 200):
+        found = [r for b in passages._across(iter([whole.slice(i, size) for i in range(0, 200, size)])) for r in b.to_pylist()]
+        assert len(found) == 99 and all(r["text_id"] > r["o_text_id"] for r in found)
+        assert {x for r in found for x in (r["text_id"], r["o_text_id"])} == set(range(1, 200, 2))
