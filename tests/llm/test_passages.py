@@ -203,3 +203,35 @@ def test_a_task_links_alike_windows_of_a_key_in_proportion():
         found = [r for b in passages._across(iter([whole.slice(i, size) for i in range(0, 200, size)])) for r in b.to_pylist()]
         assert len(found) == 99 and all(r["text_id"] > r["o_text_id"] for r in found)
         assert {x for r in found for x in (r["text_id"], r["o_text_id"])} == set(range(1, 200, 2))
+
+
+def test_windows_of_many_texts_are_those_of_each():
+    """Of texts laid end to end, some of them blank or short or full of repeats."""
+    rng = random.Random(81)
+    texts = [" ".join(words(rng, n)) for n in (0, 49, 50, 51, 400)] + ["la " * 300, "x Y " * 60, " \n ", "z" * 300 + " q" * 70]
+    texts += [" ".join(rng.choices(words(rng, 30), k=rng.randrange(300))) for _ in range(20)]
+    rows, place = passages._windows_of([text.encode() for text in texts])
+    for i, text in enumerate(texts):
+        tokens, wanted = passages.shingles([text.encode()])[0], set()
+        assert tokens.size == max(0, len(text.split()) - 4)
+        for function in range(passages.HASHES):
+            for low, c, high in passages.windows(passages.hashed(tokens, function)):
+                wanted.add(((int(tokens[c].view(np.int64)) & ~3) | function, low, high))
+        assert {tuple(row) for row in rows[place == i].tolist()} == wanted
+
+
+def test_stretches_with_only_a_phrase_in_common_are_not_compared(monkeypatch):
+    """Comparing three hundred rows of a key in pairs would take 44,850 comparisons."""
+    rng, calls, compare = np.random.default_rng(72), [], passages.compare
+    monkeypatch.setattr(passages, "compare", lambda one, two: calls.append(1) or compare(one, two))
+    phrase, rest = (rng.integers(0, 1 << 32, n, np.uint32) for n in (40, 60))
+    rows = []
+    for i in range(300):
+        end = rest if i % 100 == 0 else rng.integers(0, 1 << 32, 60, np.uint32)
+        rows.append((5, 7, i, i, 99, 99, 0, np.r_[phrase, end].tobytes()))
+    names = ["dealt", "key", "text_id", "class", "at", "near", "part", "stretch"]
+    arrays = [pa.array(c, pa.int64()) for c in list(zip(*rows))[:7]] + [pa.array([r[7] for r in rows], pa.binary())]
+    whole = pa.RecordBatch.from_arrays(arrays, names=names)
+    found = [r for b in passages._across(iter([whole])) for r in b.to_pylist()]
+    assert {x for r in found for x in (r["text_id"], r["o_text_id"])} == {0, 100, 200}
+    assert len(found) == 2 and len(calls) < 300
